@@ -1,0 +1,95 @@
+"""Build the layers in dependency order and report on every step."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame
+
+from smelter.plans import gold, silver
+from smelter.sources.tables import Layer
+from smelter.specs import SOURCE_TABLES
+from smelter.steps import StepsFailed, report, run_steps
+
+
+def build_silver(bronze: Layer, layer: Layer, deletes: str = "apply") -> list[str]:
+    """All silver tables from the bronze change logs."""
+
+    def step(table: str):
+        return lambda: layer.replace(
+            table, silver.from_changes(table, bronze.read(table), deletes)
+        )
+
+    return run_steps({table: step(table) for table in SOURCE_TABLES})
+
+
+def dimension(table: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    builders = {
+        "dim_geography": lambda: gold.dim_geography(read("geolocation")),
+        "dim_date": lambda: gold.dim_date(read("orders")),
+        "dim_customer": lambda: gold.dim_customer(read("customers")),
+        "dim_seller": lambda: gold.dim_seller(read("sellers")),
+        "dim_product": lambda: gold.dim_product(read("products"), read("category_translation")),
+        "dim_order_status": lambda: gold.dim_order_status(read("orders")),
+    }
+    return builders[table]()
+
+
+DIMENSIONS = (
+    "dim_geography",
+    "dim_date",
+    "dim_customer",
+    "dim_seller",
+    "dim_product",
+    "dim_order_status",
+)
+FACTS = ("fact_order_items", "fact_reviews")
+
+
+def fact(
+    table: str, read_silver: Callable[[str], DataFrame], read_gold: Callable[[str], DataFrame]
+) -> DataFrame:
+    if table == "fact_reviews":
+        return gold.fact_reviews(read_silver("order_reviews"), read_gold("fact_order_items"))
+    return gold.fact_order_items(
+        read_silver("order_items"),
+        read_silver("orders"),
+        read_silver("customers"),
+        *[
+            read_gold(d)
+            for d in ("dim_customer", "dim_seller", "dim_product", "dim_order_status", "dim_geography")
+        ],
+    )
+
+
+def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
+    """Dimensions first, stored, then the facts that refer to them."""
+
+    def store_dimension(table: str):
+        return lambda: layer.replace(table, dimension(table, silver_layer.read))
+
+    def store_fact(table: str):
+        return lambda: gold.store_fact(layer, table, fact(table, silver_layer.read, layer.read))
+
+    done = run_steps({table: store_dimension(table) for table in DIMENSIONS})
+    # The review fact reads the item fact, so the first failure ends the facts.
+    for table in FACTS:
+        done += run_steps({table: store_fact(table)})
+    return done
+
+
+def run(bronze: Layer, silver_layer: Layer, gold_layer: Layer) -> DataFrame:
+    """Silver then gold; one report row per table. A failed layer stops the next one."""
+    done: list[str] = []
+    failed: Mapping[str, Exception] = {}
+    for stage in (
+        lambda: build_silver(bronze, silver_layer),
+        lambda: build_gold(silver_layer, gold_layer),
+    ):
+        try:
+            done += stage()
+        except StepsFailed as error:
+            done += error.done
+            failed = error.failed
+            break
+    return report(gold_layer.spark, done, failed)
