@@ -76,6 +76,12 @@ def date_key(col: Column) -> Column:
     return (F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)).cast("int")
 
 
+def exact_ratio(numerator: Column, denominator: Column, places: int) -> Column:
+    """Rounded quotient, half up on the exact decimal value; NULL for a zero divisor."""
+    quotient = F.try_divide(numerator.cast("decimal(28,2)"), denominator.cast("decimal(20,0)"))
+    return F.round(quotient, places).cast("double")
+
+
 def first_match(value: Column, cases: dict[str, tuple[str, ...]], default: str) -> Column:
     """The label whose members contain ``value``; one literal map lookup per row."""
     pairs = [F.lit(x) for label, members in cases.items() for m in members for x in (m, label)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,8 +89,8 @@ def latest_by_key(
     as its last other version. Keys compare after trimming, and come from
     ``before`` where ``after`` is NULL. Rows with a NULL key part are dropped.
 
-    ``max_by`` keeps one version per key on the map side, so a key that holds
-    most of the log sends one row per task through the shuffle.
+    Spark evaluates ``version = 1`` on both sides of the shuffle, so a key that
+    holds most of the log sends one row per task.
     """
     if deletes not in ("apply", "ignore"):
         raise ValueError(f"deletes must be 'apply' or 'ignore', not {deletes!r}")
@@ -99,17 +99,13 @@ def latest_by_key(
     normalised = [
         clean_text(F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}"))).alias(k) for k in keys
     ]
-    keyed = changes.select(*normalised, "op", "after", F.struct(*order_by).alias("_at"))
-    newest = (
-        keyed.filter(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys)))
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct("op", "after"), "_at").alias("_last"))
-        .filter(F.col("_last.op") != DELETE)
-    )
-    image = [f.name for f in changes.schema["after"].dataType.fields]
-    return newest.select(
-        *[F.col(c) if c in keys else F.col(f"_last.after.{c}").alias(c) for c in image]
+    keyed = changes.select(*normalised, "op", "after", *order_by).dropna(subset=list(keys))
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order_by])
+    latest = keyed.withColumn("version", F.row_number().over(newest_first)).filter(
+        (F.col("version") == 1) & (F.col("op") != DELETE)
     )
+    image = changes.schema["after"].dataType.fieldNames()
+    return latest.select(*[F.col(c) if c in keys else F.col(f"after.{c}") for c in image])
 
 
 def sample_changes(changes: DataFrame, n: int = 5) -> DataFrame:

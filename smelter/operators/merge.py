@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key, the least by ``order_by``; reduced on the map side."""
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_first")
-    )
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns])
+    """One row per key, the least by ``order_by``; cut down on both sides of the shuffle."""
+    in_order = Window.partitionBy(*keys).orderBy(*order_by)
+    numbered = df.withColumn("_position", F.row_number().over(in_order))
+    return numbered.filter(F.col("_position") == 1).drop("_position")
 
 
 def absent_rows(

@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smelter.functions import columns as C
 from smelter.operators.keys import known_members
 from smelter.operators.predicates import apply_filters
 from smelter.plans.gold import MONTH
@@ -81,8 +82,8 @@ def top_products_by_category(relation: DataFrame, k: int = TOP) -> DataFrame:
         .agg(
             F.count("*").alias("items_sold"),
             F.countDistinct("order_id").alias("order_count"),
-            F.round(F.sum("unit_price"), 2).alias("total_sales"),
-            F.round(F.avg("unit_price"), 2).alias("avg_price"),
+            F.sum("unit_price").alias("total_sales"),
+            C.exact_ratio(F.sum("unit_price"), F.count("unit_price"), 2).alias("avg_price"),
         )
         .orderBy(F.desc("total_sales"), "category")
         .limit(k)
@@ -101,11 +102,11 @@ def review_analysis(relation: DataFrame, k: int = TOP) -> DataFrame:
         relation.groupBy("category")
         .agg(
             F.count("*").alias("total_reviews"),
-            F.round(F.avg("review_score"), 2).alias("avg_score"),
+            C.exact_ratio(F.sum("review_score"), F.count("review_score"), 2).alias("avg_score"),
             positive.alias("positive_reviews"),
             F.sum("is_negative").alias("negative_reviews"),
             F.sum("is_neutral").alias("neutral_reviews"),
-            F.round(100.0 * positive.cast("double") / F.count("*"), 2).alias("positive_rate_pct"),
+            C.exact_ratio(positive * 100, F.count("*"), 2).alias("positive_rate_pct"),
         )
         .orderBy(F.desc("total_reviews"), "category")
         .limit(k)

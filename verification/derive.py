@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smelter.specs import SOURCE_TABLES
+from smelter.specs import SOURCE_TABLES, TableSpec
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -186,3 +186,53 @@ def messages(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         .otherwise(F.to_json(body))
         .alias("value"),
     )
+
+
+# The events table as a change log: key user_id, deletes from 'error'.
+EVENT_LOG = TableSpec("event_log", {"k": "string", "v": "string"}, keys=("k",))
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def event_messages(
+    events: DataFrame, wrapped: bool = True, broken: bool = False, topic: Column | None = None
+) -> DataFrame:
+    """Events as messages; works on a stream too.
+
+    Two neighbours share one ``ts_ms``, so the offset decides between them. With
+    ``broken``, every 7th text is cut short and every 11th message is empty.
+    """
+    is_delete = F.col("event_type") == "error"
+    amount = F.col("value").cast("decimal(18,2)").cast("string")
+    key = F.col("user_id").cast("string")
+    row = EVENT_LOG.change_schema
+    body = F.struct(
+        F.when(is_delete, F.struct(key.alias("k"), F.lit(None).cast("string").alias("v")))
+        .otherwise(F.lit(None).cast(row))
+        .alias("before"),
+        F.when(~is_delete, F.struct(key.alias("k"), amount.alias("v"))).alias("after"),
+        F.when(F.col("event_type") == "signup", "c")
+        .when(is_delete, "d")
+        .otherwise("u")
+        .alias("op"),
+        (F.lit(EPOCH) + F.floor(F.col("event_id") / 2) * 1000).alias("ts_ms"),
+    )
+    value = F.to_json(F.struct(body.alias("payload")) if wrapped else body)
+    if broken:
+        value = F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(
+            F.when(F.col("event_id") % 7 == 0, F.substr(value, F.lit(1), F.length(value) - 9))
+            .otherwise(value)
+        )
+    return events.select(
+        (F.lit(EVENT_LOG.name) if topic is None else topic).alias("topic"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("kafka_partition"),
+        F.col("event_id").alias("kafka_offset"),
+        value.alias("value"),
+    )
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events file as an unbounded stream."""
+    schema = given(spark, sf_dir, "events").schema
+    return (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
