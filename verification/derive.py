@@ -1,6 +1,7 @@
 """The given tables in the role of the e-commerce source tables.
 
-``SOURCE_SQL`` runs unchanged on Spark and DuckDB. ``_n`` numbers the source
+``SOURCE_SQL`` runs unchanged on Spark and DuckDB. Events move back 26 years to
+play reviews, into the years of the orders. ``_n`` numbers the source
 rows; the change log of a table is built from it by the rules of ``messages``.
 """
 
@@ -86,8 +87,9 @@ SELECT event_id AS _n, CAST(event_id AS STRING) AS review_id, CAST(event_id AS S
        CASE event_type WHEN 'error' THEN '  ' WHEN 'view' THEN NULL ELSE event_type END
          AS review_comment_title,
        CASE WHEN event_id % 2 = 0 THEN NULL ELSE props END AS review_comment_message,
-       ts AS review_creation_date,
-       ts + (event_id % 100) * INTERVAL '37' MINUTE AS review_answer_timestamp
+       ts - INTERVAL '9490' DAY AS review_creation_date,
+       ts - INTERVAL '9490' DAY + (event_id % 100) * INTERVAL '37' MINUTE
+         AS review_answer_timestamp
 FROM events""",
 }
 

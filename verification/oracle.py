@@ -50,8 +50,9 @@ VIEWS["silver_category_translation"] = """
 SELECT product_category_name, product_category_name_english FROM src_category_translation"""
 
 VIEWS["silver_products"] = f"""
-SELECT product_id, product_category_name, product_name_length, product_description_length,
-       product_photos_qty, product_weight_g, product_length_cm, product_height_cm,
+SELECT product_id, product_category_name, CAST(product_name_length AS INTEGER) AS product_name_length,
+       product_description_length, CAST(product_photos_qty AS INTEGER) AS product_photos_qty,
+       product_weight_g, product_length_cm, CAST(product_height_cm AS INTEGER) AS product_height_cm,
        product_width_cm,
        CAST(product_length_cm AS BIGINT) * product_height_cm * product_width_cm
          AS product_volume_cm3
@@ -65,14 +66,14 @@ SELECT order_id, customer_id, upper(trim(order_status)) AS order_status,
        CAST(month(order_purchase_timestamp) AS INTEGER) AS order_month,
        CAST(day(order_purchase_timestamp) AS INTEGER) AS order_day,
        CAST(hour(order_purchase_timestamp) AS INTEGER) AS order_hour,
-       date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_approved_at AS DATE))
+       CAST(CAST(order_approved_at AS DATE) - CAST(order_purchase_timestamp AS DATE) AS INTEGER)
          AS approval_delay_days,
-       date_diff('day', CAST(order_purchase_timestamp AS DATE),
-                 CAST(order_delivered_customer_date AS DATE)) AS actual_delivery_days,
-       date_diff('day', CAST(order_purchase_timestamp AS DATE),
-                 CAST(order_estimated_delivery_date AS DATE)) AS estimated_delivery_days,
-       date_diff('day', CAST(order_estimated_delivery_date AS DATE),
-                 CAST(order_delivered_customer_date AS DATE)) AS delivery_delay_days,
+       CAST(CAST(order_delivered_customer_date AS DATE) - CAST(order_purchase_timestamp AS DATE) AS INTEGER)
+         AS actual_delivery_days,
+       CAST(CAST(order_estimated_delivery_date AS DATE) - CAST(order_purchase_timestamp AS DATE) AS INTEGER)
+         AS estimated_delivery_days,
+       CAST(CAST(order_delivered_customer_date AS DATE) - CAST(order_estimated_delivery_date AS DATE) AS INTEGER)
+         AS delivery_delay_days,
        CASE WHEN delivery_delay_days > 0 THEN TRUE WHEN delivery_delay_days <= 0 THEN FALSE END
          AS is_delivered_late,
        upper(trim(order_status)) = 'DELIVERED' AS is_delivered
@@ -132,9 +133,11 @@ days AS (
   SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31),
                                      INTERVAL 1 DAY)) AS DATE) AS d FROM bounds)
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS full_date,
-       day(d) AS day_of_month, dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name,
-       weekofyear(d) AS week_of_year, month(d) AS month_number, monthname(d) AS month_name,
-       quarter(d) AS quarter, year(d) AS year, dayofweek(d) IN (0, 6) AS is_weekend,
+       CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
+       dayname(d) AS day_name, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+       CAST(month(d) AS INTEGER) AS month_number, monthname(d) AS month_name,
+       CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
+       dayofweek(d) IN (0, 6) AS is_weekend,
        strftime(d, '%Y-%m') AS year_month,
        concat(year(d), '-Q', quarter(d)) AS year_quarter
 FROM days"""
@@ -304,7 +307,7 @@ FROM silver_order_items""",
 SELECT op, ts_ms, CASE WHEN op <> 'd' THEN k END AS k, v FROM event_log
 ORDER BY ts_ms, kafka_partition, kafka_offset LIMIT 5""",
     "cdc_topic_routing": """
-SELECT concat('shop.', event_type) AS topic, count(*) AS messages, sum(event_id) AS offset_sum
+SELECT concat('shop.', event_type) AS topic, count(*) AS messages, CAST(sum(event_id) AS BIGINT) AS offset_sum
 FROM events GROUP BY event_type""",
     "insert_if_absent": """
 WITH target AS (SELECT * FROM lineitem WHERE l_linestatus = 'O'),
@@ -321,7 +324,7 @@ merged AS (
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%g') AS l_shipdate, l_linestatus
 FROM merged""",
-    "csv_typed_load": f"SELECT order_id, customer_id, trim(order_status) AS order_status, {_ORDER_TIMES} FROM src_orders",
+    "csv_typed_load": f"SELECT order_id, customer_id, order_status, {_ORDER_TIMES} FROM src_orders",
     "silver_customers": "SELECT * FROM silver_customers",
     "silver_geolocation": "SELECT * FROM silver_geolocation",
     "silver_sellers": "SELECT * FROM silver_sellers",
@@ -407,8 +410,9 @@ SQL["cdc_stream_append"] = SQL["cdc_stream_replay"] = SQL["cdc_envelope_parse"]
 _REVIEW_ANALYSIS = f"""
 SELECT product_category_name_english AS category, count(*) AS total_reviews,
        {_quotient('sum(review_score)', 'count(review_score)', 100)} AS avg_score,
-       sum(is_positive) AS positive_reviews, sum(is_negative) AS negative_reviews,
-       sum(is_neutral) AS neutral_reviews,
+       CAST(sum(is_positive) AS BIGINT) AS positive_reviews,
+       CAST(sum(is_negative) AS BIGINT) AS negative_reviews,
+       CAST(sum(is_neutral) AS BIGINT) AS neutral_reviews,
        {_quotient('100 * sum(is_positive)', 'count(*)', 100)} AS positive_rate_pct
 FROM fact_reviews r JOIN dim_product p ON r.product_sk = p.product_sk
 JOIN dim_date d ON r.review_date_sk = d.date_sk

@@ -13,7 +13,7 @@ from smelter.operators import cdc, keys, merge, quality
 from smelter.plans import gold, pipeline, rules, saved, silver
 from smelter.plans.gold import MONTH
 from smelter.scratch import scratch_path
-from smelter.sources.csv import read_csv, well_formed
+from smelter.sources.csv import read_csv
 from smelter.sources.tables import summary
 from smelter.specs import ORDER_ITEMS, ORDERS, SOURCE_TABLES, TableSpec
 from smelter.streaming import ingest
@@ -172,8 +172,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "csv")
     rows = derive.source(spark, sf_dir, "orders").select(*ORDERS.columns)
-    rows.write.option("header", True).csv(path)
-    return well_formed(read_csv(spark, path, ORDERS))
+    rows.write.options(header=True, ignoreLeadingWhiteSpace=False).csv(path)
+    return read_csv(spark, path, ORDERS)[0]
 
 
 # --- silver ----------------------------------------------------------------
