@@ -137,7 +137,8 @@ def messages(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     key, has replayed messages (n % 10 = 0). Odd rows come without ``payload``.
     """
     spec = SOURCE_TABLES[table]
-    rows = source(spark, sf_dir, table)
+    # The test files are single row groups; a real log arrives in many partitions.
+    rows = source(spark, sf_dir, table).repartition(spark.sparkContext.defaultParallelism)
     names, last = list(spec.columns), list(spec.columns)[-1]
     image = F.struct(*[as_text(rows, c).alias(c) for c in names])
     stale = image.withField(last, F.lit("stale"))
