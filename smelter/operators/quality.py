@@ -1,50 +1,51 @@
-"""Data-quality checks as DataFrames with one row per check."""
+"""Data-quality checks as DataFrames with one row per check.
+
+Conditions are SQL text, so a table's whole report is one aggregate and one
+``inline`` over its single row of counts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CHECK = "check_name, check_kind, checked, violations, unknown"
 
 
-def _total(counted: Column) -> Column:
-    return F.count(F.when(counted, True))
-
-
-def _is_missing(field: T.StructField) -> Column:
-    missing = F.col(field.name).isNull()
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        missing = missing | F.isnan(field.name)
-    return missing
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def _check(kind: str, name: str, violations: Column, unknown: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.lit(kind).alias("check_kind"),
-        F.col("checked"),
-        violations.cast("long").alias("violations"),
-        (F.lit(0) if unknown is None else unknown).cast("long").alias("unknown"),
+def _check(kind: str, name: str, violations: str, unknown: str = "0") -> str:
+    return (
+        f"struct({_quoted(name)}, {_quoted(kind)}, checked, "
+        f"CAST({violations} AS BIGINT), CAST({unknown} AS BIGINT))"
     )
 
 
-def _report(table: str, counts: DataFrame, checks: list[Column]) -> DataFrame:
+def _report(table: str, counts: DataFrame, checks: list[str]) -> DataFrame:
     """One row of counts -> one row per check."""
-    rows = counts.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
-    share = F.round(100.0 * F.col("violations") / F.col("checked"), 2)
-    return rows.select(
-        F.lit(table).alias("table_name"),
+    return counts.selectExpr(f"inline(array({', '.join(checks)})) AS ({CHECK})").selectExpr(
+        f"{_quoted(table)} AS table_name",
         "*",
-        F.when(F.col("checked") > 0, share).alias("violation_pct"),
-        ((F.col("violations") == 0) & (F.col("checked") > 0)).alias("passed"),
+        "round(try_divide(100.0D * violations, checked), 2) AS violation_pct",
+        "violations = 0 AND checked > 0 AS passed",
     )
 
 
+def _is_missing(field: T.StructField) -> str:
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return f"{name} IS NULL OR isnan({name})"
+    return f"{name} IS NULL"
+
+
 def column_checks(
-    df: DataFrame, table: str, keys: Sequence[str] = (), rules: Mapping[str, Column] | None = None
+    df: DataFrame, table: str, keys: Sequence[str] = (), rules: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Row count, NULL key parts, NULL or NaN share of every column, and rule violations.
 
@@ -52,19 +53,16 @@ def column_checks(
     whose condition is NULL is counted under ``unknown``, not as a violation.
     """
     rules = dict(rules or {})
-    counts = [F.count("*").alias("checked")]
-    counts += [_total(_is_missing(f)).alias(f"null_{f.name}") for f in df.schema.fields]
+    counts = ["count(*) AS checked"]
+    counts += [f"count_if({_is_missing(f)}) AS `null_{f.name}`" for f in df.schema.fields]
     for i, condition in enumerate(rules.values()):
-        counts += [_total(~condition).alias(f"bad_{i}")]
-        counts += [_total(condition.isNull()).alias(f"unsure_{i}")]
-    checks = [_check("rows", "has rows", F.lit(0))]
-    checks += [_check("null_key", k, F.col(f"null_{k}")) for k in keys]
-    checks += [_check("null_profile", c, F.col(f"null_{c}")) for c in df.columns]
-    checks += [
-        _check("rule", name, F.col(f"bad_{i}"), F.col(f"unsure_{i}"))
-        for i, name in enumerate(rules)
-    ]
-    return _report(table, df.agg(*counts), checks)
+        counts += [f"count_if(NOT ({condition})) AS bad_{i}"]
+        counts += [f"count_if(({condition}) IS NULL) AS unsure_{i}"]
+    checks = [_check("rows", "has rows", "0")]
+    checks += [_check("null_key", k, f"`null_{k}`") for k in keys]
+    checks += [_check("null_profile", c, f"`null_{c}`") for c in df.columns]
+    checks += [_check("rule", name, f"bad_{i}", f"unsure_{i}") for i, name in enumerate(rules)]
+    return _report(table, df.selectExpr(*counts), checks)
 
 
 def duplicate_check(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
@@ -73,11 +71,10 @@ def duplicate_check(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame
     Kept apart from the other counts so that only the keys are shuffled.
     """
     groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    counts = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"),
+    counts = groups.selectExpr(
+        "coalesce(sum(n), 0) AS checked", "coalesce(sum(n - 1), 0) AS extra"
     )
-    return _report(table, counts, [_check("duplicate", ", ".join(keys), F.col("extra"))])
+    return _report(table, counts, [_check("duplicate", ", ".join(keys), "extra")])
 
 
 def orphan_check(
@@ -88,23 +85,24 @@ def orphan_check(
     Both sides are reduced to one row per key before they meet.
     """
     referred = child.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("n"))
-    present = parent.select(F.col(parent_column).alias("_key")).distinct().withColumn(
-        "_found", F.lit(True)
-    )
-    is_orphan = F.col("_found").isNull() & F.col("_key").isNotNull()
-    counts = referred.join(present, "_key", "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.when(is_orphan, F.col("n"))), F.lit(0)).alias("orphans"),
-        F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("n"))), F.lit(0)).alias("unsure"),
-    )
-    return _report(
-        table, counts, [_check("orphan", column, F.col("orphans"), F.col("unsure"))]
+    present = parent.select(F.col(parent_column).alias("_key")).distinct()
+    present = present.withColumn("_found", F.lit(True))
+    counts = referred.join(present, "_key", "left").selectExpr(
+        "coalesce(sum(n), 0) AS checked",
+        "coalesce(sum(n) FILTER (WHERE _found IS NULL AND _key IS NOT NULL), 0) AS orphans",
+        "coalesce(sum(n) FILTER (WHERE _key IS NULL), 0) AS unsure",
     )
+    return _report(table, counts, [_check("orphan", column, "orphans", "unsure")])
 
 
 def validate(
-    df: DataFrame, table: str, keys: Sequence[str] = (), rules: Mapping[str, Column] | None = None
+    df: DataFrame, table: str, keys: Sequence[str] = (), rules: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Every check of one table that needs no other table."""
     report = column_checks(df, table, keys, rules)
     return report.unionByName(duplicate_check(df, table, keys)) if keys else report
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows, to look at."""
+    return df.limit(n)

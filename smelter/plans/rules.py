@@ -2,73 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 
 from smelter.operators.quality import orphan_check, validate
-from smelter.plans.gold import ORDER_STATUSES
 from smelter.specs import SOURCE_TABLES
 
-STATE_CODE = "^[A-Z]{2}$"
-ZIP_CODE = "^[0-9]{5}$"
-PAYMENT_TYPES = ("CREDIT_CARD", "BOLETO", "VOUCHER", "DEBIT_CARD")
-RATINGS = ("POSITIVE", "NEUTRAL", "NEGATIVE", "UNKNOWN")
-
 # Silver geolocation is grouped, so its grain is not that of its source.
 SILVER_KEYS = {name: spec.keys for name, spec in SOURCE_TABLES.items()} | {
     "geolocation": ("zip_code_prefix", "city", "state")
 }
 
-
-def _absent_or_positive(name: str) -> Column:
-    return F.col(name).isNull() | (F.col(name) > 0)
-
-
-def rules() -> dict[str, dict[str, Column]]:
-    """Table -> rule name -> condition a sound row meets."""
-    delivered = F.col("order_delivered_customer_date")
-    return {
-        "customers": {
-            "Valid State Code": F.col("customer_state").rlike(STATE_CODE),
-            "Valid Zip Code": F.col("customer_zip_code_prefix").rlike(ZIP_CODE),
-        },
-        "geolocation": {
-            "Valid Latitude": F.col("avg_latitude").between(-90, 90),
-            "Valid Longitude": F.col("avg_longitude").between(-180, 180),
-        },
-        "sellers": {"Valid State Code": F.col("seller_state").rlike(STATE_CODE)},
-        "category_translation": {},
-        "products": {
-            "Positive Weight": _absent_or_positive("product_weight_g"),
-            "Positive Volume": _absent_or_positive("product_volume_cm3"),
-        },
-        "orders": {
-            "Valid Status": F.col("order_status").isin(*ORDER_STATUSES),
-            "Purchase Before Delivery": delivered.isNull()
-            | (F.col("order_purchase_timestamp") <= delivered),
-        },
-        "order_items": {
-            "Positive Price": F.col("price") >= 0,
-            "Positive Freight": F.col("freight_value") >= 0,
-            "Valid Total": F.col("total_item_value") >= 0,
-        },
-        "order_payments": {
-            "Valid Payment Type": F.col("payment_type").isin(*PAYMENT_TYPES),
-            "Positive Amount": F.col("payment_value") > 0,
-            "Valid Installments": F.col("payment_installments") >= 1,
-        },
-        "order_reviews": {
-            "Valid Score": F.col("review_score").between(1, 5),
-            "Valid Rating": F.col("review_rating").isin(*RATINGS),
-        },
-    }
+# Table -> rule name -> condition a sound row meets.
+RULES: dict[str, dict[str, str]] = {
+    "customers": {
+        "Valid State Code": "customer_state RLIKE '^[A-Z]{2}$'",
+        "Valid Zip Code": "customer_zip_code_prefix RLIKE '^[0-9]{5}$'",
+    },
+    "geolocation": {
+        "Valid Latitude": "avg_latitude BETWEEN -90 AND 90",
+        "Valid Longitude": "avg_longitude BETWEEN -180 AND 180",
+    },
+    "sellers": {"Valid State Code": "seller_state RLIKE '^[A-Z]{2}$'"},
+    "category_translation": {},
+    "products": {
+        "Positive Weight": "product_weight_g IS NULL OR product_weight_g > 0",
+        "Positive Volume": "product_volume_cm3 IS NULL OR product_volume_cm3 > 0",
+    },
+    "orders": {
+        "Valid Status": "order_status IN ('DELIVERED', 'SHIPPED', 'CANCELED', 'UNAVAILABLE', "
+        "'INVOICED', 'PROCESSING', 'CREATED', 'APPROVED')",
+        "Purchase Before Delivery": "order_delivered_customer_date IS NULL "
+        "OR order_purchase_timestamp <= order_delivered_customer_date",
+    },
+    "order_items": {
+        "Positive Price": "price >= 0",
+        "Positive Freight": "freight_value >= 0",
+        "Valid Total": "total_item_value >= 0",
+    },
+    "order_payments": {
+        "Valid Payment Type": "payment_type IN ('CREDIT_CARD', 'BOLETO', 'VOUCHER', 'DEBIT_CARD')",
+        "Positive Amount": "payment_value > 0",
+        "Valid Installments": "payment_installments >= 1",
+    },
+    "order_reviews": {
+        "Valid Score": "review_score BETWEEN 1 AND 5",
+        "Valid Rating": "review_rating IN ('POSITIVE', 'NEUTRAL', 'NEGATIVE', 'UNKNOWN')",
+    },
+}
 
 
 def validate_silver(table: str, df: DataFrame) -> DataFrame:
-    return validate(df, table, SILVER_KEYS[table], rules()[table])
+    return validate(df, table, SILVER_KEYS[table], RULES[table])
 
 
-def silver_orphans(table: str, tables) -> list[DataFrame]:
+def silver_orphans(table: str, tables: Callable[[str], DataFrame]) -> list[DataFrame]:
     """One report per foreign key of the table."""
     return [
         orphan_check(tables(table), table, column, tables(parent), parent_column)

@@ -304,7 +304,7 @@ def _column_reports(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
     reports = [
         quality.column_checks(
-            w.silver(t).drop(silver.AUDIT), t, rules.SILVER_KEYS[t], rules.rules()[t]
+            w.silver(t).drop(silver.AUDIT), t, rules.SILVER_KEYS[t], rules.RULES[t]
         )
         for t in SOURCE_TABLES
     ]
