@@ -76,6 +76,11 @@ def date_key(col: Column) -> Column:
     return (F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)).cast("int")
 
 
+def month_of(date_key_column: str) -> Column:
+    """yyyyMM of a yyyyMMdd key."""
+    return F.expr(f"CAST(`{date_key_column}` DIV 100 AS INT)")
+
+
 def exact_ratio(numerator: Column, denominator: Column, places: int) -> Column:
     """Rounded quotient, half up on the exact decimal value; NULL for a zero divisor."""
     quotient = F.try_divide(numerator.cast("decimal(28,2)"), denominator.cast("decimal(20,0)"))

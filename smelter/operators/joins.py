@@ -75,7 +75,7 @@ def _pick(df: DataFrame, splits: Column) -> Column:
 
 
 def _every(splits: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), splits - 1)).cast("int")
+    return F.explode(F.sequence(F.lit(0), splits - 1))
 
 
 def spread_join(

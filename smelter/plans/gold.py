@@ -409,7 +409,5 @@ MONTH = "date_month"
 
 def store_fact(layer, table: str, fact: DataFrame) -> DataFrame:
     """Write a fact with its key, partitioned by month."""
-    month = (F.col(FACT_DATES[table]) / 100).cast("int")
-    return layer.replace(
-        table, fact.withColumn(MONTH, month), partition_by=MONTH, unique=FACT_KEYS[table]
-    )
+    with_month = fact.withColumn(MONTH, C.month_of(FACT_DATES[table]))
+    return layer.replace(table, with_month, partition_by=MONTH, unique=FACT_KEYS[table])

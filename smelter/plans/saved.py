@@ -34,7 +34,7 @@ def dated(fact: DataFrame, date_key: str, dim_date: DataFrame) -> DataFrame:
     days = dim_date.drop("etl_loaded_at").withColumnRenamed("date_sk", date_key)
     on = [date_key]
     if MONTH in fact.columns:
-        days = days.withColumn(MONTH, (F.col(date_key) / 100).cast("int"))
+        days = days.withColumn(MONTH, C.month_of(date_key))
         on.append(MONTH)
     return fact.drop("etl_loaded_at").join(days, on)
 
