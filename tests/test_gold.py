@@ -1,0 +1,183 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from smelter.plans import gold, silver
+from smelter.plans.pipeline import DIMENSIONS, dimension
+from tests.helpers import bag, one, plan, rows
+from tests.test_silver import clean
+
+KEYS = {
+    "dim_geography": "geography_sk",
+    "dim_customer": "customer_sk",
+    "dim_seller": "seller_sk",
+    "dim_product": "product_sk",
+    "dim_order_status": "order_status_sk",
+}
+REFERENCES = {
+    "fact_order_items": {
+        "customer_sk": ("dim_customer", "customer_sk"),
+        "product_sk": ("dim_product", "product_sk"),
+        "seller_sk": ("dim_seller", "seller_sk"),
+        "order_status_sk": ("dim_order_status", "order_status_sk"),
+        "customer_geography_sk": ("dim_geography", "geography_sk"),
+        "seller_geography_sk": ("dim_geography", "geography_sk"),
+        "date_sk": ("dim_date", "date_sk"),
+    },
+    "fact_reviews": {
+        "customer_sk": ("dim_customer", "customer_sk"),
+        "product_sk": ("dim_product", "product_sk"),
+        "customer_geography_sk": ("dim_geography", "geography_sk"),
+        "order_date_sk": ("dim_date", "date_sk"),
+    },
+}
+# The columns of the published tables, audit column last.
+CONTRACT = {
+    "dim_geography": "geography_sk zip_code_prefix city state region latitude longitude",
+    "dim_date": "date_sk full_date day_of_month day_of_week day_name week_of_year month_number "
+    "month_name quarter year is_weekend year_month year_quarter",
+    "dim_customer": "customer_sk customer_unique_id customer_zip_code_prefix customer_city customer_state",
+    "dim_seller": "seller_sk seller_id seller_zip_code_prefix seller_city seller_state",
+    "dim_product": "product_sk product_id product_category_name product_category_name_english "
+    "product_name_length product_description_length product_photos_qty product_weight_g "
+    "product_length_cm product_height_cm product_width_cm product_volume_cm3 size_category "
+    "weight_category",
+    "dim_order_status": "order_status_sk order_status status_description status_category "
+    "is_terminal_state is_successful pipeline_order",
+    "fact_order_items": "order_item_sk order_id order_item_id date_sk customer_sk product_sk "
+    "seller_sk order_status_sk customer_geography_sk seller_geography_sk unit_price freight_value "
+    "total_item_value actual_delivery_days delivery_delay_days is_delivered is_delivered_late "
+    "order_purchase_timestamp order_approved_at order_delivered_customer_date shipping_limit_date",
+    "fact_reviews": "review_sk review_id order_id review_date_sk order_date_sk customer_sk "
+    "product_sk customer_geography_sk review_score review_rating has_comment review_comment_title "
+    "review_comment_message review_response_time_hours is_positive is_neutral is_negative "
+    "has_comment_flag review_creation_date review_answer_timestamp",
+}
+
+
+@pytest.mark.parametrize("table", CONTRACT)
+def test_published_columns(stored, table):
+    columns = [c for c in stored.gold(table).columns if c != gold.MONTH]
+    assert columns == [*CONTRACT[table].split(), gold.AUDIT]
+
+
+@pytest.mark.parametrize("table, key", KEYS.items())
+def test_keys_are_dense_and_repeatable(stored, table, key):
+    dim = stored.gold(table)
+    n = dim.count()
+    assert sorted(r[0] for r in rows(dim.select(key))) == [-1, *range(1, n)]
+    again = dimension(table, stored.silver)
+    assert bag(again.drop(gold.AUDIT)) == bag(dim.drop(gold.AUDIT))
+
+
+@pytest.mark.parametrize("fact", REFERENCES)
+def test_every_reference_exists(stored, fact):
+    rows_of = stored.gold(fact)
+    for column, (dim, key) in REFERENCES[fact].items():
+        members = stored.gold(dim).select(F.col(key).alias(column))
+        assert rows_of.join(members, column, "left_anti").count() == 0, column
+        assert rows_of.filter(F.col(column).isNull()).count() == 0, column
+
+
+def test_fact_rows_equal_the_driving_joins(stored):
+    items, orders = stored.silver("order_items"), stored.silver("orders")
+    expected = items.join(orders, "order_id", "left_semi")
+    assert stored.gold("fact_order_items").count() == expected.count()
+    reviews = stored.silver("order_reviews").join(orders, "order_id", "left_semi")
+    assert stored.gold("fact_reviews").count() == reviews.join(expected, "order_id").count()
+
+
+@pytest.mark.parametrize("fact, key", gold.FACT_KEYS.items())
+def test_fact_keys_are_unique(stored, fact, key):
+    low, distinct, n = stored.gold(fact).agg(F.min(key), F.countDistinct(key), F.count("*")).first()
+    assert low >= 1 and distinct == n
+
+
+def test_spreading_heavy_keys_changes_no_fact(stored):
+    """With a tiny bound nearly every key is spread."""
+    inputs = [stored.silver(t) for t in ("order_items", "orders", "customers")]
+    dims = ("dim_customer", "dim_seller", "dim_product", "dim_order_status", "dim_geography")
+    spread = gold.fact_order_items(*inputs, *[stored.gold(d) for d in dims], rows_per_task=2)
+    assert "_salt_l" in plan(spread)
+    skip = (gold.AUDIT, gold.MONTH, *gold.FACT_KEYS.values())
+    assert bag(spread.drop(*skip)) == bag(stored.gold("fact_order_items").drop(*skip))
+    reviews = gold.fact_reviews(
+        stored.silver("order_reviews"), stored.gold("fact_order_items"), rows_per_task=1
+    )
+    assert bag(reviews.drop(*skip)) == bag(stored.gold("fact_reviews").drop(*skip))
+
+
+def test_geography_is_the_southmost_place(spark):
+    places = spark.createDataFrame(
+        [("1", "B", "SP", -2.0, 0.0), ("1", "A", "SP", -2.0, 0.0), ("1", "C", "SP", -1.0, 0.0)],
+        "zip_code_prefix string, city string, state string, avg_latitude double, avg_longitude double",
+    )
+    known = gold.dim_geography(places).filter("geography_sk > 0")
+    assert rows(known.select("city", "region")) == [("A", "SUDESTE")]
+
+
+def test_calendar(spark):
+    orders = clean(
+        spark,
+        "orders",
+        {"order_id": "a", "order_purchase_timestamp": "2017-05-01 00:00:00"},
+        {"order_id": "b", "order_purchase_timestamp": "2016-12-31 23:59:59"},
+        {"order_id": "c"},
+    )
+    days = gold.dim_date(orders)
+    assert days.count() == 366 + 365
+    row = one(days.filter("date_sk = 20170101"))
+    assert row.full_date == dt.date(2017, 1, 1)
+    assert (row.day_of_week, row.day_name, row.week_of_year, row.is_weekend) == (1, "Sunday", 52, True)
+    assert (row.month_name, row.year_month, row.year_quarter) == ("January", "2017-01", "2017-Q1")
+    assert one(days.filter("date_sk = 20170701")).year_quarter == "2017-Q3"
+
+
+def test_calendar_without_orders(spark):
+    days = gold.dim_date(clean(spark, "orders", {"order_id": "a"}))
+    assert tuple(one(days.selectExpr("min(date_sk)", "max(date_sk)"))) == (20160101, 20201231)
+
+
+def test_status_attributes(spark):
+    statuses = [*gold.ORDER_STATUSES, "RETURNED", None]
+    orders = clean(spark, "orders", *[{"order_id": str(i), "order_status": s} for i, s in enumerate(statuses)])
+    dim = {r.order_status: r for r in gold.dim_order_status(orders).collect()}
+    assert len(dim) == 10  # eight known, one other, the unknown member
+    assert dim["CANCELED"].status_category == "FAILED" and dim["CANCELED"].pipeline_order == 99
+    assert dim["UNAVAILABLE"].is_terminal_state and not dim["UNAVAILABLE"].is_successful
+    assert dim["DELIVERED"].is_successful and dim["SHIPPED"].status_category == "IN_PROGRESS"
+    assert tuple(dim["RETURNED"])[2:7] == ("Unknown status", "OTHER", False, False, 0)
+    assert dim["UNKNOWN"].order_status_sk == -1
+
+
+def test_untranslated_and_missing_categories(spark):
+    products = clean(
+        spark,
+        "products",
+        {"product_id": "a", "product_category_name": "mesa"},
+        {"product_id": "b", "product_category_name": "outro"},
+        {"product_id": "c"},
+    )
+    translation = clean(
+        spark,
+        "category_translation",
+        {"product_category_name": "mesa", "product_category_name_english": "table"},
+    )
+    dim = gold.dim_product(products, translation).filter("product_sk > 0")
+    assert rows(dim.select("product_id", "product_category_name_english").orderBy("product_sk")) == [
+        ("a", "table"),
+        ("b", "outro"),
+        ("c", None),
+    ]
+
+
+@pytest.mark.parametrize("table", DIMENSIONS)
+def test_no_python_in_the_plans(stored, table):
+    text = plan(dimension(table, stored.silver))
+    assert "Python" not in text and "Pandas" not in text
+
+
+def test_no_python_in_silver(stored):
+    for table in silver.CLEAN:
+        assert "Python" not in plan(silver.from_changes(table, stored.bronze(table)))

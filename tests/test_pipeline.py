@@ -1,0 +1,50 @@
+import pytest
+
+from smelter.plans import pipeline
+from smelter.scratch import scratch_root
+from smelter.sources.tables import Layer
+from smelter.specs import SOURCE_TABLES
+from smelter.steps import StepsFailed, run_steps
+from tests.helpers import bag, rows
+
+
+def test_steps_go_on_after_a_failure():
+    seen = []
+
+    def fail():
+        raise RuntimeError("broken")
+
+    with pytest.raises(StepsFailed, match="1 of 3 failed: b: broken"):
+        run_steps({"a": lambda: seen.append("a"), "b": fail, "c": lambda: seen.append("c")})
+    assert seen == ["a", "c"]
+
+
+@pytest.fixture
+def layers(spark, folder):
+    made = [Layer(spark, f"run_{n}_{abs(hash(folder))}", f"{folder}/{n}") for n in ("silver", "gold")]
+    yield made
+    for layer in made:
+        spark.sql(f"DROP DATABASE IF EXISTS {layer.database} CASCADE")
+
+
+def test_the_whole_run(spark, stored, layers):
+    for table in SOURCE_TABLES:
+        stored.bronze(table)
+    report = pipeline.run(stored.bronze_layer, *layers)
+    steps = [*SOURCE_TABLES, *pipeline.DIMENSIONS, *pipeline.FACTS]
+    assert bag(report) == {(name, "OK", None): 1 for name in steps}
+    for table in (*pipeline.DIMENSIONS, *pipeline.FACTS):
+        assert layers[1].read(table).count() == stored.gold(table).count()
+
+
+def test_a_failed_layer_stops_the_next(spark, stored, layers, folder):
+    bronze = Layer(spark, f"run_bronze_{abs(hash(folder))}", f"{folder}/bronze")
+    bronze.replace("sellers", stored.bronze("sellers"))
+    report = rows(pipeline.run(bronze, *layers))
+    assert [r[0] for r in report if r[1] == "OK"] == ["sellers"]
+    assert len(report) == len(SOURCE_TABLES)  # no gold step was tried
+    spark.sql(f"DROP DATABASE {bronze.database} CASCADE")
+
+
+def test_scratch_is_the_folder_the_session_names(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
