@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from smelter.plans import pipeline  # noqa: E402
+from smelter.plans import build  # noqa: E402
 from smelter.specs import SOURCE_TABLES  # noqa: E402
 from verification.queries import QUERIES  # noqa: E402
 from verification.warehouse import warehouse  # noqa: E402
@@ -81,7 +81,7 @@ def main() -> None:
     for layer, read, tables in (
         ("build_bronze", stored.bronze, SOURCE_TABLES),
         ("build_silver", stored.silver, SOURCE_TABLES),
-        ("build_gold", stored.gold, pipeline.DIMENSIONS + pipeline.FACTS),
+        ("build_gold", stored.gold, build.DIMENSIONS + build.FACTS),
     ):
         started = time.perf_counter()
         for table in tables:

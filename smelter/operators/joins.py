@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from smelter.operators.keys import known_members, or_unknown
 
@@ -32,10 +33,12 @@ class Heavy:
     def __bool__(self) -> bool:
         return bool(self.splits) or self.null_splits > 1
 
-    def splits_of(self, key: Column) -> Column:
+    def splits_of(self, key: Column, dtype: DataType) -> Column:
         known = F.lit(1)
         if self.splits:
-            pairs = chain.from_iterable((F.lit(k), F.lit(n)) for k, n in self.splits.items())
+            pairs = chain.from_iterable(
+                (F.lit(k).cast(dtype), F.lit(n)) for k, n in self.splits.items()
+            )
             known = F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(1))
         return F.when(key.isNull(), self.null_splits).otherwise(known)
 
@@ -101,7 +104,7 @@ def spread_join(
         if not heavy:
             continue
         name = f"_salt_{side}"
-        splits = heavy.splits_of(F.col(on))
+        splits = heavy.splits_of(F.col(on), left.schema[on].dataType)
         if side == "l":
             left, right = (
                 left.withColumn(name, _pick(left, splits)),

@@ -78,14 +78,25 @@ def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
     return done
 
 
-def run(bronze: Layer, silver_layer: Layer, gold_layer: Layer) -> DataFrame:
-    """Silver then gold; one report row per table. A failed layer stops the next one."""
-    done: list[str] = []
-    failed: Mapping[str, Exception] = {}
-    for stage in (
+def run(
+    bronze: Layer,
+    silver_layer: Layer,
+    gold_layer: Layer,
+    ingest: Callable[[], list[str]] | None = None,
+) -> DataFrame:
+    """Ingest if given, then silver, then gold; one report row per step.
+
+    A layer with a failed step still runs its other steps, and stops the next layer.
+    """
+    stages = [
         lambda: build_silver(bronze, silver_layer),
         lambda: build_gold(silver_layer, gold_layer),
-    ):
+    ]
+    if ingest:
+        stages.insert(0, ingest)
+    done: list[str] = []
+    failed: Mapping[str, Exception] = {}
+    for stage in stages:
         try:
             done += stage()
         except StepsFailed as error:

@@ -41,8 +41,9 @@ class Layer:
         """Full refresh, schema included.
 
         Rows go to a new folder and the catalog entry moves there after the
-        write, so readers see the old table or the new one. ``unique`` names a
-        key column to number the rows with as they are written.
+        write: a failed write changes nothing, and a query that has begun keeps
+        the files it planned on. ``unique`` names a key column to number the
+        rows with as they are written.
         """
         if partition_by:
             # Even tasks per partition value, large values split over several.

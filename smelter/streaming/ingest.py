@@ -9,7 +9,7 @@ read one bronze table as ``<root>/<table>``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from smelter.operators.cdc import read_envelopes, rejected_messages, valid_changes
+from smelter.sources.tables import Layer
 from smelter.specs import TableSpec
 from smelter.steps import run_steps
 
@@ -42,15 +43,16 @@ def write_batch(
 ) -> None:
     """Split one batch by topic into its bronze tables; rejected messages go to their own.
 
-    The batch is read from its source once, and kept for the writes per topic.
-    A failed write fails the batch, which Spark then repeats from the checkpoint.
+    The batch is read from its source once, and kept for the writes per topic. The
+    first batch creates every table; later ones skip topics without messages. A
+    failed write fails the batch, which Spark then repeats from the checkpoint.
     """
     messages = messages.filter(F.col("topic").isin(*topics)).persist()
     try:
         present = {row["topic"] for row in messages.select("topic").distinct().collect()}
         rejects = []
         for topic, spec in topics.items():
-            if topic not in present:
+            if topic not in present and batch > 0:
                 continue
             envelopes = read_envelopes(messages.filter(F.col("topic") == topic), spec)
             valid_changes(envelopes).write.mode("overwrite").parquet(
@@ -128,6 +130,13 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
         pending = [q for q in pending if q.isActive]
 
 
+def register_bronze(
+    layer: Layer, specs: Iterable[TableSpec]
+) -> tuple[list[str], dict[str, str]]:
+    """Put the bronze tables under ``layer.root`` in the catalog, with all their batches."""
+    return layer.register_all({spec.name: table_path(layer.root, spec.name) for spec in specs})
+
+
 def read_bronze(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """All changes of one bronze table."""
     row = spec.change_schema.simpleString()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.plans import gold, silver
-from smelter.plans.pipeline import DIMENSIONS, dimension
+from smelter.plans.build import DIMENSIONS, dimension
 from tests.helpers import bag, one, plan, rows
 from tests.test_silver import clean
 

@@ -55,6 +55,14 @@ def test_spreading_both_sides_keeps_every_pair_once(spark, skewed, dim, left, ri
     assert bag(result) == bag(expected)
 
 
+def test_numeric_keys_spread_too(spark):
+    left = spark.range(100).selectExpr("id % 3 AS key", "id")
+    right = spark.range(3).selectExpr("id AS key", "id * 10 AS label")
+    heavy = heavy_keys(left, ["key"], rows_per_task=10)["key"]
+    assert set(heavy.splits) == {0, 1, 2}
+    assert bag(spread_join(left, right, "key", heavy_left=heavy)) == bag(left.join(right, "key"))
+
+
 def test_heavy_rows_land_in_several_partitions(spark, skewed, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.operators import cdc, keys, merge, quality
-from smelter.plans import gold, pipeline, rules, saved, silver
+from smelter.plans import build, gold, rules, saved, silver
 from smelter.plans.gold import MONTH
 from smelter.scratch import scratch_path
 from smelter.sources.csv import read_csv
@@ -55,7 +55,7 @@ def query(name: str):
 
 
 def _event_envelopes(spark: SparkSession, sf_dir: str, **form: bool) -> DataFrame:
-    events = derive.given(spark, sf_dir, "events")
+    events = derive.spread_out(derive.given(spark, sf_dir, "events"))
     return cdc.read_envelopes(derive.event_messages(events, **form), derive.EVENT_LOG)
 
 
@@ -202,20 +202,20 @@ for _table, _name in SILVER_NAMES.items():
 
 
 def _dimension(table: str) -> Query:
-    return lambda spark, sf_dir: pipeline.dimension(table, warehouse(spark, sf_dir).silver)
+    return lambda spark, sf_dir: build.dimension(table, warehouse(spark, sf_dir).silver)
 
 
 def _fact(table: str) -> Query:
     def build(spark, sf_dir):
         w = warehouse(spark, sf_dir)
-        return pipeline.fact(table, w.silver, w.gold)
+        return build.fact(table, w.silver, w.gold)
 
     return build
 
 
-for _table in pipeline.DIMENSIONS:
+for _table in build.DIMENSIONS:
     query(f"gold_{_table}")(_dimension(_table))
-for _table in pipeline.FACTS:
+for _table in build.FACTS:
     query(f"gold_{_table}")(_fact(_table))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from smelter.operators.cdc import read_envelopes, valid_changes
 from smelter.plans import gold, silver
-from smelter.plans.pipeline import FACTS, dimension, fact
+from smelter.plans.build import FACTS, dimension, fact
 from smelter.scratch import scratch_path
 from smelter.sources.tables import Layer
 from smelter.specs import SOURCE_TABLES
