@@ -31,11 +31,14 @@ def envelope_schema(spec: TableSpec) -> T.StructType:
 
 
 def read_envelopes(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """``(topic, kafka_partition, kafka_offset, value)`` -> the same plus the parsed fields.
+    """Messages -> bronze rows: ``(topic, before, after, op, ts_ms, position, raw)``.
 
-    Each message is parsed once. A message that is not a change has NULL ``op``.
+    A message that is not a change has NULL ``op`` and keeps its text in ``raw``.
+    The text is parsed by a generator, because Spark would copy a plain
+    expression into every later filter and parse the message again for each.
     """
-    parsed = messages.withColumn("_m", F.from_json("value", envelope_schema(spec)))
+    parse = F.from_json("value", envelope_schema(spec))
+    parsed = messages.select("topic", *POSITION, "value", F.explode(F.array(parse)).alias("_m"))
     fields = {
         name: F.coalesce(F.col(f"_m.payload.{name}"), F.col(f"_m.{name}"))
         for name in ("before", "after", "op", "ts_ms")
@@ -44,18 +47,18 @@ def read_envelopes(messages: DataFrame, spec: TableSpec) -> DataFrame:
         "topic",
         *[col.alias(name) for name, col in fields.items()],
         *POSITION,
-        F.col("value").alias("raw"),
+        F.when(fields["op"].isNull(), F.col("value")).alias("raw"),
     )
 
 
-def valid_changes(envelopes: DataFrame) -> DataFrame:
-    """Bronze rows: the messages that carry an operation."""
-    return envelopes.filter(F.col("op").isNotNull()).drop("raw")
+def valid_changes(bronze: DataFrame) -> DataFrame:
+    """The rows that carry an operation."""
+    return bronze.filter(F.col("op").isNotNull()).drop("raw")
 
 
-def rejected_messages(envelopes: DataFrame) -> DataFrame:
+def rejected_messages(bronze: DataFrame) -> DataFrame:
     """Everything ``valid_changes`` leaves out, with the text and the reason."""
-    return envelopes.filter(F.col("op").isNull()).select(
+    return bronze.filter(F.col("op").isNull()).select(
         "topic",
         *POSITION,
         "raw",
@@ -66,13 +69,14 @@ def rejected_messages(envelopes: DataFrame) -> DataFrame:
 
 
 def parse_changes(messages: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    envelopes = read_envelopes(messages, spec)
-    return valid_changes(envelopes), rejected_messages(envelopes)
+    """``(valid changes, rejected messages)``; store the bronze rows where both are needed."""
+    bronze = read_envelopes(messages, spec)
+    return valid_changes(bronze), rejected_messages(bronze)
 
 
 def current_images(changes: DataFrame) -> DataFrame:
     """Row images of a log without a key: deletes dropped, replayed messages counted once."""
-    live = changes.filter(F.col("op") != DELETE)
+    live = changes.filter(F.col("op") != DELETE)  # nor rejected messages, whose op is NULL
     return live.dropDuplicates(["topic", *POSITION]).select("after.*")
 
 
@@ -87,15 +91,16 @@ def latest_by_key(
     ``deletes="apply"`` picks the last change first, so a deleted key is gone.
     ``deletes="ignore"`` drops delete events first, so such a key comes back
     as its last other version. Keys compare after trimming, and come from
-    ``before`` where ``after`` is NULL. Rows with a NULL key part are dropped.
+    ``before`` where ``after`` is NULL. Rows with a NULL key part and rejected
+    messages are dropped.
 
     Spark evaluates ``version = 1`` on both sides of the shuffle, so a key that
     holds most of the log sends one row per task.
     """
     if deletes not in ("apply", "ignore"):
         raise ValueError(f"deletes must be 'apply' or 'ignore', not {deletes!r}")
-    if deletes == "ignore":
-        changes = changes.filter(F.col("op") != DELETE)
+    kept = F.col("op") != DELETE if deletes == "ignore" else F.col("op").isNotNull()
+    changes = changes.filter(kept)
     normalised = [
         clean_text(F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}"))).alias(k) for k in keys
     ]

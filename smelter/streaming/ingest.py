@@ -10,18 +10,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from smelter.operators.cdc import read_envelopes, rejected_messages, valid_changes
+from smelter.operators.cdc import read_envelopes
 from smelter.sources.tables import Layer
 from smelter.specs import TableSpec
 from smelter.steps import run_steps
 
-REJECTED = "_rejected"
 STREAM, BATCH = "ingest_stream", "ingest_batch"
 
 
@@ -41,7 +39,7 @@ def stream_id(checkpoint: str) -> str:
 def write_batch(
     messages: DataFrame, topics: Mapping[str, TableSpec], root: str, stream: str, batch: int
 ) -> None:
-    """Split one batch by topic into its bronze tables; rejected messages go to their own.
+    """Split one batch by topic into its bronze tables, malformed messages included.
 
     The batch is read from its source once, and kept for the writes per topic. The
     first batch creates every table; later ones skip topics without messages. A
@@ -50,19 +48,10 @@ def write_batch(
     messages = messages.filter(F.col("topic").isin(*topics)).persist()
     try:
         present = {row["topic"] for row in messages.select("topic").distinct().collect()}
-        rejects = []
         for topic, spec in topics.items():
-            if topic not in present and batch > 0:
-                continue
-            envelopes = read_envelopes(messages.filter(F.col("topic") == topic), spec)
-            valid_changes(envelopes).write.mode("overwrite").parquet(
-                _batch_path(root, spec.name, stream, batch)
-            )
-            rejects.append(rejected_messages(envelopes))
-        if rejects:
-            reduce(DataFrame.unionByName, rejects).write.mode("overwrite").parquet(
-                _batch_path(root, REJECTED, stream, batch)
-            )
+            if topic in present or batch == 0:
+                bronze = read_envelopes(messages.filter(F.col("topic") == topic), spec)
+                bronze.write.mode("overwrite").parquet(_batch_path(root, spec.name, stream, batch))
     finally:
         messages.unpersist()
 
@@ -89,9 +78,9 @@ def stream_one_topic(
 
     Read the result at ``table_path`` while only this stream writes there.
     """
-    changes = valid_changes(read_envelopes(messages, spec))
     writer = (
-        changes.writeStream.format("parquet")
+        read_envelopes(messages, spec)
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", table_path(root, spec.name))
@@ -138,11 +127,11 @@ def register_bronze(
 
 
 def read_bronze(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    """All changes of one bronze table."""
+    """All rows of one bronze table, rejected messages among them."""
     row = spec.change_schema.simpleString()
     schema = (
         f"topic string, before {row}, after {row}, op string, ts_ms bigint, "
-        "kafka_partition int, kafka_offset bigint"
+        "kafka_partition int, kafka_offset bigint, raw string"
     )
     return spark.read.schema(f"{schema}, {STREAM} string, {BATCH} bigint").parquet(
         table_path(root, spec.name)

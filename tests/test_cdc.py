@@ -161,6 +161,24 @@ def hash_of(key):
     return sum(map(ord, key)) % 3
 
 
+def test_bronze_rows_with_rejected_messages_fold_alike(spark):
+    log = [
+        message(1, "c", 10, after=row("a", "1")),
+        ("t", 0, 2, '{"payload": {"after": {"k": "a", "v": "no op"}, "ts_ms": 99}}'),
+        ("t", 0, 3, None),
+    ]
+    bronze = cdc.read_envelopes(spark.createDataFrame(log, MESSAGE_SCHEMA), SPEC)
+    for deletes in ("apply", "ignore"):
+        assert rows(cdc.latest_by_key(bronze, SPEC.keys, deletes=deletes)) == [("a", "1")]
+    assert rows(cdc.current_images(bronze)) == [("a", "1")]
+
+
+def test_filters_do_not_parse_again(spark):
+    valid, _ = changes(spark, [message(1, "c", 10, after=row("a", "1"))])
+    text = plan(valid.filter("op <> 'd' AND after.v = '1'"))
+    assert text.count("from_json") == 1
+
+
 def test_log_without_key_counts_a_replay_once(spark):
     valid, _ = changes(
         spark,

@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 
+from smelter.operators.cdc import rejected_messages, valid_changes
 from smelter.sources.messages import MESSAGE_SCHEMA, file_stream
 from smelter.specs import CUSTOMERS, SELLERS, TableSpec
 from smelter.steps import StepsFailed
@@ -47,12 +48,13 @@ def test_routing_restarts_and_rejects(spark, place):
     )
     place.ingest()
     place.ingest()  # nothing new
-    assert place.offsets(CUSTOMERS) == {(1,): 1}
+    assert place.offsets(CUSTOMERS) == {(1,): 1, (4,): 1}
     assert place.offsets(SELLERS) == {(2,): 1}
     place.land(message("shop.customers", 5, customer_id="b"))
     place.ingest()
-    assert place.offsets(CUSTOMERS) == {(1,): 1, (5,): 1}
-    rejected = spark.read.parquet(ingest.table_path(place.root, ingest.REJECTED))
+    bronze = ingest.read_bronze(spark, place.root, CUSTOMERS)
+    assert sorted(rows(valid_changes(bronze).select("kafka_offset"))) == [(1,), (5,)]
+    rejected = rejected_messages(bronze)
     assert rows(rejected.select("topic", "kafka_offset", "raw")) == [("shop.customers", 4, "{broken")]
 
 

@@ -34,10 +34,13 @@ def comparable(df: DataFrame) -> DataFrame:
         col = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
             col = col.cast("double")
-        elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSS")
+        elif isinstance(field.dataType, T.TimestampNTZType):
+            # Through text, as date_format would pass through the session time zone.
+            text = col.cast("string")
+            whole = F.length(text) == 19
+            col = F.rpad(F.when(whole, F.concat(text, F.lit("."))).otherwise(text), 23, "0")
         elif isinstance(field.dataType, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
+            col = col.cast("string")
         return col.alias(field.name)
 
     return df.select(*[plain(f) for f in df.schema.fields if f.name not in NOT_COMPARED])
@@ -206,11 +209,11 @@ def _dimension(table: str) -> Query:
 
 
 def _fact(table: str) -> Query:
-    def build(spark, sf_dir):
+    def from_stored(spark, sf_dir):
         w = warehouse(spark, sf_dir)
         return build.fact(table, w.silver, w.gold)
 
-    return build
+    return from_stored
 
 
 for _table in build.DIMENSIONS:

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smelter.operators.cdc import read_envelopes, valid_changes
+from smelter.operators.cdc import read_envelopes
 from smelter.plans import gold, silver
 from smelter.plans.build import FACTS, dimension, fact
 from smelter.scratch import scratch_path
@@ -31,8 +31,7 @@ class Warehouse:
     def bronze(self, table: str) -> DataFrame:
         if not self.bronze_layer.exists(table):
             log = messages(self.spark, self.sf_dir, table)
-            changes = valid_changes(read_envelopes(log, SOURCE_TABLES[table]))
-            self.bronze_layer.replace(table, changes)
+            self.bronze_layer.replace(table, read_envelopes(log, SOURCE_TABLES[table]))
         return self.bronze_layer.read(table)
 
     def silver(self, table: str) -> DataFrame:
