@@ -45,20 +45,13 @@ def to_wall_clock(col: Column) -> Column:
     Digits are milliseconds, except four unsigned digits, which are a year.
     """
     text = F.trim(col.cast("string"))
-    is_millis = text.rlike("^-?[0-9]+$") & ~text.rlike("^[0-9]{4}$")
-    # A day-time interval of exact decimal seconds keeps the milliseconds.
-    seconds = text.try_cast("decimal(18,0)") / F.lit(1000).cast("decimal(4,0)")
+    millis = text.try_cast("bigint")
+    is_year = (F.length(text) == 4) & (millis >= 1000)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    # Years 1 to 9999.
-    in_range = text.try_cast("bigint").between(-62135596800000, 253402300799999)
-    return F.when(
-        is_millis,
-        F.when(
-            in_range,
-            epoch
-            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")),
-        ),
-    ).otherwise(text.try_cast("timestamp_ntz"))
+    in_range = millis.between(-62135596800000, 253402300799999)  # years 1 to 9999
+    return F.when(millis.isNull() | is_year, text.try_cast("timestamp_ntz")).when(
+        in_range, F.timestamp_add("MILLISECOND", millis, epoch)
+    )
 
 
 def days_between(end: Column, start: Column) -> Column:
