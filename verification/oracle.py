@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from verification.derive import EPOCH, EVENT_TYPES, SOURCE_SQL
+from verification.derive import EPOCH, SOURCE_SQL
 
 # Keyed tables whose log ends with a delete for these row numbers.
 _DELETED = "_n % 50 <> 7"
