@@ -23,8 +23,9 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from smelter.plans import build  # noqa: E402
+from smelter.scratch import use_scratch  # noqa: E402
 from smelter.specs import SOURCE_TABLES  # noqa: E402
-from verification.queries import QUERIES  # noqa: E402
+from verification.queries import QUERIES, SCRATCH  # noqa: E402
 from verification.warehouse import warehouse  # noqa: E402
 
 HEADLINE = (
@@ -75,6 +76,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_scratch(spark, SCRATCH)
 
     stored = warehouse(spark, sf_dir)
     builds = {}

@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@lru_cache(maxsize=None)
-def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="smelter-")
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else the session's checkpoint folder.
 
-    Where it is unset, a temporary folder serves a local session; on a cluster
-    executors do not share such a folder, so that is an error.
+    Executors must all reach it, so there is no default: without one this is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_root(spark.sparkContext.applicationId)
+    return root.rstrip("/")
+
+
+def use_scratch(spark: SparkSession, folder: str) -> None:
+    """Name ``folder`` as the shared folder of a session that has none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from smelter.operators import cdc, keys, merge, quality
 from smelter.plans import build, gold, rules, saved, silver
 from smelter.plans.gold import MONTH
-from smelter.scratch import scratch_path
+from smelter.scratch import scratch_path, use_scratch
 from smelter.sources.csv import read_csv
 from smelter.sources.tables import summary
 from smelter.specs import ORDER_ITEMS, ORDERS, SOURCE_TABLES, TableSpec
@@ -22,6 +22,9 @@ from verification.warehouse import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Where the caller's session names no shared folder.
+SCRATCH = "/tmp/checkpoints"
+
 QUERIES: dict[str, Query] = {}
 
 NOT_COMPARED = (silver.AUDIT, gold.AUDIT, MONTH, *gold.FACT_KEYS.values())
@@ -48,7 +51,11 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def query(name: str):
     def add(function: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: comparable(function(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            use_scratch(spark, SCRATCH)
+            return comparable(function(spark, sf_dir))
+
+        QUERIES[name] = run
         return function
 
     return add
