@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, mixing, sharding
+from smelter.llm import bpe, exact_dedup, mixing, sharding
 from smelter.llm.words import table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -33,6 +34,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_bpe")
+def _(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query(
     "op6_mixing",
     r"""
