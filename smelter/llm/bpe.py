@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from smelter.llm.batches import slices
+
 WORD_END = "</w>"
 # Fixed values of this family of tokenizers: white space, and what is one word.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -262,16 +264,6 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``most`` bytes in ``column``, one row at least."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
-    part = (np.cumsum(lengths, dtype=np.int64) - lengths) // most
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Encode every text of ``docs`` (doc_id, text) with the tokenizer file at ``path``.
 
