@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import bpe, exact_dedup, mixing, sharding
+from smelter.llm import ann, bpe, exact_dedup, mixing, sharding
 from smelter.llm.words import table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -46,6 +46,27 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "op4_nearest_neighbours",
+    r"""
+    WITH kept AS (
+        SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    compared AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+        FROM kept q JOIN kept c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM compared)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def _(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return ann.search_all(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 @query(
     "op6_mixing",
     r"""
