@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm import queries as llm
 from smelter.llm.words import table
-from smelter.scratch import use_scratch, written
+from smelter.scratch import written
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_scratch(spark, "/tmp/checkpoints")
+    llm.prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), "stage")

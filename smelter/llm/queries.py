@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,19 @@ ORACLE: dict[str, str] = {}
 SHARDS = 40
 
 
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started, and name a scratch folder."""
+    paths = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in paths.get("PYTHONPATH", "").split(":"):
+        paths["PYTHONPATH"] = ":".join(filter(None, [paths.get("PYTHONPATH"), root]))
+    use_scratch(spark, "/tmp/checkpoints")
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            use_scratch(spark, "/tmp/checkpoints")
+            prepare(spark)
             return function(spark, sf_dir)
 
         QUERIES[name] = run
@@ -55,7 +65,8 @@ def _(spark, sf_dir):
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
           AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
     compared AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+        SELECT q.vec_id AS query_id, c.vec_id,
+               sqrt(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])))) AS score
         FROM kept q JOIN kept c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM compared)
