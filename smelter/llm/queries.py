@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import ann, bpe, exact_dedup, mixing, sharding
+from smelter.llm import ann, bpe, debruijn, exact_dedup, mixing, sharding
 from smelter.llm.words import table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -78,6 +78,31 @@ def _(spark, sf_dir):
     return ann.search_all(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+@query(
+    "op5_substring_dedup",
+    r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS content
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)),
+    firsts AS (SELECT content, min(doc_id) AS first_id FROM windows GROUP BY content),
+    later AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS gone
+        FROM windows JOIN firsts USING (content) WHERE first_id < doc_id),
+    removed AS (SELECT doc_id, list(gone) AS gone FROM later GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+           sha256(array_to_string(
+               list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
+    FROM words LEFT JOIN removed USING (doc_id)
+    """,
+)
+def _(spark, sf_dir):
+    return debruijn.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query(
     "op6_mixing",
     r"""
