@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import ann, bpe, debruijn, exact_dedup, mixing, sharding
-from smelter.llm.words import table
+from smelter.llm import ann, bpe, debruijn, exact_dedup, mixing, sharding, toxicity
+from smelter.llm.words import remainder, table
 from smelter.scratch import scratch_path, use_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,24 @@ def _(spark, sf_dir):
     )
 
 
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels to learn from: all but a fifth, by id."""
+    return table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
+
+
+@query("op3_toxicity")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, toxic_labels(spark, sf_dir)))
+    return scored.select(
+        "doc_id",
+        (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 @query(
     "op4_nearest_neighbours",
     r"""
