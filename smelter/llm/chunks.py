@@ -15,28 +15,44 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.scratch import scratch_path
 
 CHUNK_BYTES = 12_000_000  # text of a chunk; a longer document is a chunk of its own
-CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))])
+CHUNK = pa.schema(
+    [
+        ("chunk", pa.int64()),
+        ("ids", pa.list_(pa.int64())),
+        ("texts", pa.list_(pa.string())),
+        ("flags", pa.list_(pa.bool_())),
+    ]
+)
 LAST = np.iinfo(np.int64).max  # stands for a NULL id, which comes after all others
 
 
+@dataclass
+class Chunk:
+    number: int
+    ids: np.ndarray  # ascending
+    texts: pa.Array
+    flags: np.ndarray
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Store doc_id and text (NULL as empty) in chunks: (chunk, ids, texts), bucketed by chunk."""
+def stage(docs: DataFrame, flag: Column | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Store doc_id, text (NULL as empty) and a flag in chunks, bucketed by chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, held, size, number = TaskContext.get().partitionId() << 32, [], 0, 0
@@ -44,14 +60,9 @@ def stage(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         def chunk() -> pa.RecordBatch:
             ids = pa.concat_arrays([b["doc_id"].cast(pa.int64()) for b in held])
             texts = pc.fill_null(pa.concat_arrays([b["text"] for b in held]), "")
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([first + number], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                    pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts),
-                ],
-                schema=CHUNK,
-            )
+            flags = pc.fill_null(pa.concat_arrays([b["flag"] for b in held]), False)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, texts, flags)]
+            return pa.RecordBatch.from_arrays([pa.array([first + number], pa.int64()), *lists], schema=CHUNK)
 
         for batch in batches:
             ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -69,7 +80,8 @@ def stage(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     spark = docs.sparkSession
     name = f"chunks_{uuid.uuid4().hex[:16]}"
-    rows = docs.select("doc_id", "text").mapInArrow(run, "chunk long, ids array<long>, texts array<string>")
+    named = docs.select("doc_id", "text", (F.lit(True) if flag is None else flag).alias("flag"))
+    rows = named.mapInArrow(run, "chunk long, ids array<long>, texts array<string>, flags array<boolean>")
     writer = rows.write.format("parquet").bucketBy(partitions(docs), "chunk").option("path", scratch_path(spark, name))
     writer.saveAsTable(name)
     return spark.table(name)
@@ -78,14 +90,21 @@ def stage(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 def each_chunk(
     batches: Iterator[pa.RecordBatch], work: Callable[..., Iterator[pa.RecordBatch]]
 ) -> Iterator[pa.RecordBatch]:
-    """Call ``work(chunk, ids, texts, *other columns)`` for each stored chunk, in the order of its ids."""
+    """Call ``work(chunk, *other columns)`` for each stored chunk."""
     for batch in batches:
         for i in range(batch.num_rows):
-            ids = pc.fill_null(pc.list_flatten(batch["ids"].slice(i, 1)), LAST).to_numpy(zero_copy_only=False)
+            ids, texts, flags = (pc.list_flatten(batch[c].slice(i, 1)) for c in CHUNK.names[1:])
+            ids = pc.fill_null(ids, LAST).to_numpy(zero_copy_only=False)
             order = np.argsort(ids, kind="stable")
-            texts = pc.list_flatten(batch["texts"].slice(i, 1)).take(pa.array(order))
             rest = [batch[c][i].as_py() for c in batch.schema.names if c not in CHUNK.names]
-            yield from work(batch["chunk"][i].as_py(), ids[order], texts, *rest)
+            flags = flags.to_numpy(zero_copy_only=False).astype(bool)
+            yield from work(Chunk(batch["chunk"][i].as_py(), ids[order], texts.take(pa.array(order)), flags[order]), *rest)
+
+
+def rows_to_batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), 64):
+        columns = zip(*rows[at : at + 64])
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def id_array(ids: np.ndarray) -> pa.Array:

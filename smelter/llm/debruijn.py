@@ -105,10 +105,11 @@ def edges(ids: np.ndarray, texts: pa.Array, k: int) -> Edges:
 
 
 def ask(staged: DataFrame, k: int, shards: int) -> DataFrame:
-    names = ["chunk", "shard", "keys", "docs", "base", "first", "before", "after"]
+    fields = [("chunk", pa.int64()), ("shard", pa.int32()), ("base", pa.int64())]
+    schema = pa.schema(fields + [(c, pa.binary()) for c in ("keys", "docs", "first", "before", "after")])
 
-    def of(chunk: int, ids: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-        e = edges(ids, texts, k)
+    def of(chunk: chunks.Chunk) -> Iterator[pa.RecordBatch]:
+        e = edges(chunk.ids, chunk.texts, k)
         bounds = chunks.shard_bounds(e.keys, shards)
         rows = []
         for shard in np.flatnonzero(np.diff(bounds)).tolist():
@@ -117,27 +118,20 @@ def ask(staged: DataFrame, k: int, shards: int) -> DataFrame:
             first = chunks.pack_numbers((e.first_doc[part] - base).astype(np.uint64))
             rows.append(
                 (
-                    chunk,
+                    chunk.number,
                     shard,
+                    base,
                     chunks.pack_sorted(e.keys[part]),
                     np.packbits(e.docs[part] == 2).tobytes(),
-                    base,
                     first,
                     e.before[part].tobytes(),
                     e.after[part].tobytes(),
                 )
             )
-        for at in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at : at + 64])], names=names)
-
-    ddl = "chunk long, shard int, keys binary, docs binary, base long, first binary, before binary, after binary"
-    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("base", pa.int64())] + [(c, pa.binary()) for c in names[5:]])
+        yield from chunks.rows_to_batches(rows, schema)
 
-    def run(batches):
-        for batch in chunks.each_chunk(batches, of):
-            yield batch.cast(schema)
-
-    return staged.mapInArrow(run, ddl)
+    ddl = "chunk long, shard int, base long, keys binary, docs binary, first binary, before binary, after binary"
+    return staged.mapInArrow(lambda b: chunks.each_chunk(b, of), ddl)
 
 
 def answer(asked: DataFrame) -> DataFrame:
@@ -206,8 +200,8 @@ def dedup(docs: DataFrame, k: int = 13) -> DataFrame:
     shards = 4 * chunks.partitions(docs)
     answers = answer(ask(staged, k, shards))
 
-    def of(chunk: int, ids: np.ndarray, texts: pa.Array, replies: list | None) -> Iterator[pa.RecordBatch]:
-        e = edges(ids, texts, k)
+    def of(chunk: chunks.Chunk, replies: list | None) -> Iterator[pa.RecordBatch]:
+        ids, e = chunk.ids, edges(chunk.ids, chunk.texts, k)
         flags = np.frombuffer(b"".join(r["flags"] for r in replies or []), np.uint8)
         n, words = len(ids), len(e.words)
         origin = np.cumsum(e.counts) - e.counts
@@ -236,7 +230,5 @@ def dedup(docs: DataFrame, k: int = 13) -> DataFrame:
         for at in range(0, n, 2000):
             yield result.slice(at, 2000)
 
-    def run(batches):
-        return chunks.each_chunk(batches, of)
-
-    return chunks.with_answers(staged, answers, "flags").mapInArrow(run, RESULT_DDL)
+    home = chunks.with_answers(staged, answers, "flags")
+    return home.mapInArrow(lambda b: chunks.each_chunk(b, of), RESULT_DDL)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import ann, bpe, debruijn, exact_dedup, mixing, sharding, toxicity
+from smelter.llm import ann, bpe, chunks, debruijn, exact_dedup, kneser_ney, mixing, sharding, toxicity
 from smelter.llm.words import remainder, table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -188,6 +188,14 @@ def new_index(spark: SparkSession) -> exact_dedup.DigestIndex:
     return exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex[:12]}", path)
 
 
+@query("op9_language_model")
+def _(spark, sf_dir):
+    fold = remainder(F.col("doc_id"), 7)
+    staged = chunks.stage(table(spark, sf_dir, "documents"), fold != 2)
+    model, counts = kneser_ney.learn(staged)
+    return kneser_ney.score(staged, model, counts).withColumn("held_out", fold == 2)
+
+
 @query("op10_sharding")
 def _(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), [1.0] * SHARDS).select(
