@@ -213,10 +213,10 @@ def split_like(values: np.ndarray, blocks: list[np.ndarray]) -> list[np.ndarray]
     return np.split(values, np.cumsum([len(b) for b in blocks])[:-1])
 
 
-def with_answers(staged: DataFrame, answers: DataFrame, *columns: str) -> DataFrame:
-    """The chunks, each with ``answers``: an array of its shards' answers, shards in order (NULL: none).
+def with_answers(staged: DataFrame, answers: DataFrame, *columns: str, name: str = "answers") -> DataFrame:
+    """The chunks, each with ``name``: an array of its shards' answers, shards in order (NULL: none).
 
     ``answers`` has chunk, shard and the named columns. Only it is shuffled.
     """
-    home = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", *columns))).alias("answers"))
+    home = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", *columns))).alias(name))
     return staged.join(home.hint("shuffle_hash"), "chunk", "left")

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import ann, bpe, chunks, debruijn, exact_dedup, kneser_ney, mixing, sharding, toxicity
+from smelter.llm import ann, bpe, byte_dedup, chunks, debruijn, exact_dedup, kneser_ney, mixing, sharding, toxicity
 from smelter.llm.words import remainder, table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -44,6 +44,17 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_suffix_dedup")
+def _(spark, sf_dir):
+    return byte_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op2_bpe")
 def _(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
