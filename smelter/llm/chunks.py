@@ -55,7 +55,7 @@ def stage(docs: DataFrame, flag: Column | None = None, chunk_bytes: int = CHUNK_
     """Store doc_id, text (NULL as empty) and a flag in chunks, bucketed by chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, held, size, number = TaskContext.get().partitionId() << 32, [], 0, 0
+        first, held, size, number = TaskContext.get().partitionId() << 22, [], 0, 0
 
         def chunk() -> pa.RecordBatch:
             ids = pa.concat_arrays([b["doc_id"].cast(pa.int64()) for b in held])
@@ -65,7 +65,8 @@ def stage(docs: DataFrame, flag: Column | None = None, chunk_bytes: int = CHUNK_
             return pa.RecordBatch.from_arrays([pa.array([first + number], pa.int64()), *lists], schema=CHUNK)
 
         for batch in batches:
-            ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths.astype(np.int64) + 16)  # so that empty texts fill a chunk, too
             at = 0
             while at < batch.num_rows:
                 before = ends[at - 1] if at else 0

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import ann, bpe, byte_dedup, chunks, debruijn, exact_dedup, kneser_ney, mixing, sharding, toxicity
+from smelter.llm import ann, bpe, byte_dedup, chunks, debruijn, exact_dedup, kneser_ney, minhash, mixing, sharding, toxicity
 from smelter.llm.words import remainder, table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 SHARDS = 40
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def prepare(spark: SparkSession) -> None:
@@ -57,8 +58,7 @@ def _(spark, sf_dir):
 
 @query("op2_bpe")
 def _(spark, sf_dir):
-    path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER)
     return coded.select(
         "doc_id",
         "n_tokens",
@@ -199,6 +199,11 @@ def new_index(spark: SparkSession) -> exact_dedup.DigestIndex:
     return exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex[:12]}", path)
 
 
+@query("op8_near_dedup")
+def _(spark, sf_dir):
+    return minhash.classes(table(spark, sf_dir, "documents")).drop("digest")
+
+
 @query("op9_language_model")
 def _(spark, sf_dir):
     fold = remainder(F.col("doc_id"), 7)

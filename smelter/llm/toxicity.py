@@ -268,6 +268,26 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Field:
 
 
 RESULT = "doc_id long, score double, spans array<struct<start:int,end:int>>"
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _scored(batch: pa.RecordBatch, field: Field, chain: int) -> Iterator[tuple[pa.RecordBatch, Tokens, np.ndarray, np.ndarray]]:
+    """(part, tokens, their probabilities, score of each text) of bounded parts of a batch."""
+    for part in slices(batch, "text", SLICE_CHARS):
+        t = tokens(part["text"], chain)
+        p = token_probabilities(field, t)
+        x = evidence(p, t.counts) @ field.document
+        yield part, t, p, 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _spans(texts: pa.Array, t: Tokens, p: np.ndarray) -> list[list[dict]]:
+    ends, hits = np.cumsum(t.counts), np.flatnonzero(p >= 0.5)
+    spans: list[list[dict]] = [[] for _ in range(len(t.counts))]
+    for i, these in pd.Series(hits).groupby(np.searchsorted(ends, hits, "right")):
+        wanted = set((these - (ends[i] - t.counts[i])).tolist())
+        found = enumerate(re.finditer(WORD, texts[i].as_py()))
+        spans[i] = [{"start": m.start(), "end": m.end()} for j, m in found if j in wanted]
+    return spans
 
 
 def score(docs: DataFrame, field: Field, fit: Fit = Fit()) -> DataFrame:
@@ -278,27 +298,24 @@ def score(docs: DataFrame, field: Field, fit: Fit = Fit()) -> DataFrame:
     alike; other columns are ignored; no rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)  # of bounded size
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
-    )
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("spans", SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            for part in slices(batch, "text", SLICE_CHARS):
-                t = tokens(part["text"], fit.chain)
-                p = token_probabilities(own, t)
-                x = evidence(p, t.counts) @ own.document
-                ends = np.cumsum(t.counts)
-                spans: list[list[dict]] = [[] for _ in range(part.num_rows)]
-                hits = np.flatnonzero(p >= 0.5)
-                for i, these in pd.Series(hits).groupby(np.searchsorted(ends, hits, "right")):
-                    wanted = set((these - (ends[i] - t.counts[i])).tolist())
-                    found = enumerate(re.finditer(WORD, part["text"][i].as_py()))
-                    spans[i] = [{"start": m.start(), "end": m.end()} for j, m in found if j in wanted]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(x, -30, 30)))), pa.array(spans, schema.field("spans").type)],
-                    schema=schema,
-                )
+            for part, t, p, scores in _scored(batch, shared.value, fit.chain):
+                spans = pa.array(_spans(part["text"], t, p), SPANS)
+                yield pa.RecordBatch.from_arrays([part["doc_id"].cast(pa.int64()), pa.array(scores), spans], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
+
+
+def clean(docs: DataFrame, field: Field, fit: Fit = Fit()) -> DataFrame:
+    """The rows of ``docs`` that score below one half, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, _, _, scores in _scored(batch, shared.value, fit.chain):
+                yield part.filter(pa.array(scores < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
