@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from smelter.scratch import scratch_path
 
-CHUNK_BYTES = 12_000_000  # text of a chunk; a longer document is a chunk of its own
+CHUNK_BYTES = 6_000_000  # text of a chunk; a longer document is a chunk of its own
 CHUNK = pa.schema(
     [
         ("chunk", pa.int64()),
