@@ -39,6 +39,8 @@ class Plain:
         self.d = self.discounts(Counter(self.pairs.values()))
         self.e = self.discounts(Counter(self.before.values()))
         self.n, self.v = sum(self.words.values()), len(self.words)
+        kinds = Counter(min(a, 3) for a in self.before.values())
+        self.rest = sum(self.e[i] * kinds[i] for i in (1, 2, 3)) / max(len(self.pairs), 1)
 
     @staticmethod
     def discounts(n):
@@ -50,9 +52,7 @@ class Plain:
         pairs = len(self.pairs)
         if not pairs:
             return 1 / (self.v + 1)
-        kinds = Counter(min(a, 3) for a in self.before.values())
-        rest = sum(self.e[i] * kinds[i] for i in (1, 2, 3)) / pairs
-        return max(self.before[w] - self.e[min(self.before[w], 3)], 0) / pairs + rest / (self.v + 1)
+        return max(self.before[w] - self.e[min(self.before[w], 3)], 0) / pairs + self.rest / (self.v + 1)
 
     def pair(self, v, w):
         total = self.context[v]
