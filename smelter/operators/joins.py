@@ -1,46 +1,41 @@
 """Equi joins that hold when one key carries a large share of the rows.
 
-Nothing here forces a broadcast: Spark broadcasts a side when its measured
+Nothing here forces a broadcast of data: Spark broadcasts a side when its measured
 size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
 What a shuffle cannot survive is one key with billions of rows, so keys that
-outgrow a task are found first and spread over several.
+outgrow a task are counted first and spread over several.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from itertools import chain
-from typing import Any
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from smelter.operators.keys import known_members, or_unknown
+from smelter.scratch import written
 
 ROWS_PER_TASK = 5_000_000
-# Keys the sketch reports per column. Milder skew is left to adaptive execution.
-TRACKED_KEYS = 256
 
 
 @dataclass(frozen=True)
 class Heavy:
-    """Keys with more rows than one task should take -> tasks to spread each over."""
+    """Keys with more rows than one task should take: a table of (_key, _splits)."""
 
-    splits: dict[Any, int] = field(default_factory=dict)
-    null_splits: int = 1
+    table: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.splits) or self.null_splits > 1
+        return self.table is not None
 
-    def splits_of(self, key: Column, dtype: DataType) -> Column:
-        known = F.lit(1)
-        if self.splits:
-            pairs = chain.from_iterable(
-                (F.lit(k).cast(dtype), F.lit(n)) for k, n in self.splits.items()
-            )
-            known = F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(1))
-        return F.when(key.isNull(), self.null_splits).otherwise(known)
+    def added_to(self, df: DataFrame, on: str) -> DataFrame:
+        """``df`` with the number of tasks its key is spread over, in ``_splits``.
+
+        Every heavy key has over ``rows_per_task`` rows, so there are fewer of them than
+        rows / rows_per_task: the table is small enough to broadcast at any scale.
+        """
+        known = df.join(F.broadcast(self.table), F.col(on).eqNullSafe(F.col("_key")), "left")
+        return known.select(*df.columns, F.coalesce("_splits", F.lit(1)).alias("_splits"))
 
 
 NOT_HEAVY = Heavy()
@@ -49,36 +44,31 @@ NOT_HEAVY = Heavy()
 def heavy_keys(
     df: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK
 ) -> dict[str, Heavy]:
-    """Find the heavy keys of several columns in one pass.
+    """Find every heavy key of several columns, NULL among them, by exact counts.
 
-    A frequency sketch per column merges on the map side, and at most
-    ``TRACKED_KEYS`` entries per column reach the driver. The counts only choose
-    how rows are spread; results do not depend on them.
+    Counts are summed map-side; only heavy keys are stored, and none reaches the driver. A table with
+    no more rows than a task takes has no heavy key, so its keys are not counted. The counts
+    only choose how rows are spread; results do not depend on them.
     """
-    sketches = [
-        F.expr(f"approx_top_k({c}, {TRACKED_KEYS}, {TRACKED_KEYS * 16})").alias(c) for c in columns
-    ]
-    found = df.select(*columns).agg(*sketches).first()
+    if df.count() <= rows_per_task:
+        return dict.fromkeys(columns, NOT_HEAVY)
     result = {}
     for column in columns:
-        splits = {
-            entry["item"]: -(-entry["count"] // rows_per_task)
-            for entry in found[column] or []
-            if entry["count"] > rows_per_task
-        }
-        null_splits = splits.pop(None, 1)
-        result[column] = Heavy(splits, null_splits)
+        counts = df.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
+        splits = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_splits")
+        table = written(counts.filter(F.col("_n") > rows_per_task).select("_key", splits), "heavy")
+        result[column] = NOT_HEAVY if table.isEmpty() else Heavy(table)
     return result
 
 
-def _pick(df: DataFrame, splits: Column) -> Column:
+def _pick(df: DataFrame) -> Column:
     # Row content alone would keep equal rows together; the partition id parts them.
-    spread = F.xxhash64(F.spark_partition_id(), *df.columns)
-    return F.when(splits > 1, F.pmod(spread, splits)).otherwise(0).cast("int")
+    spread = F.xxhash64(F.spark_partition_id(), *[c for c in df.columns if c != "_splits"])
+    return F.when(F.col("_splits") > 1, F.pmod(spread, F.col("_splits"))).otherwise(0).cast("int")
 
 
-def _every(splits: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), splits - 1))
+def _every() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col("_splits") - 1))
 
 
 def spread_join(
@@ -104,17 +94,12 @@ def spread_join(
         if not heavy:
             continue
         name = f"_salt_{side}"
-        splits = heavy.splits_of(F.col(on), left.schema[on].dataType)
+        left, right = heavy.added_to(left, on), heavy.added_to(right, on)
         if side == "l":
-            left, right = (
-                left.withColumn(name, _pick(left, splits)),
-                right.withColumn(name, _every(splits)),
-            )
+            left, right = left.withColumn(name, _pick(left)), right.withColumn(name, _every())
         else:
-            left, right = (
-                left.withColumn(name, _every(splits)),
-                right.withColumn(name, _pick(right, splits)),
-            )
+            left, right = left.withColumn(name, _every()), right.withColumn(name, _pick(right))
+        left, right = left.drop("_splits"), right.drop("_splits")
         salts.append(name)
     return left.join(right, [on, *salts], how).drop(*salts)
 

@@ -26,6 +26,9 @@ SUFFIXES = {
 }
 
 
+INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
 class FilterError(ValueError):
     """A filter names no known column or its value does not fit the column's type."""
 
@@ -45,7 +48,10 @@ def _typed(value: Any, dtype: T.DataType) -> Any:
     if isinstance(dtype, T.BooleanType):
         return _boolean(text)
     if isinstance(dtype, T.IntegralType):
-        return int(text)
+        number, bits = int(text), INTEGER_BITS[type(dtype)]
+        if not -(1 << (bits - 1)) <= number < 1 << (bits - 1):
+            raise ValueError(f"{text} is outside the range of {dtype.simpleString()}")
+        return number
     if isinstance(dtype, T.DecimalType):
         return Decimal(text)
     if isinstance(dtype, T.FractionalType):
@@ -53,7 +59,8 @@ def _typed(value: Any, dtype: T.DataType) -> Any:
     if isinstance(dtype, T.DateType):
         return dt.date.fromisoformat(text)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return dt.datetime.fromisoformat(text)
+        # As text: a datetime would be moved by the driver's zone.
+        return dt.datetime.fromisoformat(text).isoformat(sep=" ")
     raise ValueError(f"columns of type {dtype.simpleString()} cannot be filtered")
 
 
@@ -77,11 +84,14 @@ def resolve(name: str, columns: Mapping[str, T.DataType]) -> tuple[str, str]:
     raise FilterError(f"filter {name!r} matches no column")
 
 
-def predicate(name: str, value: Any, columns: Mapping[str, T.DataType]) -> Column:
+def predicate(
+    name: str, value: Any, columns: Mapping[str, T.DataType], wildcards: bool = False
+) -> Column:
     column, comparison = resolve(name, columns)
     dtype, col = columns[column], F.col(column)
     if comparison == "like":
-        return col.cast("string").contains(str(value))
+        text = col.cast("string")
+        return text.like(str(value)) if wildcards else text.contains(str(value))
     if comparison == "in":
         members = value.split(",") if isinstance(value, str) else list(value)
         return col.isin(*[_literal(name, m, dtype) for m in members])
@@ -95,11 +105,13 @@ def predicate(name: str, value: Any, columns: Mapping[str, T.DataType]) -> Colum
     }[comparison]
 
 
-def apply_filters(df: DataFrame, filters: Mapping[str, Any] | None) -> DataFrame:
+def apply_filters(
+    df: DataFrame, filters: Mapping[str, Any] | None, wildcards: bool = False
+) -> DataFrame:
     """Rows meeting every filter; filters with no value are left out."""
     columns = {f.name: f.dataType for f in df.schema.fields}
     wanted = [
-        predicate(name, value, columns)
+        predicate(name, value, columns, wildcards)
         for name, value in (filters or {}).items()
         if value is not None and value != ""
     ]

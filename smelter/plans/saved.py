@@ -21,8 +21,6 @@ from smelter.plans.gold import MONTH
 
 Tables = Callable[[str], DataFrame]
 
-DEFAULT_LIMIT = 50
-MAX_LIMIT = 10_000
 TOP = 5
 
 
@@ -149,9 +147,12 @@ def load(name: str) -> SavedQuery:
         raise KeyError(f"no saved query {name!r}; there are {', '.join(names())}") from None
 
 
-def limited(df: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    if not 0 < limit <= MAX_LIMIT:
-        raise ValueError(f"limit must be from 1 to {MAX_LIMIT}")
+def limited(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """The first rows, or all of them."""
+    if limit is None:
+        return df
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
     return df.limit(limit)
 
 
@@ -159,12 +160,22 @@ def run(
     tables: Tables,
     name: str,
     filters: Mapping[str, Any] | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
     k: int = TOP,
+    wildcards: bool = False,
 ) -> DataFrame:
-    """Run a saved query over the rows of its relation that meet the filters."""
+    """Run a saved query over the rows of its relation that meet the filters.
+
+    With ``wildcards``, ``%`` and ``_`` in the value of a ``_like`` filter stand for any text and any character.
+    """
     query = load(name)
-    return limited(query.summary(apply_filters(query.relation(tables), filters), k), limit)
+    rows = apply_filters(query.relation(tables), filters, wildcards)
+    return limited(query.summary(rows, k), limit)
+
+
+def filterable(tables: Tables, name: str) -> dict[str, str]:
+    """The columns a saved query can be filtered by, with their types: those of its relation."""
+    return dict(load(name).relation(tables).dtypes)
 
 
 def customer_count_with_unknown(tables: Tables) -> DataFrame:

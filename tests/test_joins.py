@@ -24,31 +24,47 @@ def dim(spark):
     )
 
 
+def splits(heavy):
+    return dict(rows(heavy.table))
+
+
 def test_heavy_keys_are_found_with_their_splits(spark, skewed):
     found = heavy_keys(skewed, ["key", "n"], rows_per_task=150)
-    assert found["key"].splits == {"hot": 7}
-    assert found["key"].null_splits == 2
-    assert found["n"].splits == {0: 5, 1: 5, 2: 5, 3: 5}
+    assert splits(found["key"]) == {"hot": 7, None: 2}
+    assert splits(found["n"]) == {0: 5, 1: 5, 2: 5, 3: 5}
     assert not heavy_keys(skewed, ["key"], rows_per_task=10_000)["key"]
 
 
+def test_every_heavy_key_is_found(spark):
+    many = spark.range(20_000).selectExpr("id % 1000 AS key")
+    assert splits(heavy_keys(many, ["key"], rows_per_task=19)["key"]) == {i: 2 for i in range(1000)}
+    # Twenty keys just over the bound among eight million rows of other keys.
+    few = spark.range(8_000_000).selectExpr("CASE WHEN id < 40000 THEN id % 20 ELSE id END AS key")
+    assert set(splits(heavy_keys(few, ["key"], rows_per_task=1000)["key"])) == set(range(20))
+
+
 def test_heavy_keys_of_nothing(spark, skewed):
     assert not heavy_keys(skewed.limit(0), ["key"])["key"]
 
 
-HEAVY = Heavy({"hot": 7, "k1": 3}, null_splits=4)
+@pytest.fixture(scope="module")
+def heavy(spark):
+    return lambda **keys: Heavy(
+        spark.createDataFrame([(None if k == "null" else k, n) for k, n in keys.items()], "_key string, _splits int")
+    )
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_spreading_the_left_changes_no_row(spark, skewed, dim, how):
+def test_spreading_the_left_changes_no_row(spark, skewed, dim, how, heavy):
     expected = skewed.join(dim, "key", how)
-    result = spread_join(skewed, dim, "key", how, heavy_left=HEAVY)
+    result = spread_join(skewed, dim, "key", how, heavy_left=heavy(hot=7, k1=3, null=4))
     assert result.columns == expected.columns
     assert bag(result) == bag(expected)
 
 
-@pytest.mark.parametrize("left, right", [(HEAVY, HEAVY), (Heavy(), HEAVY), (HEAVY, Heavy({"k2": 2}))])
-def test_spreading_both_sides_keeps_every_pair_once(spark, skewed, dim, left, right):
+@pytest.mark.parametrize("left, right", [("hot", "hot"), ("", "hot"), ("hot", "k2")])
+def test_spreading_both_sides_keeps_every_pair_once(spark, skewed, dim, left, right, heavy):
+    left, right = (heavy(**{k: 5, "k1": 3, "null": 4}) if k else Heavy() for k in (left, right))
     many = dim.crossJoin(spark.range(5).withColumnRenamed("id", "copy"))
     expected = skewed.join(many, "key")
     result = spread_join(skewed, many, "key", heavy_left=left, heavy_right=right)
@@ -59,15 +75,15 @@ def test_numeric_keys_spread_too(spark):
     left = spark.range(100).selectExpr("id % 3 AS key", "id")
     right = spark.range(3).selectExpr("id AS key", "id * 10 AS label")
     heavy = heavy_keys(left, ["key"], rows_per_task=10)["key"]
-    assert set(heavy.splits) == {0, 1, 2}
+    assert set(splits(heavy)) == {0, 1, 2}
     assert bag(spread_join(left, right, "key", heavy_left=heavy)) == bag(left.join(right, "key"))
 
 
-def test_heavy_rows_land_in_several_partitions(spark, skewed, dim):
+def test_heavy_rows_land_in_several_partitions(spark, skewed, dim, heavy):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = spread_join(skewed, dim, "key", "left", heavy_left=Heavy({"hot": 64}, 64))
+        joined = spread_join(skewed, dim, "key", "left", heavy_left=heavy(hot=64, null=64))
         spread = joined.withColumn("at", F.spark_partition_id())
         assert spread.filter("key = 'hot'").select("at").distinct().count() > 2
         assert spread.filter("key IS NULL").select("at").distinct().count() > 2
@@ -80,11 +96,11 @@ def test_no_heavy_key_means_a_plain_join(spark, skewed, dim):
     assert "_salt" not in plan(spread_join(skewed, dim, "key", "left"))
 
 
-def test_unsupported_joins(spark, skewed, dim):
+def test_unsupported_joins(spark, skewed, dim, heavy):
     with pytest.raises(ValueError):
         spread_join(skewed, dim, "key", "full")
     with pytest.raises(ValueError):
-        spread_join(skewed, dim, "key", "left", heavy_right=HEAVY)
+        spread_join(skewed, dim, "key", "left", heavy_right=heavy(hot=2))
 
 
 def test_look_up_gives_the_key_or_unknown(spark):

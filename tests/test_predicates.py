@@ -68,6 +68,30 @@ def test_bad_filters_are_errors(df, filters):
         apply_filters(df, filters)
 
 
+def test_wildcards_on_request(df):
+    assert [r.n for r in apply_filters(df, {"name_like": "_o%"}, wildcards=True).orderBy("n").collect()] == [1, 2]
+    assert apply_filters(df, {"name_like": "_o%"}).count() == 0
+
+
+@pytest.mark.parametrize("number", ["2147483648", "-2147483649"])
+def test_integers_beyond_the_column_are_errors(df, number):
+    with pytest.raises(FilterError):
+        apply_filters(df, {"n_lt": number})
+
+
+def test_the_zone_of_the_driver_does_not_move_times(df, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        assert [r.n for r in apply_filters(df, {"at_gte": "2017-06-01T05:00"}).orderBy("n").collect()] == [2, 3]
+        assert apply_filters(df, {"at": "2017-01-01 05:00:00"}).count() == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_filters_reach_the_scan(spark, folder, df):
     df.write.parquet(f"{folder}/t")
     text = plan(apply_filters(spark.read.parquet(f"{folder}/t"), {"n_gte": 2, "name": "x"}))

@@ -33,16 +33,19 @@ SELECT s_suppkey AS _n, CAST(s_suppkey AS STRING) AS seller_id,
        CASE s_nationkey % 3 WHEN 0 THEN 'sp' WHEN 1 THEN 'RS' ELSE 'S1' END AS seller_state
 FROM supplier""",
     "geolocation": f"""
-SELECT c_custkey AS _n, lpad(CAST(c_nationkey AS STRING), 5, '0') AS geolocation_zip_code_prefix,
+SELECT c_custkey AS _n,
+       CASE WHEN c_nationkey = 7 THEN '99907' ELSE lpad(CAST(c_nationkey AS STRING), 5, '0') END
+         AS geolocation_zip_code_prefix,
        CAST((c_custkey * 37) % 200 - 100 AS DOUBLE) AS geolocation_lat,
        CAST((c_custkey * 53) % 400 - 200 AS DOUBLE) AS geolocation_lng,
        concat(' city ', CAST(c_custkey % 2 AS STRING)) AS geolocation_city,
        {_STATE} AS geolocation_state
-FROM customer WHERE c_nationkey <> 7""",
+FROM customer""",
     "category_translation": """
-SELECT min(p_partkey) AS _n, p_type AS product_category_name,
+SELECT min(p_partkey) AS _n,
+       CASE WHEN p_type = 'SMALL' THEN 'OTHER SMALL' ELSE p_type END AS product_category_name,
        lower(p_type) AS product_category_name_english
-FROM part WHERE p_type <> 'SMALL' GROUP BY p_type""",
+FROM part GROUP BY p_type""",
     "products": """
 SELECT p_partkey AS _n, CAST(p_partkey AS STRING) AS product_id, p_type AS product_category_name,
        length(p_name) AS product_name_length, p_size * 10 AS product_description_length,
@@ -111,9 +114,8 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def spread_out(df: DataFrame) -> DataFrame:
-    """Use all cores on a small test file, which is a single row group; leave large scans alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Use all cores on a test file, which is a single row group."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def epoch_millis(ts: Column) -> Column:

@@ -389,6 +389,8 @@ GROUP BY product_category_name_english ORDER BY sum(price_c) DESC, category LIMI
     "q_filter_lt": _revenue("date_sk < 19970101"),
     "q_filter_like": _revenue("city LIKE '%Y 1%'"),
     "q_filter_in": _revenue("state IN ('SP', 'BA')"),
+    "q_filter_timestamp": _revenue("order_purchase_timestamp >= TIMESTAMP '1996-07-01 12:00:00'"),
+    "q_filter_wildcard": _revenue("city LIKE 'C_TY%1'"),
     "q_filter_and": _revenue(
         "full_date >= DATE '1996-01-01' AND full_date <= DATE '1999-12-31' "
         "AND region IN ('SUDESTE', 'NORTE') AND is_delivered"

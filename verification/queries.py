@@ -238,9 +238,9 @@ def _(spark, sf_dir):
 # --- saved queries ---------------------------------------------------------
 
 
-def _saved(name: str, filters: dict | None = None, limit: int = saved.DEFAULT_LIMIT, k: int = 5):
+def _saved(name: str, filters: dict | None = None, limit: int | None = None, k: int = 5, wildcards=False):
     return lambda spark, sf_dir: _rounded(
-        saved.run(warehouse(spark, sf_dir).gold, name, filters, limit, k)
+        saved.run(warehouse(spark, sf_dir).gold, name, filters, limit, k, wildcards)
     )
 
 
@@ -270,6 +270,7 @@ FILTERS = {
     "q_filter_lt": {"date_sk_lt": "19970101"},
     "q_filter_like": {"city_like": "Y 1"},
     "q_filter_in": {"state_in": "SP,BA"},
+    "q_filter_timestamp": {"order_purchase_timestamp_gte": "1996-07-01 12:00:00"},
     "q_filter_and": {
         "full_date_from": "1996-01-01",
         "full_date_lte": "1999-12-31",
@@ -281,6 +282,7 @@ FILTERS = {
 for _name, _filters in FILTERS.items():
     query(_name)(_saved("revenue_by_region", _filters, k=100))
 
+query("q_filter_wildcard")(_saved("revenue_by_region", {"city_like": "C_TY%1"}, k=100, wildcards=True))
 query("q_limit")(_saved("revenue_by_region", limit=3, k=100))
 
 
