@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,8 @@ from smelter.specs import TableSpec
 POSITION = ("kafka_partition", "kafka_offset")
 LOG_ORDER = ("ts_ms", *POSITION)
 DELETE = "d"
+# Create, update, delete, snapshot read.
+OPERATIONS = ("c", "u", DELETE, "r")
 
 
 def envelope_schema(spec: TableSpec) -> T.StructType:
@@ -30,10 +34,27 @@ def envelope_schema(spec: TableSpec) -> T.StructType:
     return T.StructType([T.StructField("payload", body), *body.fields])
 
 
+def _reason(fields: dict[str, Column], spec: TableSpec) -> Column:
+    """Why a message cannot be applied; NULL for a sound change."""
+    op, before, after = fields["op"], fields["before"], fields["after"]
+    image = F.when(op == DELETE, before.isNotNull()).otherwise(after.isNotNull())
+    parts = [
+        F.coalesce(after.getField(k), before.getField(k)).isNotNull() for k in spec.keys
+    ]
+    return (
+        F.when(F.col("value").isNull(), "empty message")
+        .when(op.isNull(), "not a change envelope")
+        .when(~op.isin(*OPERATIONS), "unknown operation")
+        .when(fields["ts_ms"].isNull(), "no change time")
+        .when(~image, "no row image")
+        .when(~reduce(and_, parts, F.lit(True)), "no key")
+    )
+
+
 def read_envelopes(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """Messages -> bronze rows: ``(topic, before, after, op, ts_ms, position, raw)``.
+    """Messages -> bronze rows: ``(topic, before, after, op, ts_ms, position, raw, reason)``.
 
-    A message that is not a change has NULL ``op`` and keeps its text in ``raw``.
+    A message that cannot be applied has NULL ``op``, keeps its text in ``raw`` and says why in ``reason``.
     The text is parsed by a generator, because Spark would copy a plain
     expression into every later filter and parse the message again for each.
     """
@@ -43,29 +64,32 @@ def read_envelopes(messages: DataFrame, spec: TableSpec) -> DataFrame:
         name: F.coalesce(F.col(f"_m.payload.{name}"), F.col(f"_m.{name}"))
         for name in ("before", "after", "op", "ts_ms")
     }
-    return parsed.select(
+    read = parsed.select(
+        "topic", *[col.alias(name) for name, col in fields.items()], *POSITION, "value"
+    )
+    named = {name: F.col(name) for name in fields}
+    judged = read.withColumn("reason", _reason(named, spec))
+    sound = F.col("reason").isNull()
+    return judged.select(
         "topic",
-        *[col.alias(name) for name, col in fields.items()],
+        "before",
+        "after",
+        F.when(sound, F.col("op")).alias("op"),
+        "ts_ms",
         *POSITION,
-        F.when(fields["op"].isNull(), F.col("value")).alias("raw"),
+        F.when(~sound, F.col("value")).alias("raw"),
+        "reason",
     )
 
 
 def valid_changes(bronze: DataFrame) -> DataFrame:
     """The rows that carry an operation."""
-    return bronze.filter(F.col("op").isNotNull()).drop("raw")
+    return bronze.filter(F.col("op").isNotNull()).drop("raw", "reason")
 
 
 def rejected_messages(bronze: DataFrame) -> DataFrame:
     """Everything ``valid_changes`` leaves out, with the text and the reason."""
-    return bronze.filter(F.col("op").isNull()).select(
-        "topic",
-        *POSITION,
-        "raw",
-        F.when(F.col("raw").isNull(), "empty message")
-        .otherwise("not a change envelope")
-        .alias("reason"),
-    )
+    return bronze.filter(F.col("op").isNull()).select("topic", *POSITION, "raw", "reason")
 
 
 def parse_changes(messages: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
@@ -74,10 +98,26 @@ def parse_changes(messages: DataFrame, spec: TableSpec) -> tuple[DataFrame, Data
     return valid_changes(bronze), rejected_messages(bronze)
 
 
-def current_images(changes: DataFrame) -> DataFrame:
-    """Row images of a log without a key: deletes dropped, replayed messages counted once."""
-    live = changes.filter(F.col("op") != DELETE)  # nor rejected messages, whose op is NULL
-    return live.dropDuplicates(["topic", *POSITION]).select("after.*")
+def current_images(changes: DataFrame, deletes: str = "apply") -> DataFrame:
+    """Row images of a log without a key: each as often as it was added, less the times it was removed.
+
+    A delete removes one row equal to its ``before``, an update one such row if it names one; a row
+    removed more often than added is gone. Replayed messages, alike in position and time, count once.
+    ``deletes="ignore"`` counts additions alone.
+    """
+    if deletes not in ("apply", "ignore"):
+        raise ValueError(f"deletes must be 'apply' or 'ignore', not {deletes!r}")
+    sound = changes.filter(F.col("op").isNotNull()).dropDuplicates(["topic", *POSITION, "ts_ms"])
+    added = F.when(F.col("op") != DELETE, F.struct(F.col("after").alias("image"), F.lit(1).alias("n")))
+    removed = F.when(
+        F.col("op").isin(DELETE, "u") & F.col("before").isNotNull(),
+        F.struct(F.col("before").alias("image"), F.lit(-1).alias("n")),
+    )
+    effects = [added] if deletes == "ignore" else [added, removed]
+    each = sound.select(F.explode(F.array_compact(F.array(*effects))).alias("e")).select("e.*")
+    left = each.groupBy("image").agg(F.sum("n").alias("n")).filter("n > 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))
+    return left.select("image", copies.alias("_copy")).select("image.*")
 
 
 def latest_by_key(

@@ -38,6 +38,25 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataF
     )
 
 
+def assign_stable_key(
+    df: DataFrame, business_key: str, name: str, previous: DataFrame | None
+) -> DataFrame:
+    """Add a key that known members keep and new ones get after the largest so far.
+
+    ``previous`` has the two key columns of the last refresh (None: there was none). ``business_key``
+    identifies a row. Members that are gone leave gaps; on a first refresh the keys are dense.
+    """
+    if previous is None:
+        return assign_dense_key(df, [business_key], name)
+    known = written(
+        previous.filter(F.col(name) != UNKNOWN_KEY).select(F.col(business_key), F.col(name)), f"known-{name}"
+    )
+    last = known.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    fresh = assign_dense_key(df.join(known, business_key, "left_anti"), [business_key], name)
+    kept = df.join(known, business_key).select(name, *df.columns)
+    return kept.unionByName(fresh.withColumn(name, F.col(name) + F.lit(last)))
+
+
 def unique_key() -> Column:
     """A key that is unique and at least 1, but neither dense nor repeatable.
 

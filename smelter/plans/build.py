@@ -10,6 +10,11 @@ from smelter.plans import gold, silver
 from smelter.sources.tables import Layer
 from smelter.specs import SOURCE_TABLES
 from smelter.steps import StepsFailed, report, run_steps
+from smelter.streaming.ingest import register_bronze
+
+
+# Independent tables built beside each other.
+AT_ONCE = 3
 
 
 def build_silver(bronze: Layer, layer: Layer, deletes: str = "apply") -> list[str]:
@@ -20,17 +25,22 @@ def build_silver(bronze: Layer, layer: Layer, deletes: str = "apply") -> list[st
             table, silver.from_changes(table, bronze.read(table), deletes)
         )
 
-    return run_steps({table: step(table) for table in SOURCE_TABLES})
+    return run_steps({table: step(table) for table in SOURCE_TABLES}, AT_ONCE)
 
 
-def dimension(table: str, read: Callable[[str], DataFrame]) -> DataFrame:
+def dimension(
+    table: str, read: Callable[[str], DataFrame], previous: DataFrame | None = None
+) -> DataFrame:
+    """A dimension from silver; members of ``previous`` keep their keys."""
     builders = {
-        "dim_geography": lambda: gold.dim_geography(read("geolocation")),
-        "dim_date": lambda: gold.dim_date(read("orders")),
-        "dim_customer": lambda: gold.dim_customer(read("customers")),
-        "dim_seller": lambda: gold.dim_seller(read("sellers")),
-        "dim_product": lambda: gold.dim_product(read("products"), read("category_translation")),
-        "dim_order_status": lambda: gold.dim_order_status(read("orders")),
+        "dim_geography": lambda: gold.dim_geography(read("geolocation"), previous),
+        "dim_date": lambda: gold.dim_date(read("orders"), read("order_reviews")),
+        "dim_customer": lambda: gold.dim_customer(read("customers"), previous),
+        "dim_seller": lambda: gold.dim_seller(read("sellers"), previous),
+        "dim_product": lambda: gold.dim_product(
+            read("products"), read("category_translation"), previous
+        ),
+        "dim_order_status": lambda: gold.dim_order_status(read("orders"), previous),
     }
     return builders[table]()
 
@@ -63,44 +73,87 @@ def fact(
 
 
 def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
-    """Dimensions first, stored, then the facts that refer to them."""
+    """Write all eight tables, facts from the new dimensions, then publish them together.
+
+    If any step fails nothing is published, so readers always see tables of one build.
+    """
+    staged: dict[str, str] = {}
+
+    def stage_dimension(table: str):
+        def step():
+            previous = layer.read(table) if layer.exists(table) else None
+            staged[table] = layer.stage(table, dimension(table, silver_layer.read, previous))
+
+        return step
 
-    def store_dimension(table: str):
-        return lambda: layer.replace(table, dimension(table, silver_layer.read))
+    def stage_fact(table: str):
+        def step():
+            rows = fact(table, silver_layer.read, lambda t: layer.load(staged[t]))
+            staged[table] = gold.stage_fact(layer, table, rows)
 
-    def store_fact(table: str):
-        return lambda: gold.store_fact(layer, table, fact(table, silver_layer.read, layer.read))
+        return step
 
-    done = run_steps({table: store_dimension(table) for table in DIMENSIONS})
-    # The review fact reads the item fact, so the first failure ends the facts.
-    for table in FACTS:
-        done += run_steps({table: store_fact(table)})
+    done: list[str] = []
+    try:
+        done += run_steps({table: stage_dimension(table) for table in DIMENSIONS}, AT_ONCE)
+        # The review fact reads the item fact, so the first failure ends the facts.
+        for table in FACTS:
+            done += run_steps({table: stage_fact(table)})
+    except StepsFailed as error:
+        raise StepsFailed(done + error.done, error.failed) from None
+    for table, path in staged.items():
+        layer.register(table, path)
     return done
 
 
+class BuildFailed(RuntimeError):
+    """A build did not succeed; ``report`` has a row per step."""
+
+    def __init__(self, message: str, report: DataFrame):
+        super().__init__(message)
+        self.report = report
+
+
 def run(
     bronze: Layer,
     silver_layer: Layer,
     gold_layer: Layer,
     ingest: Callable[[], list[str]] | None = None,
 ) -> DataFrame:
-    """Ingest if given, then silver, then gold; one report row per step.
+    """Ingest if given, then silver, then gold; one report row per step, with the rows stored.
 
-    A layer with a failed step still runs its other steps, and stops the next layer.
+    After an ingest the bronze tables are registered again, so that silver sees its batches. A layer with a
+    failed step still runs its other steps, and stops the next layer; the report then comes with
+    ``BuildFailed``.
     """
+
+    def ingested() -> list[str]:
+        done = ingest()
+        registered, failed = register_bronze(bronze, SOURCE_TABLES.values())
+        if failed:
+            raise StepsFailed(done + registered, {t: RuntimeError(why) for t, why in failed.items()})
+        return done
+
     stages = [
-        lambda: build_silver(bronze, silver_layer),
-        lambda: build_gold(silver_layer, gold_layer),
+        (None, ingested) if ingest else None,
+        (silver_layer, lambda: build_silver(bronze, silver_layer)),
+        (gold_layer, lambda: build_gold(silver_layer, gold_layer)),
     ]
-    if ingest:
-        stages.insert(0, ingest)
-    done: list[str] = []
+    planned = {silver_layer: list(SOURCE_TABLES), gold_layer: [*DIMENSIONS, *FACTS]}
+    done: dict[str, int | None] = {}
     failed: Mapping[str, Exception] = {}
-    for stage in stages:
+    for layer, stage in filter(None, stages):
         try:
-            done += stage()
+            names = stage()
         except StepsFailed as error:
-            done += error.done
-            failed = error.failed
+            names, failed = error.done, error.failed
+        published = layer is not None and not (failed and layer is gold_layer)
+        done |= {name: layer.read(name).count() if published else None for name in names}
+        if failed:
             break
-    return report(gold_layer.spark, done, failed)
+    skipped = [t for tables in planned.values() for t in tables if t not in done and t not in failed]
+    outcome = report(gold_layer.spark, done, failed, skipped)
+    if failed:
+        reasons = "; ".join(f"{name}: {error}" for name, error in failed.items())
+        raise BuildFailed(f"{len(failed)} steps failed: {reasons}", outcome)
+    return outcome

@@ -1,20 +1,21 @@
 """Gold star schema: six dimensions, two facts.
 
-Dimension keys are dense, and equal on every rebuild from the same rows. A
-dimension is stored before a fact looks anything up in it. Business keys are
+Dimension keys are dense on a first build; later builds keep them and number new members
+after the largest. A dimension is written before a fact looks anything up in it. Business keys are
 resolved where they are fewest: places at customer and seller grain, customers
 at order grain, and only orders, sellers and products at item grain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions import columns as C
 from smelter.operators.joins import ROWS_PER_TASK, heavy_keys, look_up, spread_join
 from smelter.operators.keys import (
-    assign_dense_key,
+    UNKNOWN_KEY,
+    assign_stable_key,
     known_members,
     or_unknown,
     with_unknown_member,
@@ -57,12 +58,15 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn(AUDIT, F.current_timestamp())
 
 
-def _dimension(df: DataFrame, business_key: str, key: str, unknown: dict) -> DataFrame:
-    keyed = assign_dense_key(df.filter(F.col(business_key).isNotNull()), [business_key], key)
+def _dimension(
+    df: DataFrame, business_key: str, key: str, unknown: dict, previous: DataFrame | None
+) -> DataFrame:
+    members = df.filter(F.col(business_key).isNotNull())
+    keyed = assign_stable_key(members, business_key, key, previous)
     return _stamped(with_unknown_member(keyed, key, unknown))
 
 
-def dim_geography(geolocation: DataFrame) -> DataFrame:
+def dim_geography(geolocation: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """One place per zip code: the one furthest south."""
     places = geolocation.select("zip_code_prefix", "city", "state", "avg_latitude", "avg_longitude")
     southmost = first_per_key(
@@ -82,18 +86,22 @@ def dim_geography(geolocation: DataFrame) -> DataFrame:
         "state": "UNKNOWN",
         "region": "UNKNOWN",
     }
-    return _dimension(located, "zip_code_prefix", "geography_sk", unknown)
+    return _dimension(located, "zip_code_prefix", "geography_sk", unknown, previous)
+
 
+def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Every day of every year from the first purchase or review to the last, and an unknown day.
 
-def dim_date(orders: DataFrame) -> DataFrame:
-    """Every day of every year from the first purchase to the last."""
+    Years outside 1 to 9999 are not in the calendar; facts of such days refer to the unknown member.
+    """
+    years = orders.select(F.year("order_purchase_timestamp").alias("y")).unionByName(
+        reviews.select(F.year("review_creation_date").alias("y"))
+    )
     first, last = (
-        F.coalesce(F.year(bound("order_purchase_timestamp")), F.lit(default))
-        for bound, default in zip((F.min, F.max), DEFAULT_YEARS)
+        F.coalesce(bound("y"), F.lit(default)) for bound, default in zip((F.min, F.max), DEFAULT_YEARS)
     )
     # One row in, one row per day out: at most 9,999 years.
-    dated = orders.filter(F.year("order_purchase_timestamp").between(1, 9999))
-    days = dated.agg(first.alias("first"), last.alias("last")).select(
+    days = years.filter(F.col("y").between(1, 9999)).agg(first.alias("first"), last.alias("last")).select(
         F.explode(
             F.sequence(
                 F.make_date("first", F.lit(1), F.lit(1)),
@@ -102,7 +110,7 @@ def dim_date(orders: DataFrame) -> DataFrame:
         ).alias("full_date")
     )
     day = F.col("full_date")
-    return _stamped(
+    described = (
         days.select(
             C.date_key(day).alias("date_sk"),
             day,
@@ -119,9 +127,17 @@ def dim_date(orders: DataFrame) -> DataFrame:
             F.concat_ws("-Q", F.year(day), F.quarter(day)).alias("year_quarter"),
         )
     )
+    unknown = dict.fromkeys(("day_name", "month_name", "year_month", "year_quarter"), "UNKNOWN")
+    return _stamped(with_unknown_member(described, "date_sk", unknown))
+
+
+def _day(timestamp: str) -> Column:
+    """The key of a time's day; times that the calendar cannot hold are unknown."""
+    key = C.date_key(F.col(timestamp))
+    return F.when(F.year(timestamp).between(1, 9999), key).otherwise(F.lit(UNKNOWN_KEY)).cast("int")
 
 
-def dim_customer(customers: DataFrame) -> DataFrame:
+def dim_customer(customers: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """One row per person: the details under the least customer id."""
     columns = [
         "customer_unique_id",
@@ -133,17 +149,20 @@ def dim_customer(customers: DataFrame) -> DataFrame:
         customers.select(*columns, "customer_id"), ["customer_unique_id"], ["customer_id"]
     )
     unknown = dict(zip(columns, ("UNKNOWN", "00000", "UNKNOWN", "UNKNOWN")))
-    return _dimension(people.select(*columns), "customer_unique_id", "customer_sk", unknown)
+    return _dimension(people.select(*columns), "customer_unique_id", "customer_sk", unknown, previous)
 
 
-def dim_seller(sellers: DataFrame) -> DataFrame:
+def dim_seller(sellers: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     columns = ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
     unknown = dict(zip(columns, ("UNKNOWN", "00000", "UNKNOWN", "UNKNOWN")))
-    return _dimension(sellers.select(*columns), "seller_id", "seller_sk", unknown)
+    return _dimension(sellers.select(*columns), "seller_id", "seller_sk", unknown, previous)
 
 
 def dim_product(
-    products: DataFrame, translation: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    products: DataFrame,
+    translation: DataFrame,
+    previous: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Products with their English category, or the native name where none is known."""
     category = "product_category_name"
@@ -179,10 +198,10 @@ def dim_product(
         ),
         "UNKNOWN",
     )
-    return _dimension(described, "product_id", "product_sk", unknown)
+    return _dimension(described, "product_id", "product_sk", unknown, previous)
 
 
-def dim_order_status(orders: DataFrame) -> DataFrame:
+def dim_order_status(orders: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """The statuses that occur, with their meaning."""
     status = F.col("order_status")
 
@@ -207,7 +226,7 @@ def dim_order_status(orders: DataFrame) -> DataFrame:
         "is_successful": False,
         "pipeline_order": 0,
     }
-    return _dimension(described, "order_status", "order_status_sk", unknown)
+    return _dimension(described, "order_status", "order_status_sk", unknown, previous)
 
 
 def customer_keys(
@@ -278,7 +297,7 @@ def fact_order_items(
         "order_id",
         "customer_id",
         "order_status",
-        C.date_key(F.col("order_purchase_timestamp")).alias("date_sk"),
+        _day("order_purchase_timestamp").alias("date_sk"),
         "actual_delivery_days",
         "delivery_delay_days",
         "is_delivered",
@@ -380,7 +399,7 @@ def fact_reviews(
         joined.select(
             "review_id",
             "order_id",
-            C.date_key(F.col("review_creation_date")).alias("review_date_sk"),
+            _day("review_creation_date").alias("review_date_sk"),
             "order_date_sk",
             "customer_sk",
             "product_sk",
@@ -407,7 +426,16 @@ FACT_KEYS = {"fact_order_items": "order_item_sk", "fact_reviews": "review_sk"}
 MONTH = "date_month"
 
 
+def _by_month(table: str, fact: DataFrame) -> dict:
+    with_month = fact.withColumn(MONTH, C.month_of(FACT_DATES[table]))
+    return {"table": table, "df": with_month, "partition_by": MONTH, "unique": FACT_KEYS[table]}
+
+
 def store_fact(layer, table: str, fact: DataFrame) -> DataFrame:
     """Write a fact with its key, partitioned by month."""
-    with_month = fact.withColumn(MONTH, C.month_of(FACT_DATES[table]))
-    return layer.replace(table, with_month, partition_by=MONTH, unique=FACT_KEYS[table])
+    return layer.replace(**_by_month(table, fact))
+
+
+def stage_fact(layer, table: str, fact: DataFrame) -> str:
+    """The same without publishing it: the folder it is in."""
+    return layer.stage(**_by_month(table, fact))

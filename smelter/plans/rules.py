@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -57,6 +58,13 @@ def validate_silver(table: str, df: DataFrame) -> DataFrame:
     return validate(df, table, SILVER_KEYS[table], RULES[table])
 
 
+def validate_layer(tables: Callable[[str], DataFrame]) -> DataFrame:
+    """Every check of every silver table, foreign keys among them."""
+    reports = [validate_silver(t, tables(t)) for t in SOURCE_TABLES]
+    reports += [orphans for t in SOURCE_TABLES for orphans in silver_orphans(t, tables)]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def silver_orphans(table: str, tables: Callable[[str], DataFrame]) -> list[DataFrame]:
     """One report per foreign key of the table."""
     return [

@@ -25,7 +25,7 @@ TOP = 5
 
 
 def dated(fact: DataFrame, date_key: str, dim_date: DataFrame) -> DataFrame:
-    """Fact rows with their calendar day; rows without a date are left out.
+    """Fact rows with their calendar day; rows without a date have the unknown one.
 
     The month condition lets a date filter prune the fact's partitions.
     """

@@ -225,5 +225,5 @@ CLEAN: dict[str, Callable[[DataFrame], DataFrame]] = {
 def from_changes(table: str, changes: DataFrame, deletes: str = "apply") -> DataFrame:
     """Bronze change log -> silver table: fold to current rows, then clean."""
     keys = SOURCE_TABLES[table].keys
-    rows = latest_by_key(changes, keys, deletes=deletes) if keys else current_images(changes)
+    rows = latest_by_key(changes, keys, deletes=deletes) if keys else current_images(changes, deletes)
     return CLEAN[table](rows)

@@ -28,6 +28,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/smelter/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote and no longer needs."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, label)

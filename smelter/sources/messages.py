@@ -38,15 +38,22 @@ def kafka_stream(
     servers: str,
     topic: str | None = None,
     pattern: str | None = None,
+    max_offsets_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Unbounded messages of one topic, or of every topic matching a pattern."""
+    """Unbounded messages of one topic, or of every topic matching a pattern.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch; catching up takes as many as it needs.
+    """
     if (topic is None) == (pattern is None):
         raise ValueError("give either a topic or a pattern")
+    if not max_offsets_per_trigger or max_offsets_per_trigger < 1:
+        raise ValueError("give max_offsets_per_trigger: without it the first batch is the whole history")
     chosen = {"subscribe": topic} if topic else {"subscribePattern": pattern}
     settings = {
         "kafka.bootstrap.servers": servers,
         "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(max_offsets_per_trigger),
         **chosen,
         **options,
     }

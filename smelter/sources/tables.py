@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -42,8 +43,21 @@ class Layer:
 
         Rows go to a new folder and the catalog entry moves there after the
         write: a failed write changes nothing, and a query that has begun keeps
-        the files it planned on. ``unique`` names a key column to number the
-        rows with as they are written.
+        the files it planned on. The old folder stays until ``expire``.
+        """
+        self.register(table, self.stage(table, df, partition_by, unique))
+        return self.read(table)
+
+    def stage(
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: str | None = None,
+        unique: str | None = None,
+    ) -> str:
+        """Write a refresh without publishing it; returns its folder, for ``register``.
+
+        ``unique`` names a key column to number the rows with as they are written.
         """
         if partition_by:
             # Even tasks per partition value, large values split over several.
@@ -55,27 +69,63 @@ class Layer:
             writer = writer.partitionBy(partition_by)
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
         writer.save(path)
-        self.register(table, path)
-        return self.read(table)
+        return path
+
+    def load(self, path: str) -> DataFrame:
+        return self.spark.read.format(self.fmt).load(path)
+
+    def location(self, table: str) -> str:
+        """The folder the catalog entry points at."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(table)}")
+        return rows.filter("col_name = 'Location'").first()["data_type"]
+
+    def expire(self, table: str) -> int:
+        """Remove the folders of earlier refreshes; returns how many. Their readers must be done."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path
+        folder = place(f"{self.root}/{table}")
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        current = place(self.location(table)).getName()
+        old = [
+            status.getPath()
+            for status in system.listStatus(folder)
+            if re.fullmatch("[0-9a-f]{32}", status.getPath().getName()) and status.getPath().getName() != current
+        ]
+        return sum(system.delete(path, True) for path in old)
 
     def append(self, table: str, df: DataFrame, path: str | None = None) -> DataFrame:
-        """Add rows, creating the table on first use; a failed append is an error."""
-        path = path or f"{self.root}/{table}"
-        df.write.format(self.fmt).mode("append").save(path)
+        """Add rows where the table's rows are, creating it on first use; a failed append is an error."""
+        name, partitions = f"{self.database}.{table}", []
         if self.exists(table):
-            self.spark.catalog.refreshTable(f"{self.database}.{table}")
+            path = self.location(table)
+            partitions = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
         else:
+            path = path or f"{self.root}/{table}"
+        df.write.format(self.fmt).mode("append").partitionBy(*partitions).save(path)
+        if not self.exists(table):
             self.register(table, path)
+        elif partitions:
+            self.spark.catalog.recoverPartitions(name)
+        self.spark.catalog.refreshTable(name)
         return self.read(table)
 
     def register(self, table: str, path: str) -> None:
-        """Point the catalog entry at ``path``, replacing any earlier entry."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+        """Point the catalog entry at ``path``, replacing any earlier entry.
+
+        The new entry is made beside the old one, which goes only once that has succeeded.
+        """
+        root = self.root.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{root}'")
+        fresh = f"{table}_{uuid.uuid4().hex}"
+        try:
+            self.spark.catalog.createTable(f"{self.database}.{fresh}", path=path, source=self.fmt)
+            if any(c.isPartition for c in self.spark.catalog.listColumns(f"{self.database}.{fresh}")):
+                self.spark.catalog.recoverPartitions(f"{self.database}.{fresh}")
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(fresh)}")
+            raise
+        # Both tables are external: dropping and renaming leave their files alone.
         self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(table)}")
-        # The table is external: dropping the entry leaves its files alone.
-        self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source=self.fmt)
-        if any(c.isPartition for c in self.spark.catalog.listColumns(f"{self.database}.{table}")):
-            self.spark.catalog.recoverPartitions(f"{self.database}.{table}")
+        self.spark.sql(f"ALTER TABLE {self.qualified(fresh)} RENAME TO {self.qualified(table)}")
 
     def register_all(self, paths: Mapping[str, str]) -> tuple[list[str], dict[str, str]]:
         """Register every table, going on after a failure: (registered, failed with reason)."""
@@ -91,11 +141,15 @@ class Layer:
     def tables(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database))
 
+    def summary(self, tables: Iterable[str]) -> DataFrame:
+        """Row counts of the named tables with a total; a table that is missing counts as an error."""
+        return summary({t: self.read(t) if self.exists(t) else None for t in tables}, self.spark)
+
 
-def summary(tables: Mapping[str, DataFrame | None], status: Mapping[str, str] | None = None) -> DataFrame:
+def summary(tables: Mapping[str, DataFrame | None], spark: SparkSession | None = None) -> DataFrame:
     """``(table_name, row_count, status)`` with a final total; a missing table counts as an error."""
     present = {name: df for name, df in tables.items() if df is not None}
-    spark = next(iter(present.values())).sparkSession
+    spark = spark or next(iter(present.values())).sparkSession
     rows = [
         df.agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count", F.lit("OK").alias("status")

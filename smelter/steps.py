@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,20 +18,30 @@ class StepsFailed(RuntimeError):
         super().__init__(f"{len(self.failed)} of {len(done) + len(self.failed)} failed: {reasons}")
 
 
-def run_steps(steps: Mapping[str, Callable[[], object]]) -> list[str]:
+def run_steps(steps: Mapping[str, Callable[[], object]], at_once: int = 1) -> list[str]:
+    """Run the steps, up to ``at_once`` beside each other; the names of all, in order, if all succeed."""
     done, failed = [], {}
-    for name, step in steps.items():
-        try:
-            step()
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: pool.submit(inheritable_thread_target(step)) for name, step in steps.items()}
+    for name, step in running.items():
+        error = step.exception()
+        if error is None:
             done.append(name)
-        except Exception as error:  # kept per step and raised together below
+        else:  # kept per step and raised together below
             failed[name] = error
     if failed:
         raise StepsFailed(done, failed)
     return done
 
 
-def report(spark: SparkSession, done: list[str], failed: Mapping[str, Exception]) -> DataFrame:
-    rows = [(name, "OK", None) for name in done]
-    rows += [(name, "FAILED", str(error)) for name, error in failed.items()]
-    return spark.createDataFrame(rows, "step string, status string, reason string")
+def report(
+    spark: SparkSession,
+    done: Mapping[str, int | None],
+    failed: Mapping[str, Exception],
+    skipped: Iterable[str] = (),
+) -> DataFrame:
+    """``(step, status, row_count, reason)``: what was stored, what failed, what was not tried."""
+    rows = [(name, "OK", count, None) for name, count in done.items()]
+    rows += [(name, "FAILED", None, str(error)) for name, error in failed.items()]
+    rows += [(name, "SKIPPED", None, None) for name in skipped]
+    return spark.createDataFrame(rows, "step string, status string, row_count bigint, reason string")

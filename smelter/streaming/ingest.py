@@ -1,14 +1,15 @@
 """Change messages -> bronze tables, each message stored exactly once.
 
 Every micro-batch writes to a folder named after its stream and batch number,
-replacing whatever an earlier attempt of the same batch left there. With the
-checkpoint this makes restarts and retries safe on plain parquet. Consumers
-read one bronze table as ``<root>/<table>``.
+replacing whatever an earlier attempt of the same batch left there. The stream's
+name lives in its checkpoint: with the checkpoint, restarts and retries are safe on
+plain parquet, and a new checkpoint, wherever it is, never touches the folders of an old
+one. Consumers read one bronze table as ``<root>/<table>``.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from smelter.operators.cdc import read_envelopes
+from smelter.scratch import drop_path, scratch_path
+from smelter.sources.messages import MESSAGE_SCHEMA
 from smelter.sources.tables import Layer
 from smelter.specs import TableSpec
 from smelter.steps import run_steps
 
 STREAM, BATCH = "ingest_stream", "ingest_batch"
+UNKNOWN = "unknown_topics"
 
 
 def table_path(root: str, table: str) -> str:
@@ -31,9 +35,15 @@ def _batch_path(root: str, table: str, stream: str, batch: int) -> str:
     return f"{table_path(root, table)}/{STREAM}={stream}/{BATCH}={batch}"
 
 
-def stream_id(checkpoint: str) -> str:
-    """Batch numbers restart with a new checkpoint, so folders carry the checkpoint's name."""
-    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream, kept in its checkpoint: made with it and lost with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/ingest-id")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        out = system.create(path, False)
+        out.write(bytearray(uuid.uuid4().hex.encode()))
+        out.close()
+    return spark.read.text(path.toString()).first()[0]
 
 
 def write_batch(
@@ -41,19 +51,30 @@ def write_batch(
 ) -> None:
     """Split one batch by topic into its bronze tables, malformed messages included.
 
-    The batch is read from its source once, and kept for the writes per topic. The
-    first batch creates every table; later ones skip topics without messages. A
-    failed write fails the batch, which Spark then repeats from the checkpoint.
+    The batch is read from its source once and written to the shared folder by topic; each
+    table then parses its own part. Messages of topics that are not declared go to
+    ``unknown_topics`` with their text. The first batch creates every table; later ones skip topics without
+    messages. A failed write fails the batch, which Spark then repeats from the checkpoint.
     """
-    messages = messages.filter(F.col("topic").isin(*topics)).persist()
-    try:
-        present = {row["topic"] for row in messages.select("topic").distinct().collect()}
-        for topic, spec in topics.items():
-            if topic in present or batch == 0:
-                bronze = read_envelopes(messages.filter(F.col("topic") == topic), spec)
-                bronze.write.mode("overwrite").parquet(_batch_path(root, spec.name, stream, batch))
-    finally:
-        messages.unpersist()
+    spark, number = messages.sparkSession, {topic: i for i, topic in enumerate(topics)}
+    landed = scratch_path(spark, "batch")
+    pairs = [F.lit(x) for pair in number.items() for x in pair]
+    known = F.try_element_at(F.create_map(*pairs), F.col("topic")) if pairs else F.lit(None)
+    part = F.coalesce(known.cast("int"), F.lit(-1)).alias("_part")
+    messages.select("topic", "kafka_partition", "kafka_offset", "value", part).write.partitionBy("_part").parquet(landed)
+    parts = spark.read.schema(f"{MESSAGE_SCHEMA}, _part int").parquet(landed)
+    present = {row["_part"] for row in parts.select("_part").distinct().collect()}  # one per topic at most
+
+    def of(i: int) -> DataFrame:
+        return parts.filter(F.col("_part") == i).drop("_part")
+
+    for topic, spec in topics.items():
+        if number[topic] in present or batch == 0:
+            bronze = read_envelopes(of(number[topic]), spec)
+            bronze.write.mode("overwrite").parquet(_batch_path(root, spec.name, stream, batch))
+    if -1 in present or batch == 0:
+        of(-1).write.mode("overwrite").parquet(_batch_path(root, UNKNOWN, stream, batch))
+    drop_path(spark, landed)
 
 
 def stream_changes(
@@ -64,7 +85,7 @@ def stream_changes(
     catch_up: bool = True,
 ) -> StreamingQuery:
     """Start the ingest: until caught up and then stop, or on and on."""
-    stream = stream_id(checkpoint)
+    stream = stream_id(messages.sparkSession, checkpoint)
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, number: write_batch(batch, topics, root, stream, number)
     )
@@ -107,16 +128,12 @@ def catch_up_topics(
     return run_steps({topic: step(topic, spec) for topic, spec in topics.items()})
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until every query ends; the first failure is raised at once."""
+def await_all(queries: list[StreamingQuery], poll: float = 0.2) -> None:
+    """Wait until every query has ended; a failure is raised as soon as it is seen."""
     pending = list(queries)
     while pending:
-        spark.streams.awaitAnyTermination()
-        spark.streams.resetTerminated()
-        for query in pending:
-            if not query.isActive and query.exception() is not None:
-                raise query.exception()
-        pending = [q for q in pending if q.isActive]
+        # Raises the query's own failure, also of one that ended before this call.
+        pending = [q for q in pending if not q.awaitTermination(timeout=poll)]
 
 
 def register_bronze(
@@ -131,8 +148,14 @@ def read_bronze(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     row = spec.change_schema.simpleString()
     schema = (
         f"topic string, before {row}, after {row}, op string, ts_ms bigint, "
-        "kafka_partition int, kafka_offset bigint, raw string"
+        "kafka_partition int, kafka_offset bigint, raw string, reason string"
     )
     return spark.read.schema(f"{schema}, {STREAM} string, {BATCH} bigint").parquet(
         table_path(root, spec.name)
     )
+
+
+def read_unknown(spark: SparkSession, root: str) -> DataFrame:
+    """Messages of topics that were not declared, with their text."""
+    schema = f"{MESSAGE_SCHEMA}, {STREAM} string, {BATCH} bigint"
+    return spark.read.schema(schema).parquet(table_path(root, UNKNOWN))

@@ -189,7 +189,44 @@ def test_log_without_key_counts_a_replay_once(spark):
             message(3, "d", 20, before=row("a", "1")),
         ],
     )
-    assert bag(cdc.current_images(valid)) == {("a", "1"): 2}
+    assert bag(cdc.current_images(valid)) == {("a", "1"): 1}
+    assert bag(cdc.current_images(valid, "ignore")) == {("a", "1"): 2}
+
+
+def test_updates_of_a_log_without_key(spark):
+    valid, _ = changes(
+        spark,
+        [
+            message(1, "c", 10, after=row("a", "1")),
+            message(2, "u", 11, before=row("a", "1"), after=row("a", "2")),
+            message(3, "d", 12, before=row("never", "seen")),
+            message(1, "c", 99, after=row("b", "1")),  # the topic was made anew
+        ],
+    )
+    assert bag(cdc.current_images(valid)) == {("a", "2"): 1, ("b", "1"): 1}
+
+
+def test_every_wrong_shape_is_rejected_with_its_reason(spark):
+    log = [
+        message(1, "t", 1),
+        message(2, "c", 1),
+        message(3, "c", 1, after="oops"),
+        message(4, "c", "soon", after=row("a", "1")),
+        message(5, "u", 1, after=row(None, "1")),
+        message(6, "d", 1),
+        message(7, "d", 1, before=row("a", None)),
+    ]
+    valid, rejected = changes(spark, log)
+    assert rows(valid.select("kafka_offset")) == [(7,)]
+    assert dict(rows(rejected.select("kafka_offset", "reason"))) == {
+        1: "unknown operation",
+        2: "no row image",
+        3: "no row image",
+        4: "no change time",
+        5: "no key",
+        6: "no row image",
+    }
+    assert rejected.filter("raw IS NULL").count() == 0
 
 
 def test_sample_is_the_start_of_the_log(spark):

@@ -125,8 +125,10 @@ def test_calendar(spark):
         {"order_id": "b", "order_purchase_timestamp": "2016-12-31 23:59:59"},
         {"order_id": "c"},
     )
-    days = gold.dim_date(orders)
-    assert days.count() == 366 + 365
+    reviews = clean(spark, "order_reviews", {"review_id": "r", "order_id": "a", "review_creation_date": "2018-01-02 00:00:00"})
+    days = gold.dim_date(orders, reviews)
+    assert days.count() == 366 + 365 + 365 + 1  # and the unknown day
+    assert one(days.filter("date_sk = -1")).day_name == "UNKNOWN"
     row = one(days.filter("date_sk = 20170101"))
     assert row.full_date == dt.date(2017, 1, 1)
     assert (row.day_of_week, row.day_name, row.week_of_year, row.is_weekend) == (1, "Sunday", 52, True)
@@ -135,8 +137,46 @@ def test_calendar(spark):
 
 
 def test_calendar_without_orders(spark):
-    days = gold.dim_date(clean(spark, "orders", {"order_id": "a"}))
-    assert tuple(one(days.selectExpr("min(date_sk)", "max(date_sk)"))) == (20160101, 20201231)
+    days = gold.dim_date(clean(spark, "orders", {"order_id": "a"}), clean(spark, "order_reviews", {"review_id": "r"}))
+    known = days.filter("date_sk > 0")
+    assert tuple(one(known.selectExpr("min(date_sk)", "max(date_sk)"))) == (20160101, 20201231)
+
+
+def test_late_and_undated_reviews_stay_in_the_star(spark):
+    """Two reviews of one order, one after the last purchase year, and one without a date."""
+    orders = clean(spark, "orders", {"order_id": "a", "order_purchase_timestamp": "2017-05-01 00:00:00"}, {"order_id": "b"})
+    reviews = clean(
+        spark,
+        "order_reviews",
+        {"review_id": "r1", "order_id": "a", "review_score": "5", "review_creation_date": "2018-01-03 00:00:00"},
+        {"review_id": "r2", "order_id": "a", "review_score": "1"},
+        {"review_id": "r3", "order_id": "b", "review_score": "1"},
+    )
+    items = spark.createDataFrame(
+        [("a", 20170501, 1, 1, 1), ("b", -1, 1, 1, 1)],
+        "order_id string, date_sk int, customer_sk long, product_sk long, customer_geography_sk long",
+    )
+    facts = gold.fact_reviews(reviews, items)
+    assert bag(facts.select("review_id", "review_date_sk", "order_date_sk")) == {
+        ("r1", 20180103, 20170501): 1,
+        ("r2", -1, 20170501): 1,
+        ("r3", -1, -1): 1,
+    }
+    days = gold.dim_date(orders, reviews).select("date_sk")
+    assert facts.join(days, facts.review_date_sk == days.date_sk).count() == 3
+
+
+def test_members_keep_their_keys(spark):
+    def sellers(*ids):
+        return clean(spark, "sellers", *[{"seller_id": i} for i in ids])
+
+    first = gold.dim_seller(sellers("b", "d"))
+    second = gold.dim_seller(sellers("a", "b", "c", "d"), first)
+    assert bag(second.select("seller_id", "seller_sk")) == {
+        ("b", 1): 1, ("d", 2): 1, ("a", 3): 1, ("c", 4): 1, ("UNKNOWN", -1): 1,
+    }
+    third = gold.dim_seller(sellers("c", "e"), second)
+    assert bag(third.select("seller_id", "seller_sk")) == {("c", 4): 1, ("e", 5): 1, ("UNKNOWN", -1): 1}
 
 
 def test_status_attributes(spark):

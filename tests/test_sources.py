@@ -52,8 +52,10 @@ def test_kafka_columns(spark):
         "SELECT 't' AS topic, 3 AS partition, 7L AS offset, CAST('{}' AS BINARY) AS value"
     )
     assert rows(from_kafka_records(records)) == [("t", 3, 7, "{}")]
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="topic or a pattern"):
         kafka_stream(spark, "host:9092")
+    with pytest.raises(ValueError, match="max_offsets_per_trigger"):
+        kafka_stream(spark, "host:9092", topic="t")
 
 
 def test_topics_carry_a_prefix():
@@ -106,6 +108,35 @@ def test_append_creates_then_adds_and_never_overwrites(spark, layer):
     assert layer.read("t").count() == 5
 
 
+def test_append_follows_a_replace(spark, layer):
+    layer.replace("t", spark.range(3))
+    layer.append("t", spark.range(2))
+    assert layer.read("t").count() == 5
+    layer.replace("p", spark.range(6).selectExpr("id", "id % 2 AS part"), partition_by="part")
+    layer.append("p", spark.range(2).selectExpr("id", "7 + id AS part"))
+    assert layer.read("p").count() == 8 and layer.read("p").filter("part = 8").count() == 1
+
+
+def test_a_failed_entry_keeps_the_old_one(spark, layer, folder):
+    layer.replace("t", spark.range(3))
+    with pytest.raises(Exception):
+        layer.register("t", f"{folder}/nowhere")
+    assert layer.read("t").count() == 3 and layer.tables() == ["t"]
+
+
+def test_old_versions_expire_on_request(spark, layer):
+    for n in (1, 2, 3):
+        layer.replace("t", spark.range(n))
+    assert layer.expire("t") == 2
+    assert layer.expire("t") == 0
+    assert layer.read("t").count() == 3
+
+
+def test_layer_summary_marks_missing_tables(spark, layer):
+    layer.replace("t", spark.range(3))
+    assert bag(layer.summary(["t", "u"])) == {("t", 3, "OK"): 1, ("u", None, "ERROR"): 1, ("TOTAL", 3, "OK"): 1}
+
+
 def test_register_goes_on_after_a_failure(spark, layer, folder):
     spark.range(4).write.parquet(f"{folder}/good")
     registered, failed = layer.register_all({"good": f"{folder}/good", "gone": f"{folder}/gone"})

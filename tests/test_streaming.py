@@ -50,6 +50,10 @@ def test_routing_restarts_and_rejects(spark, place):
     place.ingest()  # nothing new
     assert place.offsets(CUSTOMERS) == {(1,): 1, (4,): 1}
     assert place.offsets(SELLERS) == {(2,): 1}
+    unknown = ingest.read_unknown(spark, place.root)
+    assert [(t, o, json.loads(v)["payload"]["after"]) for t, o, v in rows(unknown.select("topic", "kafka_offset", "value"))] == [
+        ("other", 3, {"x": "y"})
+    ]
     place.land(message("shop.customers", 5, customer_id="b"))
     place.ingest()
     bronze = ingest.read_bronze(spark, place.root, CUSTOMERS)
@@ -83,6 +87,29 @@ def test_a_second_stream_adds_beside_the_first(spark, place):
     assert place.offsets(CUSTOMERS) == {(1,): 2}  # same messages, for the reader to fold
 
 
+def test_a_new_checkpoint_at_an_old_path_keeps_what_is_stored(spark, place):
+    place.land(*[message("shop.customers", i, customer_id=str(i)) for i in range(10)])
+    place.ingest()
+    Path(place.checkpoint).rename(f"{place.checkpoint}-lost")
+    Path(place.landing).rename(f"{place.landing}-old")
+    place.land(*[message("shop.customers", i, customer_id=str(i)) for i in range(10, 13)])
+    place.ingest()
+    assert place.offsets(CUSTOMERS) == {(i,): 1 for i in range(13)}
+    place.ingest(checkpoint=place.checkpoint + "/")  # the same checkpoint
+    assert place.offsets(CUSTOMERS) == {(i,): 1 for i in range(13)}
+
+
+def test_catching_up_in_several_batches(spark, place):
+    for i in range(4):
+        place.land(message("shop.customers", i, customer_id=str(i)))
+    source = file_stream(spark, place.landing, files_per_batch=1)
+    query = ingest.stream_changes(source, TOPICS, place.root, place.checkpoint)
+    query.awaitTermination()
+    bronze = ingest.read_bronze(spark, place.root, CUSTOMERS)
+    assert bronze.select(ingest.BATCH).distinct().count() >= 4
+    assert place.offsets(CUSTOMERS) == {(i,): 1 for i in range(4)}
+
+
 def test_empty_stream_writes_nothing(spark, place):
     Path(place.landing).mkdir()
     place.ingest()
@@ -121,11 +148,12 @@ def test_awaiting_all_raises_the_first_failure(spark, place, folder):
         return ingest.stream_changes(source, topics, f"{folder}/{name}", f"{folder}/{name}-checkpoint")
 
     good = [query("a", TOPICS), query("b", TOPICS)]
-    ingest.await_all(spark, good)
+    ingest.await_all(good)
     assert not any(q.isActive for q in good)
+    ingest.await_all(good)  # of ended queries: returns at once
     Path(folder, "blocked").write_text("a file where a folder must go")
     with pytest.raises(Exception):
-        ingest.await_all(spark, [query("blocked", TOPICS)])
+        ingest.await_all([query("blocked", TOPICS)])
 
 
 def test_batch_and_stream_agree(spark, place):

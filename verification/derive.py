@@ -240,6 +240,21 @@ def event_messages(
     )
 
 
+# Messages that cannot be applied, one shape for each remainder of event_id, and a sound one (5).
+SHAPES_SQL = """concat('{"before":null,"after":',
+  CASE event_id % 8 WHEN 1 THEN 'null' WHEN 2 THEN '"oops"' WHEN 6 THEN '{"k":null,"v":"1"}'
+       ELSE concat('{"k":"', CAST(user_id AS STRING), '","v":"1"}') END,
+  ',"op":"', CASE event_id % 8 WHEN 0 THEN 'x' WHEN 4 THEN 't' ELSE 'c' END,
+  '","ts_ms":', CASE event_id % 8 WHEN 3 THEN '"soon"' ELSE CAST(event_id AS STRING) END, '}')"""
+
+
+def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = f"""
+SELECT 'event_log' AS topic, CAST(user_id % 4 AS INT) AS kafka_partition, event_id AS kafka_offset,
+       CASE WHEN event_id % 8 <> 7 THEN {SHAPES_SQL} END AS value FROM {{events}}"""
+    return spark.sql(text.replace('{"', '{{"').replace('"}', '"}}').replace("'}'", "'}}'"), events=given(spark, sf_dir, "events"))
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as an unbounded stream."""
     schema = given(spark, sf_dir, "events").schema

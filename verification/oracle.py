@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from verification.derive import EPOCH, SOURCE_SQL
+from verification.derive import EPOCH, SHAPES_SQL, SOURCE_SQL
 
 # Keyed tables whose log ends with a delete for these row numbers.
 _DELETED = "_n % 50 <> 7"
@@ -39,6 +39,7 @@ SELECT geolocation_zip_code_prefix AS zip_code_prefix, upper(trim(geolocation_ci
        round(avg(geolocation_lng), 6) AS avg_longitude
 FROM src_geolocation
 WHERE geolocation_lat BETWEEN -90 AND 90 AND geolocation_lng BETWEEN -180 AND 180
+  AND _n % 50 <> 7
 GROUP BY ALL"""
 
 VIEWS["silver_sellers"] = f"""
@@ -127,8 +128,9 @@ UNION ALL SELECT -1, '00000', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', NULL, NULL"""
 
 VIEWS["dim_date"] = """
 WITH bounds AS (
-  SELECT min(year(order_purchase_timestamp)) AS y0, max(year(order_purchase_timestamp)) AS y1
-  FROM silver_orders),
+  SELECT min(y) AS y0, max(y) AS y1 FROM (
+    SELECT year(order_purchase_timestamp) AS y FROM silver_orders
+    UNION ALL SELECT year(review_creation_date) FROM silver_reviews)),
 days AS (
   SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31),
                                      INTERVAL 1 DAY)) AS DATE) AS d FROM bounds)
@@ -140,7 +142,9 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS full_date,
        dayofweek(d) IN (0, 6) AS is_weekend,
        strftime(d, '%Y-%m') AS year_month,
        concat(year(d), '-Q', quarter(d)) AS year_quarter
-FROM days"""
+FROM days
+UNION ALL
+SELECT -1, NULL, NULL, NULL, 'UNKNOWN', NULL, NULL, 'UNKNOWN', NULL, NULL, NULL, 'UNKNOWN', 'UNKNOWN'"""
 
 VIEWS["dim_customer"] = """
 WITH people AS (
@@ -194,7 +198,7 @@ UNION ALL SELECT -1, 'UNKNOWN', 'Unknown order status', 'OTHER', FALSE, FALSE, 0
 
 VIEWS["fact_items"] = """
 SELECT i.order_id, i.order_item_id,
-       CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS date_sk,
+       coalesce(CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER), -1) AS date_sk,
        coalesce(dc.customer_sk, -1) AS customer_sk, coalesce(dp.product_sk, -1) AS product_sk,
        coalesce(ds.seller_sk, -1) AS seller_sk, coalesce(st.order_status_sk, -1) AS order_status_sk,
        coalesce(gc.geography_sk, -1) AS customer_geography_sk,
@@ -216,8 +220,8 @@ LEFT JOIN dim_geography gs ON gs.zip_code_prefix = ds.seller_zip_code_prefix
 
 VIEWS["fact_reviews"] = """
 SELECT r.review_id, r.order_id,
-       CAST(strftime(r.review_creation_date, '%Y%m%d') AS INTEGER) AS review_date_sk,
-       CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS order_date_sk,
+       coalesce(CAST(strftime(r.review_creation_date, '%Y%m%d') AS INTEGER), -1) AS review_date_sk,
+       coalesce(CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER), -1) AS order_date_sk,
        coalesce(dc.customer_sk, -1) AS customer_sk, coalesce(dp.product_sk, -1) AS product_sk,
        coalesce(g.geography_sk, -1) AS customer_geography_sk,
        r.review_score, r.review_rating, r.has_comment, r.review_comment_title,
@@ -307,8 +311,17 @@ FROM silver_order_items""",
 SELECT op, ts_ms, CASE WHEN op <> 'd' THEN k END AS k, v FROM event_log
 ORDER BY ts_ms, kafka_partition, kafka_offset LIMIT 5""",
     "cdc_topic_routing": """
-SELECT concat('shop.', event_type) AS topic, count(*) AS messages, CAST(sum(event_id) AS BIGINT) AS offset_sum
-FROM events GROUP BY event_type""",
+SELECT concat('shop.', event_type) AS topic, kafka_partition, kafka_offset, op, ts_ms, k, v FROM event_log""",
+    "cdc_unknown_topic": """
+SELECT concat('shop.', event_type) AS topic, kafka_partition, kafka_offset, k,
+       CASE WHEN event_type = 'error' THEN 'd' ELSE op END AS op
+FROM event_log WHERE event_type IN ('error', 'view')""",
+    "cdc_rejected_shapes": f"""
+SELECT event_id AS kafka_offset, CASE WHEN event_id % 8 <> 7 THEN {SHAPES_SQL} END AS raw,
+       CASE event_id % 8 WHEN 0 THEN 'unknown operation' WHEN 1 THEN 'no row image'
+            WHEN 2 THEN 'no row image' WHEN 3 THEN 'no change time' WHEN 4 THEN 'unknown operation'
+            WHEN 6 THEN 'no key' ELSE 'empty message' END AS reason
+FROM events WHERE event_id % 8 <> 5""",
     "insert_if_absent": """
 WITH target AS (SELECT * FROM lineitem WHERE l_linestatus = 'O'),
 fresh AS (
@@ -408,6 +421,16 @@ WHERE customer_state = 'SP' ORDER BY customer_id LIMIT 10""",
 }
 
 SQL["cdc_stream_append"] = SQL["cdc_stream_replay"] = SQL["cdc_envelope_parse"]
+# A new checkpoint reads everything again, beside what the old one stored.
+SQL["cdc_stream_new_checkpoint"] = f"""
+SELECT *, 2 AS stored FROM ({SQL['cdc_envelope_parse']})"""
+SQL["key_refresh"] = """
+WITH first AS (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS order_sk FROM orders WHERE o_orderstatus = 'F'),
+later AS (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + (SELECT count(*) FROM first) AS order_sk
+  FROM orders WHERE o_orderstatus <> 'F')
+SELECT o_orderkey, order_sk FROM first UNION ALL SELECT * FROM later"""
 
 _REVIEW_ANALYSIS = f"""
 SELECT product_category_name_english AS category, count(*) AS total_reviews,

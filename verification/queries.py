@@ -14,7 +14,6 @@ from smelter.plans import build, gold, rules, saved, silver
 from smelter.plans.gold import MONTH
 from smelter.scratch import scratch_path, use_scratch
 from smelter.sources.csv import read_csv
-from smelter.sources.tables import summary
 from smelter.specs import ORDER_ITEMS, ORDERS, SOURCE_TABLES, TableSpec
 from smelter.streaming import ingest
 from verification import derive
@@ -69,8 +68,9 @@ def _event_envelopes(spark: SparkSession, sf_dir: str, **form: bool) -> DataFram
     return cdc.read_envelopes(derive.event_messages(events, **form), derive.EVENT_LOG)
 
 
-def _flat(changes: DataFrame) -> DataFrame:
+def _flat(changes: DataFrame, *columns: str) -> DataFrame:
     return changes.select(
+        *columns,
         "kafka_partition",
         "kafka_offset",
         "op",
@@ -155,11 +155,46 @@ def _(spark, sf_dir):
     )
     ingest.stream_changes(messages, topics, root, checkpoint).awaitTermination()
     tables = [ingest.read_bronze(spark, root, spec) for spec in topics.values()]
-    return (
-        reduce(DataFrame.unionByName, tables)
-        .groupBy("topic")
-        .agg(F.count("*").alias("messages"), F.sum("kafka_offset").alias("offset_sum"))
+    return _flat(reduce(DataFrame.unionByName, tables), "topic")
+
+
+@query("cdc_unknown_topic")
+def _(spark, sf_dir):
+    """Topics that nobody declared are kept with their text."""
+    root, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
+    declared = [kind for kind in derive.EVENT_TYPES if kind not in ("error", "view")]
+    topics = {f"shop.{k}": TableSpec(k, derive.EVENT_LOG.columns, derive.EVENT_LOG.keys) for k in declared}
+    messages = derive.event_messages(
+        derive.event_stream(spark, sf_dir), topic=F.concat(F.lit("shop."), "event_type")
     )
+    ingest.stream_changes(messages, topics, root, checkpoint).awaitTermination()
+    kept = cdc.read_envelopes(ingest.read_unknown(spark, root), derive.EVENT_LOG)
+    return _flat(kept, "topic").select("topic", "kafka_partition", "kafka_offset", "op", "k")
+
+
+@query("cdc_stream_new_checkpoint")
+def _(spark, sf_dir):
+    """A checkpoint that is lost and begun again at the same path adds batches, and replaces none."""
+    root, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
+    topics = {derive.EVENT_LOG.name: derive.EVENT_LOG}
+    for place in (checkpoint, checkpoint + "/"):
+        messages = derive.event_messages(derive.event_stream(spark, sf_dir))
+        ingest.stream_changes(messages, topics, root, place).awaitTermination()
+        set_aside(spark, checkpoint)
+    stored = _flat(ingest.read_bronze(spark, root, derive.EVENT_LOG))
+    return stored.groupBy(*stored.columns).agg(F.count("*").cast("int").alias("stored"))
+
+
+def set_aside(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    system = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.rename(place(path), place(scratch_path(spark, "set-aside")))
+
+
+@query("cdc_rejected_shapes")
+def _(spark, sf_dir):
+    bronze = cdc.read_envelopes(derive.odd_messages(spark, sf_dir), derive.EVENT_LOG)
+    return cdc.rejected_messages(bronze).select("kafka_offset", "raw", "reason")
 
 
 # --- loads -----------------------------------------------------------------
@@ -235,6 +270,15 @@ def _(spark, sf_dir):
     return keys.assign_dense_key(orders, ["o_orderdate", "o_orderkey"], "order_sk")
 
 
+@query("key_refresh")
+def _(spark, sf_dir):
+    """Orders get keys in two refreshes: those of the first keep theirs."""
+    orders = derive.given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    first = keys.assign_stable_key(orders.filter("o_orderstatus = 'F'"), "o_orderkey", "order_sk", None)
+    second = keys.assign_stable_key(orders, "o_orderkey", "order_sk", first)
+    return second.select("o_orderkey", "order_sk")
+
+
 # --- saved queries ---------------------------------------------------------
 
 
@@ -360,4 +404,6 @@ def _(spark, sf_dir):
 @query("layer_summary")
 def _(spark, sf_dir):
     w = warehouse(spark, sf_dir)
-    return summary({t: w.silver(t) for t in SOURCE_TABLES})
+    for table in SOURCE_TABLES:
+        w.silver(table)  # stored on first use
+    return w.silver_layer.summary(SOURCE_TABLES)
