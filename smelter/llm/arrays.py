@@ -34,7 +34,7 @@ def save(uri: str, array: np.ndarray) -> None:
     os.replace(attempt, path)
 
 
-@lru_cache(maxsize=256)
+@lru_cache(maxsize=512)
 def load(uri: str) -> np.ndarray | None:
     """The array, mapped and not read where the path is mounted; None if there is none."""
     path = _mounted(uri)

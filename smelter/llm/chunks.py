@@ -83,8 +83,8 @@ def stage(docs: DataFrame, flag: Column | None = None, chunk_bytes: int = CHUNK_
     name = f"chunks_{uuid.uuid4().hex[:16]}"
     named = docs.select("doc_id", "text", (F.lit(True) if flag is None else flag).alias("flag"))
     rows = named.mapInArrow(run, "chunk long, ids array<long>, texts array<string>, flags array<boolean>")
-    writer = rows.write.format("parquet").bucketBy(partitions(docs), "chunk").option("path", scratch_path(spark, name))
-    writer.saveAsTable(name)
+    writer = rows.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, name))
+    writer.bucketBy(partitions(docs), "chunk").saveAsTable(name)
     return spark.table(name)
 
 

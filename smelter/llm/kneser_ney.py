@@ -22,8 +22,6 @@ from smelter.scratch import scratch_path, written
 
 END, BEGIN = np.uint64(0xE4D0000000000001), np.uint64(0xBE61000000000003)  # stand for no word
 TOTALS = ("tokens", "words", "pairs", "m1", "m2", "m3", "m4", "h1", "h2", "h3", "n1", "n2", "n3", "n4")
-# Rows of a words file.
-WORD, COUNT, N1, N2, N3, AHEAD = range(6)
 
 
 @dataclass(frozen=True)
@@ -34,11 +32,20 @@ class Model:
     shards: int
     totals: dict[str, int]
 
-    def pairs(self, shard: int) -> str:
-        return f"{self.root}/pairs-{shard:06d}.npy"
-
-    def words(self, shard: int) -> str:
-        return f"{self.root}/words-{shard:06d}.npy"
+    def store(self, kind: str, shard: int, keys: np.ndarray, values: np.ndarray) -> None:
+        """Sorted hashes, and beside them rows of numbers in the fewest bytes."""
+        narrow = np.min_scalar_type(int(values.max())) if values.size else np.uint8
+        arrays.save(f"{self.root}/{kind}-{shard:06d}-keys.npy", keys)
+        arrays.save(f"{self.root}/{kind}-{shard:06d}-values.npy", values.astype(narrow))
+
+    def look_up(self, kind: str, shard: int, keys: np.ndarray, rows: int) -> np.ndarray:
+        """The numbers stored for sorted ``keys``, a row for each; zeros where a key is missing."""
+        known = arrays.load(f"{self.root}/{kind}-{shard:06d}-keys.npy")
+        values = arrays.load(f"{self.root}/{kind}-{shard:06d}-values.npy")
+        if known is None or not len(known):
+            return np.zeros((rows, len(keys)), np.int64)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, values[:, at].astype(np.int64), 0)
 
     @property
     def discounts(self) -> np.ndarray:
@@ -137,12 +144,11 @@ def answer(asked: DataFrame, model: Model, learn: bool) -> DataFrame:
             counts = np.concatenate([chunks.unpack_numbers(c).astype(np.int64) for c in blocks["counts"]])
             total = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
             seen = total > 0
-            # Count above hash: both rows of one file.
-            arrays.save(model.pairs(shard), np.stack([distinct[seen], total[seen].astype(np.uint64)]))
+            model.store("pairs", shard, distinct[seen], total[seen][None])
             asked_with = np.flatnonzero(counts)
             own[asked_with[np.unique(which[asked_with], return_index=True)[1]]] = True
         else:
-            total = look_up(arrays.load(model.pairs(shard)), distinct)[0]
+            total = model.look_up("pairs", shard, distinct, 1)[0]
         return pd.DataFrame(
             {
                 "chunk": blocks["chunk"],
@@ -155,14 +161,6 @@ def answer(asked: DataFrame, model: Model, learn: bool) -> DataFrame:
     return asked.groupBy("shard").applyInPandas(of, "chunk long, shard int, counts binary, owner binary")
 
 
-def look_up(stored: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
-    """The rows below the first of a sorted array file at sorted ``keys``; zeros where a key is missing."""
-    if stored is None or not stored.shape[1] or not len(keys):
-        return np.zeros((5 if stored is None else len(stored) - 1, len(keys)), np.int64)
-    at = np.minimum(np.searchsorted(stored[0], keys), stored.shape[1] - 1)
-    return np.where(stored[0][at] == keys, stored[1:, at].astype(np.int64), 0)
-
-
 def _answers(replies: list) -> tuple[np.ndarray, np.ndarray]:
     counts = [chunks.unpack_numbers(r["counts"]).astype(np.int64) for r in replies]
     owner = [np.unpackbits(np.frombuffer(r["owner"], np.uint8), count=len(c)) for r, c in zip(replies, counts)]
@@ -219,12 +217,12 @@ def store_words(sums: DataFrame, model: Model) -> DataFrame:
     def of(blocks: pd.DataFrame) -> pd.DataFrame:
         keys = [chunks.unpack_sorted(b) for b in blocks["keys"]]
         distinct, which = chunks.merged(keys)
-        stored = [distinct]
+        stored = []
         for name in ("count", "n1", "n2", "n3", "ahead"):
             values = np.concatenate([chunks.unpack_numbers(v).astype(np.int64) for v in blocks[name]])
-            stored.append(np.bincount(which, weights=values, minlength=len(distinct)).astype(np.uint64))
-        arrays.save(model.words(int(blocks["shard"].iloc[0])), np.stack(stored))
-        count, n1, n2, _, ahead = (s.astype(np.int64) for s in stored[1:])
+            stored.append(np.bincount(which, weights=values, minlength=len(distinct)).astype(np.int64))
+        model.store("words", int(blocks["shard"].iloc[0]), distinct, np.stack(stored))
+        count, n1, n2, _, ahead = stored
         totals = {
             "tokens": count.sum(),
             "words": (count > 0).sum(),
@@ -263,7 +261,7 @@ def word_rows(model: Model, keys: np.ndarray) -> np.ndarray:
     """(count, n1, n2, n3, ahead) of sorted word hashes, from the mapped files."""
     bounds = chunks.shard_bounds(keys, model.shards)
     parts = [
-        look_up(arrays.load(model.words(s)), keys[bounds[s] : bounds[s + 1]])
+        model.look_up("words", s, keys[bounds[s] : bounds[s + 1]], 5)
         for s in np.flatnonzero(np.diff(bounds)).tolist()
     ]
     return np.concatenate(parts, axis=1)
