@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +40,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of results that are written and no longer referred to.
+
+    Spark's cleaner does so once the driver has collected its garbage, which may be much later.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
