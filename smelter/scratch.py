@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of results that are written and no longer referred to.
 
-    Spark's cleaner does so once the driver has collected its garbage, which may be much later.
+    Spark's cleaner does so once the driver has collected its garbage, which may be much later. What one
+    collection lets go of holds more, so it takes a few, with time between for the cleaner.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(4):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
