@@ -26,8 +26,8 @@ WORD_END = "</w>"
 SPACE = r"\t-\r \x85\xa0  -     　"
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 
-CACHED_WORDS = 500_000  # distinct words a worker remembers; a full cache starts anew
-SLICE_CHARS = 4_000_000  # text handled at once
+CACHED_WORDS = 300_000  # distinct words a worker remembers; a full cache starts anew
+SLICE_CHARS = 2_000_000  # text handled at once
 NEVER = 1 << 40
 
 
