@@ -35,7 +35,7 @@ CHANCE = 7.0  # -log of the odds that a feature is toxic by chance so often
 class Fit:
     """What bounds the fit; scoring is bounded by nothing."""
 
-    documents: int = 3000  # labelled documents of each label that are sampled at most
+    documents: int = 2000  # labelled documents of each label that are sampled at most
     longest: int = 20_000  # characters of a sampled text at most
     sentences: int = 20_000  # chains the field is fitted to at most
     buckets: int = 1 << 20  # feature weights
@@ -145,25 +145,28 @@ def evidence(probability: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def explaining(toxic: np.ndarray, doc: np.ndarray, kinds: list[np.ndarray]) -> np.ndarray:
+def explaining(toxic: np.ndarray, doc: np.ndarray, index: np.ndarray, kinds: list[np.ndarray]) -> np.ndarray:
     """Features that explain the toxic documents, each ``NEEDED`` times if it can be.
 
     Greedily the one that explains most of those that need it, less three for each clean document with it.
-    Only features that are too often toxic for chance are tried. ``doc``: document of each token;
-    ``kinds``: a row of token features for each kind, the most specific first.
+    Only features that are too often toxic for chance are tried. ``doc`` and ``index``: document and distinct word of each
+    token; ``kinds``: the features of the distinct words, a row for each kind, the most specific first.
     """
-    pairs = [np.unique(np.stack([row, doc.astype(np.uint64)]), axis=1) for row in kinds]
-    feature, of = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-    of = of.astype(np.int64)
-    rank = np.repeat(np.arange(len(pairs)), [p.shape[1] for p in pairs])
-    names, which = np.unique(feature, return_inverse=True)
-    ranks = np.empty(len(names), np.int64)
-    ranks[which] = rank
-    clean = np.bincount(which, weights=~toxic[of], minlength=len(names))
-    found = np.bincount(which, weights=toxic[of], minlength=len(names))
-    useful = (found * -np.log(toxic.mean()) >= CHANCE) & (found > 10 * clean)
-    keep = useful[which] & toxic[of]
-    which, of = which[keep], of[keep]
+    names, clean, ranks, which, of = [], [], [], [], []
+    for rank, row in enumerate(kinds):
+        own, feature = np.unique(row, return_inverse=True)
+        pairs = np.unique(doc * len(own) + feature[index])
+        document, feature = pairs // len(own), pairs % len(own)
+        counts = [np.bincount(feature, weights=w[document], minlength=len(own)) for w in (toxic, ~toxic)]
+        useful = (counts[0] * -np.log(toxic.mean()) >= CHANCE) & (counts[0] > 10 * counts[1])
+        keep = useful[feature] & toxic[document]
+        number = np.cumsum(useful) - 1 + sum(map(len, names))
+        names.append(own[useful])
+        clean.append(counts[1][useful])
+        ranks.append(np.full(int(useful.sum()), rank))
+        which.append(number[feature[keep]])
+        of.append(document[keep])
+    names, clean, ranks, which, of = map(np.concatenate, (names, clean, ranks, which, of))
     need = np.full(len(toxic), NEEDED)
     least, chosen = max(2.0, 0.005 * toxic.sum()), []
     while len(which):
@@ -180,9 +183,8 @@ def explaining(toxic: np.ndarray, doc: np.ndarray, kinds: list[np.ndarray]) -> n
 
 def fit_field(t: Tokens, toxic: np.ndarray, fit: Fit) -> Field:
     doc = np.repeat(np.arange(len(t.counts)), t.counts)
-    rows = [row[t.index] for row in t.features]
     order = [0, *range(len(PREFIXES), 0, -1)]
-    found = explaining(toxic, doc, [rows[i] for i in order])
+    found = explaining(toxic, doc, t.index, [t.features[i] for i in order])
     label = np.isin(t.features, found).any(axis=0)[t.index] & toxic[doc]
 
     # Chains with a labelled token first, then others, up to the bound.
@@ -194,7 +196,7 @@ def fit_field(t: Tokens, toxic: np.ndarray, fit: Fit) -> Field:
     chosen[shuffled[np.argsort(~marked[shuffled], kind="stable")][: fit.sentences]] = True
     use = chosen[chain] if number else np.zeros(0, bool)
     begins, label = t.begins[use], label[use].astype(np.float64)
-    slots = [(row[use] % np.uint64(fit.buckets)).astype(np.int64) for row in rows]
+    slots = [(row[t.index[use]] % np.uint64(fit.buckets)).astype(np.int64) for row in t.features]
 
     field = Field(np.zeros(fit.buckets), -2.0, np.zeros((2, 2)), np.array([0.0, 1.0, 0.0]))
     inner = np.flatnonzero(~begins)  # tokens with one before them
