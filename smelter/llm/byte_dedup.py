@@ -5,6 +5,9 @@ is first given an anchor, the 64-byte string in it whose hash is least: equal wi
 place. A piece is a run of windows with one anchor. Chunks ask about their anchors and pieces by hash; a piece whose
 anchor occurs once repeats nothing, one that occurs twice as a whole repeats in all its windows. Only pieces that
 share an anchor with different pieces are sent, once each, to the anchor's shard, and there sorted by suffix.
+
+An anchor at the edge of a passage that countless texts share has as many different pieces. No task could sort
+those; their windows are dealt out by hash instead.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ SEGMENT = 1 << 20  # windows of a text handled at once
 PLACE = np.uint64((1 << 24) - 1)  # bits of a hash that give way to its place: of equal hashes the first counts
 
 # What a shard says of a piece.
-SINGLE, EVERYWHERE, SEND, SEND_EVERYWHERE = 0, 1, 2, 3
+SINGLE, EVERYWHERE, SEND, SEND_EVERYWHERE, HASH, HASH_EVERYWHERE = 0, 1, 2, 3, 4, 5
+MOST = 2000  # different pieces of one anchor that are sorted together
 
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -54,7 +58,8 @@ def pieces(text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.nda
     first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
     after = np.append(first[1:], windows)
     whole = (total[after - 1 + width] - total[first]) * back[first] + (after - first).astype(np.uint64)
-    return key[least[first].astype(np.int64)], chunks.mix(whole), first, after
+    # Anchors have the least hashes of all: mixed once more, they spread evenly over the shards.
+    return chunks.mix(key[least[first].astype(np.int64)] + np.uint64(1)), chunks.mix(whole), first, after
 
 
 @dataclass
@@ -113,8 +118,8 @@ def ask(staged: DataFrame, width: int, shards: int) -> DataFrame:
     return staged.mapInArrow(lambda b: chunks.each_chunk(b, of), ddl)
 
 
-def judge(asked: DataFrame) -> DataFrame:
-    """What to do with each piece; of equal pieces in several chunks one is sent."""
+def judge(asked: DataFrame, most: int) -> DataFrame:
+    """What to do with each piece; of equal pieces in several chunks one is sent or hashed."""
 
     def of(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values("chunk")
@@ -132,8 +137,13 @@ def judge(asked: DataFrame) -> DataFrame:
         size = np.diff(np.append(begin, len(a)))
         many = np.repeat((size > 1) | (np.add.reduceat(several[order].astype(np.int64), begin) > 0), size)
         group = np.cumsum(new_anchor) - 1
-        mixed = np.bincount(group, weights=new)[group] > 1  # the anchor has different pieces
-        state = np.where(many, np.where(mixed & new, SEND_EVERYWHERE, EVERYWHERE), np.where(mixed, SEND, SINGLE))
+        different = np.bincount(group, weights=new)[group]  # pieces of the anchor
+        mixed, crowd = different > 1, different > most
+        state = np.where(
+            many,
+            np.where(mixed & new, np.where(crowd, HASH_EVERYWHERE, SEND_EVERYWHERE), EVERYWHERE),
+            np.where(mixed, np.where(crowd, HASH, SEND), SINGLE),
+        )
         states = np.empty(len(order), np.uint8)
         states[order] = state
         return pd.DataFrame(
@@ -162,7 +172,8 @@ def send(home: DataFrame, width: int, shards: int) -> DataFrame:
         state = _states(replies)
         bounds = chunks.shard_bounds(p.anchors, shards)
         for shard in np.flatnonzero(np.diff(bounds)).tolist():
-            sent = bounds[shard] + np.flatnonzero(state[bounds[shard] : bounds[shard + 1]] >= SEND)
+            mine = state[bounds[shard] : bounds[shard + 1]]
+            sent = bounds[shard] + np.flatnonzero((mine == SEND) | (mine == SEND_EVERYWHERE))
             if not len(sent):
                 continue
             one = p.one[sent]
@@ -194,6 +205,69 @@ def sort_pieces(sent: DataFrame, width: int) -> DataFrame:
     return sent.groupBy("shard").applyInPandas(of, "chunk long, shard int, windows binary")
 
 
+@dataclass
+class Windows:
+    """The windows of the hashed pieces of a chunk: distinct keys, sorted, and each window's key."""
+
+    keys: np.ndarray
+    which: np.ndarray
+    times: np.ndarray
+    pieces: np.ndarray
+    lengths: np.ndarray  # windows of each of these pieces
+
+
+def hashed_windows(p: Pieces, state: np.ndarray, width: int) -> Windows:
+    hashed = np.flatnonzero(state >= HASH)
+    one = p.one[hashed]
+    if not len(one):
+        none = np.zeros(0, np.int64)
+        return Windows(none.astype(np.uint64), none, none, hashed, none)
+    content = np.concatenate([p.texts[d][a : b + width - 1] for d, a, b in zip(p.doc[one], p.first[one], p.after[one])])
+    lengths = p.after[one] - p.first[one]
+    begin = np.cumsum(lengths + width - 1) - (lengths + width - 1)
+    start = np.repeat(begin - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+    total = np.zeros(len(content) + 1, np.uint64)
+    np.cumsum((content + np.uint64(1)) * _powers(suffixes.MULTIPLIER, len(content)), out=total[1:])
+    keys = chunks.mix((total[start + width] - total[start]) * _powers(suffixes.INVERSE, len(content))[start])
+    distinct, which, times = np.unique(keys, return_inverse=True, return_counts=True)
+    return Windows(distinct, which, times, hashed, lengths)
+
+
+def ask_windows(home: DataFrame, width: int, shards: int) -> DataFrame:
+    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("keys", pa.binary()), ("several", pa.binary())])
+
+    def of(chunk: chunks.Chunk, replies: list | None) -> Iterator[pa.RecordBatch]:
+        state = _states(replies)
+        if not (state >= HASH).any():
+            return
+        w = hashed_windows(chunk_pieces(chunk.texts, width), state, width)
+        bounds = chunks.shard_bounds(w.keys, shards)
+        rows = []
+        for shard in np.flatnonzero(np.diff(bounds)).tolist():
+            part = slice(bounds[shard], bounds[shard + 1])
+            several = np.packbits(w.times[part] > 1).tobytes()
+            rows.append((chunk.number, shard, chunks.pack_sorted(w.keys[part]), several))
+        yield from chunks.rows_to_batches(rows, schema)
+
+    return home.mapInArrow(lambda b: chunks.each_chunk(b, of), "chunk long, shard int, keys binary, several binary")
+
+
+def find_windows(asked: DataFrame) -> DataFrame:
+    """Which of the windows asked about occur twice or more."""
+
+    def of(blocks: pd.DataFrame) -> pd.DataFrame:
+        keys = [chunks.unpack_sorted(b) for b in blocks["keys"]]
+        _, which = chunks.merged(keys)
+        several = np.concatenate(
+            [np.unpackbits(np.frombuffer(s, np.uint8), count=len(k)) for s, k in zip(blocks["several"], keys)]
+        )
+        found = (np.bincount(which, weights=1 + several) > 1)[which]
+        flags = [np.packbits(x).tobytes() for x in chunks.split_like(found, keys)]
+        return pd.DataFrame({"chunk": blocks["chunk"], "shard": blocks["shard"], "found": flags})
+
+    return asked.groupBy("shard").applyInPandas(of, "chunk long, shard int, found binary")
+
+
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 RESULT = pa.schema(
     [
@@ -207,7 +281,53 @@ RESULT = pa.schema(
 RESULT_DDL = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
+def runs(flag: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """[begin, end) of runs of set flags within one owner."""
+    same = owner[1:] == owner[:-1]
+    begin = flag & ~np.append(False, flag[:-1] & same)[: len(flag)]
+    end = flag & ~np.append(flag[1:] & same, False)[: len(flag)]
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def united(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals that overlap or touch, as one."""
+    if not len(begin):
+        return begin, end
+    order = np.argsort(begin, kind="stable")
+    begin, reach = begin[order], np.maximum.accumulate(end[order])
+    first = np.append(True, begin[1:] > reach[:-1])
+    return begin[first], reach[np.append(np.flatnonzero(first)[1:] - 1, len(reach) - 1)]
+
+
+def _results(ids, texts: list[np.ndarray], size, origin, begin, end) -> Iterator[pa.RecordBatch]:
+    """A row per text from the removed spans of all."""
+    owner = np.searchsorted(origin, begin, "right") - 1
+    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+    begin, end = begin - origin[owner], end - origin[owner]
+    for at in range(0, len(texts), 500):
+        rows = range(at, min(at + 500, len(texts)))
+        spans, kept, removed = [], [], []
+        for i in rows:
+            part = slice(edges[i], edges[i + 1])
+            cuts = list(zip(begin[part].tolist(), end[part].tolist()))
+            starts = [0, *(e for _, e in cuts)]
+            stops = [*(b for b, _ in cuts), int(size[i])]
+            spans.append([{"start": b, "end": e} for b, e in cuts])
+            kept.append(b"".join(texts[i][a:b].tobytes() for a, b in zip(starts, stops)))
+            removed.append(int(size[i]) - len(kept[-1]))
+        yield pa.RecordBatch.from_arrays(
+            [
+                chunks.id_array(ids[rows.start : rows.stop]),
+                pa.array(size[rows.start : rows.stop]),
+                pa.array(removed, pa.int64()),
+                pa.array(spans, RESULT.field("spans").type),
+                pa.array(kept, pa.binary()),
+            ],
+            schema=RESULT,
+        )
+
+
+def dedup(docs: DataFrame, width: int = 400, most: int = MOST) -> DataFrame:
     """Remove every byte covered by a ``width``-byte string that also starts anywhere else, in this text or another.
 
     Columns: doc_id, n_bytes, n_removed, spans (maximal removed runs of bytes, [start, end)), kept (the other
@@ -215,58 +335,49 @@ def dedup(docs: DataFrame, width: int = 400) -> DataFrame:
     NULL and empty texts, and those shorter than ``width``, lose nothing. Texts are read whole; a repeated row
     is another text. Other columns are ignored; no rows give no rows.
 
-    Anchors and pieces are compared by 64-bit hashes, the windows of different pieces by suffix order.
+    Anchors and pieces are compared by 64-bit hashes, the windows of different pieces by suffix order, or
+    by 64-bit hashes where an anchor has over ``most`` different pieces.
     """
-    shards = 4 * chunks.partitions(docs)
+    shards = 8 * chunks.partitions(docs)
     staged = chunks.stage(docs)
-    judged = written(judge(ask(staged, width, shards)), "pieces")
+    judged = written(judge(ask(staged, width, shards), most), "pieces")
     known = chunks.with_answers(staged, judged, "states")
     sorted_ = sort_pieces(send(known, width, shards), width)
+    found = find_windows(ask_windows(known, width, shards))
 
-    def of(chunk: chunks.Chunk, states: list | None, replies: list | None) -> Iterator[pa.RecordBatch]:
+    def of(
+        chunk: chunks.Chunk, states: list | None, replies: list | None, finds: list | None
+    ) -> Iterator[pa.RecordBatch]:
         p = chunk_pieces(chunk.texts, width)
         state = _states(states)
-        n = len(p.texts)
         size = np.array([len(t) for t in p.texts], np.int64)
-        origin = np.cumsum(size) - size
-        edge = np.zeros(int(size.sum()) + 1, np.int64)
-        whole = (state == EVERYWHERE) | (state == SEND_EVERYWHERE)
+        origin = np.cumsum(size + 1) - (size + 1)  # a gap keeps the runs of two texts apart
+        whole = (state == EVERYWHERE) | (state == SEND_EVERYWHERE) | (state == HASH_EVERYWHERE)
         hit = np.flatnonzero(whole[p.which]) if len(state) else p.which
-        np.add.at(edge, origin[p.doc[hit]] + p.first[hit], 1)
-        np.add.at(edge, origin[p.doc[hit]] + p.after[hit] + width - 1, -1)
+        gone = [(origin[p.doc[hit]] + p.first[hit], origin[p.doc[hit]] + p.after[hit] + width - 1)]
+
+        def cover(one: np.ndarray, flag: np.ndarray) -> None:
+            """Runs of flagged windows of some pieces."""
+            lengths = p.after[one] - p.first[one]
+            owner = np.repeat(np.arange(len(one)), lengths)
+            begin, end = runs(flag, owner)
+            place = (origin[p.doc[one]] + p.first[one] - np.cumsum(lengths) + lengths)[owner[begin]]
+            gone.append((place + begin, place + end + width - 1))
+
         asked = np.flatnonzero(state == SEND)
-        bounds = chunks.shard_bounds(p.anchors, shards)
-        shard = np.searchsorted(bounds, asked, "right") - 1
+        shard = np.searchsorted(chunks.shard_bounds(p.anchors, shards), asked, "right") - 1
         for reply in replies or []:
             mine = p.one[asked[shard == reply["shard"]]]
-            lengths = p.after[mine] - p.first[mine]
-            flag = np.unpackbits(np.frombuffer(reply["windows"], np.uint8), count=int(lengths.sum())) > 0
-            start = np.repeat(origin[p.doc[mine]] + p.first[mine] - np.cumsum(lengths) + lengths, lengths)
-            start = (start + np.arange(len(start)))[flag]
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + width, -1)
-        gone = np.cumsum(edge[:-1]) > 0
-        owner = np.repeat(np.arange(n), size)
-        begin = np.flatnonzero(gone & ~np.append(False, gone[:-1] & (owner[1:] == owner[:-1])))
-        end = np.flatnonzero(gone & ~np.append(gone[1:] & (owner[1:] == owner[:-1]), False)) + 1
-        of_doc = owner[begin] if len(begin) else begin
-        pairs = pa.StructArray.from_arrays(
-            [pa.array(begin - origin[of_doc]), pa.array(end - origin[of_doc])], fields=list(SPAN)
-        )
-        offsets = pa.array(np.append(0, np.cumsum(np.bincount(of_doc, minlength=n))), pa.int32())
-        cuts = zip(p.texts, origin.tolist(), (origin + size).tolist())
-        result = pa.RecordBatch.from_arrays(
-            [
-                chunks.id_array(chunk.ids),
-                pa.array(size),
-                pa.array(np.bincount(owner[gone], minlength=n)),
-                pa.ListArray.from_arrays(offsets, pairs),
-                pa.array([t[~gone[a:b]].tobytes() for t, a, b in cuts], pa.binary()),
-            ],
-            schema=RESULT,
-        )
-        for at in range(0, n, 2000):
-            yield result.slice(at, 2000)
+            count = int((p.after[mine] - p.first[mine]).sum())
+            cover(mine, np.unpackbits(np.frombuffer(reply["windows"], np.uint8), count=count) > 0)
+        if finds:
+            w = hashed_windows(p, state, width)
+            parts = np.diff(chunks.shard_bounds(w.keys, shards))
+            bits = [np.unpackbits(np.frombuffer(f["found"], np.uint8), count=parts[f["shard"]]) for f in finds]
+            cover(p.one[w.pieces], np.concatenate(bits)[w.which] > 0)
+        begin, end = united(*(np.concatenate(x) for x in zip(*gone)))
+        yield from _results(chunk.ids, p.texts, size, origin, begin, end)
 
     home = chunks.with_answers(known, sorted_, "windows", name="sorted")
+    home = chunks.with_answers(home, found, "found", name="finds")
     return home.mapInArrow(lambda b: chunks.each_chunk(b, of), RESULT_DDL)

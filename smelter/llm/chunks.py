@@ -100,6 +100,7 @@ def each_chunk(
             rest = [batch[c][i].as_py() for c in batch.schema.names if c not in CHUNK.names]
             flags = flags.to_numpy(zero_copy_only=False).astype(bool)
             yield from work(Chunk(batch["chunk"][i].as_py(), ids[order], texts.take(pa.array(order)), flags[order]), *rest)
+            pa.default_memory_pool().release_unused()
 
 
 def rows_to_batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -44,8 +44,8 @@ class Queues:
         # An unnamed file of this task: it is gone with the task, however that ends.
         self.file = self.file or tempfile.TemporaryFile()
         at = self.file.seek(0, 2)
-        self.file.write(positions.astype(np.int64).tobytes())
-        self.file.write(common.astype(np.int64).tobytes())
+        self.file.write(positions.tobytes())
+        self.file.write(common.tobytes())
         self.parts[char].append((at, len(positions)))
 
     def take(self, char: int) -> Entries:
@@ -53,22 +53,24 @@ class Queues:
         for a, b in self.parts.pop(char, ()):
             if isinstance(a, int):
                 self.file.seek(a)
-                both = np.frombuffer(self.file.read(16 * b), np.int64)
+                both = np.frombuffer(self.file.read(8 * b), np.int32)
                 a, b = both[:b], both[b:]
             else:
                 self.held -= len(a)
             positions.append(a)
             common.append(b)
         if not positions:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
         return np.concatenate(positions), np.concatenate(common)
 
 
 def rising(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one (type S); the last character counts as such."""
-    end = np.append(np.flatnonzero(text[1:] != text[:-1]), len(text) - 1)
-    up = np.append(text[end[:-1]] < text[end[:-1] + 1], True)
-    return np.repeat(up, np.diff(np.append(-1, end)))
+    up = np.append(text[:-1] < text[1:], True)
+    same = np.flatnonzero(text[:-1] == text[1:])
+    while (up[same] != up[same + 1]).any():  # as the next, which may be as the next but one
+        up[same] = up[same + 1]
+    return up
 
 
 def refine(rank: np.ndarray, which: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -92,7 +94,7 @@ def sorted_lms(text: np.ndarray, up: np.ndarray, depth: int) -> Entries:
     """LMS suffixes in order, right to ``depth`` characters, with common prefixes up to ``depth``."""
     lms = np.flatnonzero(up[1:] & ~up[:-1]) + 1
     m, n = len(lms), len(text)
-    symbol = text.astype(np.uint64) << np.uint64(1) | up
+    symbol = text << np.uint16(1) | up
     size = np.append(np.diff(lms) + 1, 1)  # each stretch with the first character of the next
     rank = np.zeros(m, np.int64)
     which, k = np.arange(m), 0
@@ -100,7 +102,7 @@ def sorted_lms(text: np.ndarray, up: np.ndarray, depth: int) -> Entries:
         word = np.zeros(len(which), np.uint64)
         for j in range(6 * k, 6 * k + 6):  # six symbols of ten bits at a time
             at = lms[which] + j
-            word = word << np.uint64(10) | np.where(j < size[which], symbol[np.minimum(at, n - 1)], 0)
+            word = word << np.uint64(10) | np.where(j < size[which], symbol[np.minimum(at, n - 1)], 0).astype(np.uint64)
         which = refine(rank, which, word)
         which, k = which[size[which] > 6 * (k + 1)], k + 1
     # Names are in order now. Equal runs of names are told apart by what follows, twice as far each time;
@@ -110,29 +112,32 @@ def sorted_lms(text: np.ndarray, up: np.ndarray, depth: int) -> Entries:
         after = which + h
         which = refine(rank, which, np.where(after < m, rank[np.minimum(after, m - 1)] + 1, 0))
         h *= 2
-    order = lms[np.argsort(rank, kind="stable")]
+    order = lms[np.argsort(rank, kind="stable")].astype(np.int32)
     return order, common_prefixes(text, order, depth)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Of each position with the one before it, up to ``depth``, by bisection on hashes."""
     n = len(text)
-    total = np.append(np.uint64(0), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(MULTIPLIER, n)))
+    total = np.zeros(n + 1, np.uint64)
+    total[1:] = powers(MULTIPLIER, n)
+    total[1:] *= text + np.uint64(1)
+    np.cumsum(total, out=total)
     back = powers(INVERSE, n)
     a, b = order[:-1], order[1:]
-    common, step = np.zeros(len(a), np.int64), 1 << depth.bit_length()
+    common, step = np.zeros(len(a), np.int32), 1 << depth.bit_length()
     while step := step >> 1:
         to = common + step
         fits = (to <= depth) & (np.maximum(a, b) + to <= n)
         to = np.where(fits, to, 0)
         same = (total[a + to] - total[a]) * back[a] == (total[b + to] - total[b]) * back[b]
         common = np.where(fits & same, to, common)
-    return np.append(0, common)
+    return np.append(np.int32(0), common)
 
 
 def _between(common: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """One more than the least common prefix from each chosen entry to the next; the last has no meaning."""
-    return np.minimum.reduceat(np.append(common, 0), chosen + 1) + 1
+    return np.minimum.reduceat(np.append(common, np.int32(0)), chosen + 1) + np.int32(1)
 
 
 def _own(text: np.ndarray, char: int, entries: Entries) -> tuple[Entries, int]:
@@ -146,7 +151,7 @@ def _own(text: np.ndarray, char: int, entries: Entries) -> tuple[Entries, int]:
         chosen = np.flatnonzero((positions > 0) & (text[positions - 1] == char))
         if not len(chosen):
             break
-        rounds.append((positions[chosen] - 1, np.append(run, _between(common, chosen)[:-1])))
+        rounds.append((positions[chosen] - np.int32(1), np.append(np.int32(run), _between(common, chosen)[:-1])))
         run += 1
     return (np.concatenate([r[0] for r in rounds]), np.concatenate([r[1] for r in rounds])), run
 
@@ -160,11 +165,11 @@ def _induce(queues: Queues, text: np.ndarray, entries: Entries, wanted: np.ndarr
     chars = text[positions[chosen] - 1]
     by_char = np.argsort(chars, kind="stable")
     chosen, chars = chosen[by_char], chars[by_char]
-    induced = np.append(1, _between(common, chosen)[:-1])
+    induced = np.append(np.int32(1), _between(common, chosen)[:-1])
     edges = np.append(np.flatnonzero(np.append(True, chars[1:] != chars[:-1])), len(chars))
     induced[edges[:-1]] = 1  # what a queue holds already follows from another character
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        queues.put(int(chars[a]), positions[chosen[a:b]] - 1, induced[a:b])
+        queues.put(int(chars[a]), positions[chosen[a:b]] - np.int32(1), induced[a:b])
 
 
 def repeated(text: np.ndarray, depth: int) -> np.ndarray:
@@ -197,7 +202,7 @@ def repeated(text: np.ndarray, depth: int) -> np.ndarray:
     for char in range(top, -1, -1):
         (positions, common), run = _own(text, char, rising_.take(char))
         falls, fall_common = done.take(char)
-        turned = np.append(min(run, runs[char]), fall_common[:0:-1])[: len(falls)]
+        turned = np.append(np.int32(min(run, runs[char])), fall_common[:0:-1])[: len(falls)]
         block = np.concatenate([positions, falls[::-1]]), np.concatenate([common, turned])
         block[1][:1] = 0  # the entry before begins with another character
         deep = np.flatnonzero(block[1] >= depth)

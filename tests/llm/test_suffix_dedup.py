@@ -54,14 +54,14 @@ def actual(df):
     )
 
 
-@pytest.mark.parametrize("width", [20, 100, 400])
-def test_dedup_against_brute_force(documents, width):
+@pytest.mark.parametrize("width, most", [(20, 2000), (20, 1), (100, 3), (400, 2000), (400, 1)])
+def test_dedup_against_brute_force(documents, width, most):
     rng = random.Random(width)
     text = lambda n: "".join(rng.choice("ab é") for _ in range(n))
     passages = [text(width + 300), text(width), text(width - 1), "z" * (2 * width)]
     rows = [(i, text(rng.randint(0, 200)) + rng.choice(passages) + text(rng.randint(0, 200))) for i in range(40)]
     rows += [(100 + i, rows[3][1]) for i in range(3)] + [(200, None), (201, ""), (None, rows[5][1])]
-    assert actual(byte_dedup.dedup(documents(rows), width)) == expected(rows, width)
+    assert actual(byte_dedup.dedup(documents(rows), width, most)) == expected(rows, width)
 
 
 def test_odd_rows(documents, spark):
