@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm import arrays, chunks
-from smelter.scratch import scratch_path, written
+from smelter.scratch import release, scratch_path, written
 
 END, BEGIN = np.uint64(0xE4D0000000000001), np.uint64(0xBE61000000000003)  # stand for no word
 TOTALS = ("tokens", "words", "pairs", "m1", "m2", "m3", "m4", "h1", "h2", "h3", "n1", "n2", "n3", "n4")
@@ -251,10 +251,14 @@ def learn(staged: DataFrame) -> tuple[Model, DataFrame]:
     shards = 4 * chunks.partitions(staged)
     model = Model(scratch_path(spark, "language-model"), shards, {})
     answers = written(answer(ask(staged, shards), model, learn=True), "pair-counts")
+    release(spark)
     totals = store_words(word_sums(staged, answers, shards), model).agg(
         *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TOTALS]
     )
-    return Model(model.root, shards, totals.first().asDict()), answers
+    model = Model(model.root, shards, totals.first().asDict())
+    del totals
+    release(spark)
+    return model, answers
 
 
 def word_rows(model: Model, keys: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm import chunks
-from smelter.scratch import written
+from smelter.scratch import release, written
 
 INDEX_BITS = 20  # of a text's number: its place in the chunk
 BLOCK = 1 << 15  # shingles sampled at once, to stay in the processor's cache
@@ -347,6 +347,7 @@ def classes(docs: DataFrame, near: Near = Near()) -> DataFrame:
     staged = chunks.stage(docs)
     total = staged.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
     rare = written(answer(ask(staged, near, 4 * chunks.partitions(docs)), total), "rarity")
+    release(docs.sparkSession)
     home = chunks.with_answers(staged, rare, "rarity")
     signed = written(sign(home, near), "signed")
     texts = written(
@@ -357,6 +358,7 @@ def classes(docs: DataFrame, near: Near = Near()) -> DataFrame:
     # First each text with the one it shares most buckets with: that settles nearly all.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
     first = written(verify(home, best, near), "links")
+    release(docs.sparkSession)
     joined = components(first)
     one = joined.select(F.col("no").alias("a"), F.col("label").alias("_a"))
     two = joined.select(F.col("no").alias("b"), F.col("label").alias("_b"))
