@@ -33,7 +33,7 @@ class Near:
     bands: int = 20
     rows: int = 5  # samples of a band: a pair of similarity 0.8 shares no band once in 2,900 times
     all_pairs: int = 12  # buckets up to this size compare all pairs, larger ones their centres with all
-    per_task: int = 2000  # texts that one task compares with one other
+    per_task: int = 250  # texts that one task compares with one other
 
 
 @dataclass
