@@ -2,8 +2,8 @@
 
 Each text is the weighted set of its word shingles. Consistent weighted samples of two texts agree with the
 probability of their weighted Jaccard similarity; bands of samples put similar texts into common buckets. In a
-bucket, texts are compared with the bucket's centres; pairs are verified by exact weighted Jaccard similarity, and
-classes are the connected texts.
+bucket, texts are compared with the bucket's centres first, and then with every member that is not connected yet;
+pairs are verified by exact weighted Jaccard similarity, and classes are the connected texts.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from smelter.llm import chunks
 from smelter.scratch import release, written
@@ -32,8 +33,9 @@ class Near:
     similarity: float = 0.8
     bands: int = 20
     rows: int = 5  # samples of a band: a pair of similarity 0.8 shares no band once in 2,900 times
-    all_pairs: int = 12  # buckets up to this size compare all pairs, larger ones their centres with all
-    per_task: int = 250  # texts that one task compares with one other
+    all_pairs: int = 12  # buckets up to this size compare all pairs at once, larger ones their centres with all first
+    per_task: int = 250  # texts that one task compares with one other, or with as many
+    held: int = 2_000_000  # total weight of the texts that a task holds
 
 
 @dataclass
@@ -196,19 +198,23 @@ def sign(home: DataFrame, near: Near) -> DataFrame:
     return home.mapInArrow(lambda b: chunks.each_chunk(b, of), SIGNED)
 
 
-def candidates(texts: DataFrame, near: Near) -> DataFrame:
-    """(a, b, shared): texts in common buckets that may be similar; ``a`` is the more central one.
-
-    The centre of a bucket is the text whose buckets are the fullest: an original shares buckets with all its
-    copies, a copy only with some. Large buckets compare each member with three members, and so stay linear; a
-    text is in up to ``near.bands`` buckets, each with centres of its own.
-    """
+def buckets(texts: DataFrame) -> DataFrame:
+    """(band, key, size, no, weight, fame): the members of every bucket of two texts or more."""
     rows = texts.select("no", "weight", F.posexplode("bands").alias("band", "key"))
     sizes = rows.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
     # A bucket with many members is split over tasks by Spark, as both sides are shuffled for the join.
     shared = written(rows.join(sizes, ["band", "key"]), "buckets")
     popular = shared.groupBy("no").agg(F.sum("size").alias("fame"))
-    members = written(shared.join(popular, "no"), "members")
+    return written(shared.join(popular, "no"), "members")
+
+
+def candidates(members: DataFrame, near: Near) -> DataFrame:
+    """(a, b, shared): texts in common buckets that may be similar; ``a`` is the more central one.
+
+    The centre of a bucket is the text whose buckets are the fullest: an original shares buckets with all its
+    copies, a copy only with some. Large buckets propose each member with three members, which connects most;
+    ``across`` compares those that are left.
+    """
     centre = F.struct("fame", "no", "weight")
     three = members.filter(F.col("size") > near.all_pairs).groupBy("band", "key").agg(
         F.array(
@@ -229,23 +235,12 @@ def candidates(texts: DataFrame, near: Near) -> DataFrame:
     return ordered.groupBy("a", "b").agg(F.countDistinct("band").alias("shared"))
 
 
-VECTOR = "a long, salt int, member boolean, no long, keys binary, counts binary, rarity binary"
-
-
-def vectors(home: DataFrame, pairs: DataFrame, near: Near) -> DataFrame:
-    """The shingles of each pair's texts, keyed by its more central text, and salted if that has many."""
-    schema = pa.schema(
-        [("a", pa.int64()), ("salt", pa.int32()), ("member", pa.bool_()), ("no", pa.int64())]
-        + [(n, pa.binary()) for n in ("keys", "counts", "rarity")]
-    )
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / near.per_task).cast("int").alias("salts"))
-    members = pairs.join(salts, "a").select(
-        F.col("b").alias("no"), F.lit(True).alias("member"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")
-    )
-    centres = salts.select(
-        F.col("a").alias("no"), F.lit(False).alias("member"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    )
-    wanted = members.unionByName(centres).withColumn("chunk", F.shiftright("no", INDEX_BITS)).withColumn("shard", F.lit(0))
+def vectors(home: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
+    """The shingles of each text of ``wanted`` (no and other columns), beside its other columns."""
+    columns = [f for f in wanted.schema if f.name != "no"]
+    parts = [(n, pa.binary()) for n in ("keys", "counts", "rarity")]
+    schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in columns] + [("no", pa.int64())] + parts)
+    needed = wanted.withColumn("chunk", F.shiftright("no", INDEX_BITS)).withColumn("shard", F.lit(0))
 
     def of(chunk: chunks.Chunk, replies: list | None, needs: list | None) -> Iterator[pa.RecordBatch]:
         if not needs:
@@ -259,24 +254,26 @@ def vectors(home: DataFrame, pairs: DataFrame, near: Near) -> DataFrame:
             i = need["no"] & ((1 << INDEX_BITS) - 1)
             part = slice(edges[i], edges[i + 1])
             which = s.which[part]
-            rows.append(
-                (
-                    need["a"],
-                    need["salt"],
-                    need["member"],
-                    need["no"],
-                    short[which].tobytes(),
-                    chunks.pack_numbers(s.count[part]),
-                    rare[which].tobytes(),
-                )
-            )
+            packed = (short[which].tobytes(), chunks.pack_numbers(s.count[part]), rare[which].tobytes())
+            rows.append((*(need[n] for n in names), need["no"], *packed))
             if len(rows) == 256:
                 yield from chunks.rows_to_batches(rows, schema)
                 rows = []
         yield from chunks.rows_to_batches(rows, schema)
 
-    asked = chunks.with_answers(home, wanted, "no", "member", "a", "salt", name="needs")
-    return asked.mapInArrow(lambda b: chunks.each_chunk(b, of), VECTOR)
+    names = [f.name for f in columns]
+    asked = chunks.with_answers(home, needed, "no", *names, name="needs")
+    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in columns] + [VECTOR])
+    return asked.mapInArrow(lambda b: chunks.each_chunk(b, of), ddl)
+
+
+VECTOR = "no long, keys binary, counts binary, rarity binary"
+
+
+def _vector(row: dict) -> tuple:
+    """(sorted keys, weights, total) of a row of ``vectors``."""
+    weight = weights(chunks.unpack_numbers(row["counts"]).astype(np.float64), np.frombuffer(row["rarity"], np.uint8))
+    return np.frombuffer(row["keys"], "<u4"), weight, float(weight.sum())
 
 
 def similarity(one: tuple, two: tuple) -> float:
@@ -292,26 +289,145 @@ def similarity(one: tuple, two: tuple) -> float:
 def verify(home: DataFrame, pairs: DataFrame, near: Near) -> DataFrame:
     """The pairs that are similar enough: (a, b)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    # Keyed by the more central text, and salted if that has many.
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / near.per_task).cast("int").alias("salts"))
+    members = pairs.join(salts, "a").select(
+        F.col("b").alias("no"), F.lit(True).alias("member"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt")
+    )
+    centres = salts.select(
+        F.col("a").alias("no"), F.lit(False).alias("member"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, centre = None, None
         for batch in batches:
             found = []
             for row in batch.to_pylist():
-                weight = weights(
-                    chunks.unpack_numbers(row["counts"]).astype(np.float64), np.frombuffer(row["rarity"], np.uint8)
-                )
-                vector = (np.frombuffer(row["keys"], "<u4"), weight, float(weight.sum()))
+                vector = _vector(row)
                 if not row["member"]:
                     current, centre = row["a"], vector
                 elif current == row["a"] and similarity(centre, vector) >= near.similarity - 1e-12:
                     found.append((row["a"], row["no"]))
             yield from chunks.rows_to_batches(found, schema)
 
-    dealt = vectors(home, pairs, near).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+    wanted = members.unionByName(centres)
+    dealt = vectors(home, wanted, near).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def across(home: DataFrame, texts: DataFrame, members: DataFrame, labels: DataFrame, near: Near) -> DataFrame:
+    """The similar pairs (a, b) of large buckets whose texts have different ``labels``.
+
+    In each large bucket, the texts outside its most frequent label meet all others, in blocks: a task holds a block
+    of the first and reads a block of the members. A pair is compared in the first band it shares only (if that
+    bucket is a small one, it was), and not once its labels are connected within the task.
+    """
+    band, schema = ["band", "key"], pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    large = members.filter(F.col("size") > near.all_pairs).join(labels, "no", "left")
+    large = large.select(*band, "no", "weight", F.coalesce("label", "no").alias("label"))
+    each = large.groupBy(*band, "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    most = F.struct("n", "w", "label")
+    open_ = each.groupBy(*band).agg(F.max(most).alias("main"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+    open_ = open_.filter(F.col("n") > F.col("main.n"))
+
+    def blocks(n: Column, w: Column) -> Column:
+        return F.greatest(F.ceil(n / near.per_task), F.ceil(w / near.held)).cast("int")
+
+    open_ = open_.select(
+        *band,
+        F.col("main.label").alias("main"),
+        blocks(F.col("n") - F.col("main.n"), F.col("w") - F.col("main.w")).alias("held_blocks"),
+        F.ceil(F.col("n") / near.per_task).cast("int").alias("read_blocks"),
+    )
+    rows = large.join(open_, band).join(texts.select("no", "bands"), "no").select(
+        *band,
+        "no",
+        "label",
+        (F.col("label") == F.col("main")).alias("main"),
+        F.slice("bands", F.lit(1), F.col("band")).alias("before"),  # what the text drew in earlier bands
+        "held_blocks",
+        "read_blocks",
+    )
+    rows = written(rows, "open")
+    if rows.isEmpty():
+        return rows.select(F.col("no").alias("a"), F.col("no").alias("b"))
+
+    def dealt_to(own: str, others: str, own_name: str, other_name: str) -> list[Column]:
+        return [
+            F.pmod(F.xxhash64("no"), F.col(own)).cast("int").alias(own_name),
+            F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(other_name),
+        ]
+
+    columns = [*band, "i", "j", "reads", "no", "label", "main", "before"]
+    held = rows.filter(~F.col("main")).withColumn("reads", F.lit(False))
+    held = held.select("*", *dealt_to("held_blocks", "read_blocks", "i", "j")).select(*columns)
+    read = rows.withColumn("reads", F.lit(True))
+    read = read.select("*", *dealt_to("read_blocks", "held_blocks", "j", "i")).select(*columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, group = None, None
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                if group != (row["band"], row["key"], row["i"], row["j"]):
+                    group, block = (row["band"], row["key"], row["i"], row["j"]), Block()
+                if row["reads"]:
+                    found += [(a, row["no"]) for a in block.linked(row, near)]
+                else:
+                    block.hold(row)
+            yield from chunks.rows_to_batches(found, schema)
+
+    place = [*band, "i", "j"]
+    dealt = vectors(home, held.unionByName(read), near).repartition(*place).sortWithinPartitions(*place, "reads")
     return dealt.mapInArrow(run, "a long, b long")
 
 
+class Block:
+    """Texts that are held, to be compared with those that are read."""
+
+    def __init__(self) -> None:
+        self.rows: list[dict] = []
+        self.vectors: list[tuple] = []
+        self.arrays: tuple | None = None
+        self.joined: dict[int, int] = {}  # labels connected here, each with a smaller one
+
+    def hold(self, row: dict) -> None:
+        self.rows.append(row)
+        self.vectors.append(_vector(row))
+
+    def root(self, label: int) -> int:
+        while label in self.joined:
+            label = self.joined[label]
+        return label
+
+    def linked(self, row: dict, near: Near) -> list[int]:
+        """The held texts that are similar to ``row``, one for each label."""
+        if not self.rows:
+            return []
+        if self.arrays is None:
+            self.arrays = (
+                np.array([r["no"] for r in self.rows]),
+                np.array([r["label"] for r in self.rows]),
+                np.array([r["before"] for r in self.rows], np.int64).reshape(len(self.rows), -1),
+                np.array([v[2] for v in self.vectors]),
+            )
+        no, label, before, total = self.arrays
+        own, vector = self.root(row["label"]), _vector(row)
+        maybe = (label != own) & ~(before == np.array(row["before"], np.int64)).any(axis=1)
+        if not row["main"]:  # both are held somewhere, and read somewhere
+            maybe &= no < row["no"]
+        least, top = np.minimum(total, vector[2]), np.maximum(total, vector[2])
+        maybe &= least >= near.similarity * top * (1 - 1e-9)
+        found = []
+        for i in np.flatnonzero(maybe).tolist():
+            if label[i] != own and similarity(self.vectors[i], vector) >= near.similarity - 1e-12:
+                found.append(int(no[i]))
+                one, own = sorted((int(label[i]), own), reverse=True)
+                self.joined[one] = own
+                label[label == one] = own
+        return found
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(no, label): the least number that each text is connected with. Texts without edges are left out."""
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
@@ -342,7 +458,8 @@ def classes(docs: DataFrame, near: Near = Near()) -> DataFrame:
     are one class. Equal texts are, too; NULL is an empty text; texts without words are like equal texts only. Texts
     are read whole. A NULL doc_id comes after all others. Other columns are ignored; no rows give no rows.
 
-    Equal texts are one text for all but the last step, so copies are never compared.
+    Equal texts are one text for all but the last step, so copies are never compared. Of two texts in a common
+    bucket, all are compared that nothing else connects.
     """
     staged = chunks.stage(docs)
     total = staged.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
@@ -354,7 +471,8 @@ def classes(docs: DataFrame, near: Near = Near()) -> DataFrame:
         signed.groupBy("digest").agg(F.min_by(F.struct("no", "weight", "bands"), "no").alias("t")).select("digest", "t.*"),
         "texts",
     )
-    pairs = written(candidates(texts, near), "pairs")
+    members = buckets(texts)
+    pairs = written(candidates(members, near), "pairs")
     # First each text with the one it shares most buckets with: that settles nearly all.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
     first = written(verify(home, best, near), "links")
@@ -370,7 +488,12 @@ def classes(docs: DataFrame, near: Near = Near()) -> DataFrame:
         .select("a", "b")
     )
     second = written(verify(home, written(rest, "rest"), near), "links")
-    labels = components(first.unionByName(second))
+    release(docs.sparkSession)
+    links = first.unionByName(second)
+    labels = components(links)
+    third = written(across(home, texts, members, labels, near), "links")
+    if not third.isEmpty():
+        labels = components(links.unionByName(third))
     labelled = texts.join(labels, "no", "left").select("digest", F.coalesce("label", "no").alias("label"))
     rows = written(signed.select("doc_id", "no", "digest").join(labelled, "digest"), "classes")
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "no"))

@@ -96,3 +96,35 @@ def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (3, 30), (30, 31), (4, 40)]
     got = {r.no: r.label for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 30: 1, 31: 1, 5: 5, 6: 5, 7: 5, 8: 5, 9: 5, 4: 4, 40: 4}
+
+
+def spread(n, words, changed, seed):
+    """Texts of one template, each with a passage of its own somewhere: few of them are similar enough."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        text, at = [f"w{j}" for j in range(words)], rng.randrange(words - changed)
+        text[at : at + changed] = [f"v{i}x{j}" for j in range(changed)]
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def revisions(n, words, changed):
+    """Texts of which each replaces the next words of the one before, so that the first and the last are unlike."""
+    text, rows = [f"w{i}" for i in range(words)], []
+    for i in range(n):
+        rows.append((i, " ".join(text)))
+        for j in range(changed):
+            text[(i * changed + j) % words] = f"v{i}x{j}"
+    return rows
+
+
+@pytest.mark.parametrize("near", [minhash.Near(), minhash.Near(all_pairs=2, per_task=3, held=1500)])
+def test_members_of_large_buckets_that_are_unlike_the_centres(documents, near):
+    rows = spread(120, 300, 12, 1)
+    assert actual(minhash.classes(documents(rows), near)) == expected(rows)
+
+
+def test_revisions_are_one_class(documents):
+    rows = revisions(60, 200, 4)
+    near = minhash.Near(all_pairs=1, per_task=5)
+    assert actual(minhash.classes(documents(rows), near)) == expected(rows)
