@@ -50,10 +50,10 @@ def rotation(dim: int, seed: int) -> np.ndarray:
 def centres(vectors: DataFrame) -> dict[int, np.ndarray]:
     """The mean vector of each dimension: one short row per dimension reaches the driver."""
     parts = vectors.select(F.size("vector").alias("dim"), F.posexplode("vector"))
-    # Single precision is enough for a centre, and the mean then hardly depends on row order.
     means = parts.groupBy("dim", "pos").agg(F.avg(F.col("col").cast("double")).alias("mean"))
     lists = means.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m"))
-    return {r["dim"]: np.array([x["mean"] for x in r["m"]], dtype=np.float32) for r in lists.collect()}
+    # Any centre is right, so a mean beyond double precision is zero.
+    return {r["dim"]: np.nan_to_num([x["mean"] for x in r["m"]], posinf=0, neginf=0) for r in lists.collect()}
 
 
 def _matrices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -69,15 +69,21 @@ def _matrices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np
                 yield ids[rows[at : at + size]], vectors[at : at + size]
 
 
+def directions(rest: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths in double precision, rotated unit vectors); not finite beyond double precision."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        lengths = np.linalg.norm(rest, axis=1)
+        unit = (rest / np.maximum(lengths, 1e-30)[:, None]).astype(np.float32)
+        return lengths, unit @ rotation(rest.shape[1], seed)
+
+
 def coded(vectors: DataFrame, means: dict[int, np.ndarray], lanes: int, search: Search) -> DataFrame:
     """Blocks of vectors with their codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, block in _matrices(batches, search.block):
             dim = block.shape[1]
-            rest = block.astype(np.float32) - means[dim]
-            lengths = np.linalg.norm(rest, axis=1)
-            turned = (rest / np.maximum(lengths, 1e-30)[:, None]) @ rotation(dim, search.seed)
+            lengths, turned = directions(block - means[dim], search.seed)
             fits = np.abs(turned).sum(axis=1) / np.sqrt(dim)
             row = {
                 # Blocks spread over the lanes by what they hold.
@@ -87,7 +93,7 @@ def coded(vectors: DataFrame, means: dict[int, np.ndarray], lanes: int, search:
                 "ids": ids.astype("<i8").tobytes(),
                 "vectors": block.astype("<f8").tobytes(),
                 "bits": np.packbits(turned > 0, axis=1).tobytes(),
-                "lengths": lengths.astype("<f4").tobytes(),
+                "lengths": lengths.astype("<f8").tobytes(),
                 "fits": fits.astype("<f4").tobytes(),
             }
             yield pa.RecordBatch.from_pylist([row], schema=arrow_schema)
@@ -113,27 +119,33 @@ def query_blocks(queries: DataFrame, search: Search) -> DataFrame:
 def nearest(ids, vectors, bits, lengths, fits, q_ids, queries, centre, search: Search) -> pd.DataFrame:
     """The k nearest of one block for each query of one block."""
     dim = queries.shape[1]
-    off = (queries - centre).astype(np.float32)
-    q_lengths = np.linalg.norm(off, axis=1)
-    turned = (off / np.maximum(q_lengths, 1e-30)[:, None]) @ rotation(dim, search.seed)
+    q_lengths, turned = directions(queries - centre, search.seed)
     signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    cosine = (turned @ signs.T) / np.sqrt(dim) / np.maximum(fits, 1e-6)
-    spread = np.sqrt(np.maximum(1 - fits**2, 0)) / np.maximum(fits, 1e-6)
-    error = search.epsilon * spread / np.sqrt(max(dim - 1, 1)) + 1e-5
-    base = lengths[None, :] ** 2 + q_lengths[:, None] ** 2
-    scale = 2 * lengths[None, :] * q_lengths[:, None]
     own = q_ids[:, None] == ids[None, :]
-    most = np.where(own, np.inf, base - scale * np.maximum(cosine - error, -1))
-    least = np.where(own, np.inf, base - scale * np.minimum(cosine + error, 1))
-    k = min(search.k, len(ids))
-    # The bound may be infinite where a block holds fewer than k other vectors.
-    bound = np.partition(most, k - 1, axis=1)[:, k - 1 : k]
-    row, col = np.nonzero((least <= bound + 1e-5 * (base + 1)) & ~own)
+    with np.errstate(over="ignore", invalid="ignore"):
+        cosine = (turned @ signs.T) / np.sqrt(dim) / np.maximum(fits, 1e-6)
+        spread = np.sqrt(np.maximum(1 - fits**2, 0)) / np.maximum(fits, 1e-6)
+        error = search.epsilon * spread / np.sqrt(max(dim - 1, 1)) + 1e-5
+        base = lengths[None, :] ** 2 + q_lengths[:, None] ** 2
+        scale = 2 * lengths[None, :] * q_lengths[:, None]
+        most = base - scale * np.maximum(cosine - error, -1)
+        most = np.where(own | ~np.isfinite(most), np.inf, most)
+        least = base - scale * np.minimum(cosine + error, 1)
+        k = min(search.k, len(ids))
+        # The bound may be infinite where a block holds fewer than k other vectors.
+        bound = np.partition(most, k - 1, axis=1)[:, k - 1 : k]
+        # A bound that is not finite says nothing: such vectors are compared exactly.
+        row, col = np.nonzero(((least <= bound + 1e-5 * (base + 1)) | ~np.isfinite(least)) & ~own)
     score = np.empty(len(row))
     for at in range(0, len(row), 200_000):
         part = slice(at, at + 200_000)
-        gap = queries[row[part]] - vectors[col[part]]
-        score[part] = np.sqrt(sum(gap[:, j] ** 2 for j in range(dim)))  # summed in order
+        with np.errstate(over="ignore"):
+            gap = queries[row[part]] - vectors[col[part]]
+            score[part] = np.sqrt(sum(gap[:, j] ** 2 for j in range(dim)))  # summed in order
+        far = np.flatnonzero(np.isinf(score[part]) & np.isfinite(gap).all(axis=1))
+        if len(far):  # the square is beyond double precision, the distance need not be
+            top = np.abs(gap[far]).max(axis=1)
+            score[at + far] = top * np.sqrt(((gap[far] / top[:, None]) ** 2).sum(axis=1))
     order = np.lexsort((ids[col], score, row))
     row, col, score = row[order], col[order], score[order]
     place = np.arange(len(row)) - np.searchsorted(row, row)
@@ -171,7 +183,7 @@ def search_all(vectors: DataFrame, queries: DataFrame, search: Search = Search()
                     np.frombuffer(r["ids"], "<i8"),
                     np.frombuffer(r["vectors"], "<f8").reshape(n, dim),
                     np.frombuffer(r["bits"], np.uint8).reshape(n, -1),
-                    np.frombuffer(r["lengths"], "<f4"),
+                    np.frombuffer(r["lengths"], "<f8"),
                     np.frombuffer(r["fits"], "<f4"),
                     np.frombuffer(r["q_ids"], "<i8"),
                     np.frombuffer(r["q_vectors"], "<f8").reshape(-1, dim),

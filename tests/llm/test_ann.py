@@ -48,3 +48,13 @@ def test_fewer_candidates_and_no_rows(spark):
     none = frame(spark, two).limit(0)
     assert ann.search_all(none, none).count() == 0
     assert ann.search_all(frame(spark, two), none).count() == 0
+
+
+def test_vectors_whose_squares_exceed_single_precision(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(rng.normal(size=(60, 8)))]
+    rows += [(100 + i, (3e38 * v).astype(np.float32).tolist()) for i, v in enumerate(rng.uniform(-1, 1, size=(20, 8)))]
+    rows += [(200, [3e38] * 8)]
+    asked = [*rows[:5], *rows[60:65], rows[-1]]
+    places = lambda out: [x[:3] for x in out]
+    assert places(found(ann.search_all(frame(spark, rows), frame(spark, asked)))) == places(brute(rows, asked, 10))
