@@ -10,7 +10,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import ann, bpe, byte_dedup, chunks, debruijn, exact_dedup, kneser_ney, minhash, mixing, sharding, toxicity
+from smelter.llm import (
+    ann,
+    bpe,
+    byte_dedup,
+    chunks,
+    debruijn,
+    divergence,
+    exact_dedup,
+    hard_negatives,
+    kneser_ney,
+    minhash,
+    mixing,
+    packing,
+    sharding,
+    toxicity,
+)
 from smelter.llm.words import remainder, table
 from smelter.scratch import scratch_path, use_scratch
 
@@ -20,6 +35,7 @@ ORACLE: dict[str, str] = {}
 
 SHARDS = 40
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def prepare(spark: SparkSession) -> None:
@@ -223,3 +239,92 @@ def _(spark, sf_dir):
         F.col("slot").cast("long").alias("slot"),
         F.col("grown_shard").cast("int").alias("grown_shard"),
     )
+
+
+@query(
+    "op11_hard_negatives",
+    r"""
+    WITH kept AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+               coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])), 0)::BIGINT AS score
+        FROM kept a JOIN kept c ON len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored
+        WHERE label = anchor_label AND vec_id <> anchor_id
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE label <> anchor_label AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+    """,
+)
+def _(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_packing")
+def _(spark, sf_dir):
+    packed = packing.pack(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+    return packed.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query(
+    "op13_source_divergence",
+    r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+        FROM documents),
+    per_doc AS (
+        SELECT doc, lang, source,
+               translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+        FROM docs),
+    counts AS (
+        SELECT lang, source, term, count(DISTINCT doc) AS docs, count(*) AS n FROM per_doc GROUP BY ALL),
+    kept AS (SELECT lang, term, sum(n)::HUGEINT AS lang_n FROM counts GROUP BY ALL HAVING sum(docs) >= 10),
+    langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+    grid AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.lang_n
+        FROM (SELECT DISTINCT lang, source FROM docs) g JOIN kept k ON g.lang = k.lang
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM grid GROUP BY ALL),
+    shares AS (
+        SELECT lang, source, term, n,
+               1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p,
+               1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS q
+        FROM grid JOIN totals USING (lang, source) JOIN langs USING (lang)),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    others AS (
+        SELECT a.lang, a.source, b.source AS item
+        FROM (SELECT DISTINCT lang, source FROM docs) a
+        JOIN (SELECT DISTINCT lang, source FROM docs) b ON a.lang = b.lang AND a.source <> b.source),
+    parts AS (
+        SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value
+        FROM others LEFT JOIN pairs USING (lang, source, item)
+        UNION ALL
+        SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q)
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+    QUALIFY part = 'pair' OR rank <= 10
+    """,
+)
+def _(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -14,7 +14,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf_dir):
