@@ -1,8 +1,9 @@
 """How far the sources of a language differ in their words, by chunk factorization.
 
 Text is cut at white space into chunks, far fewer of which are distinct than occur. Chunks are counted per
-document and stored in blocks with a dictionary each; every chunk that is distinct over all blocks is cut into terms once; its terms are
-joined back to the dictionaries, and blocks add up documents and occurrences per term.
+document and stored in blocks with a dictionary each. A chunk of nothing but small letters and other signs of terms is a term itself; of the
+others every one that is distinct over all blocks is cut into terms once, and its terms are joined back to the
+dictionaries. Blocks then add up documents and occurrences per term.
 """
 
 from __future__ import annotations
@@ -19,15 +20,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.llm.chunks import pack_numbers, partitions, split_words, unpack_numbers
-from smelter.scratch import scratch_path, written
+from smelter.scratch import release, scratch_path, written
 
 # What a term is, and the letters that are lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TO_CUT = r"[\x00-\x60\x7B-\x7F]"  # in chunks that are not terms as they are
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 GROUP = ["lang", "source"]
 BLOCK = pa.schema(
-    [("block", pa.int64()), ("chunks", pa.list_(pa.string())), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string()))]
+    [("block", pa.int64())]
+    + [(c, pa.list_(pa.string())) for c in ("to_cut", "plain", "langs", "sources")]
     + [(c, pa.binary()) for c in ("groups", "docs", "codes", "counts")]
 )
 COUNTED = pa.schema(
@@ -58,18 +61,24 @@ def _add_up(keys: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def count_chunks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Store the chunks of each document with their counts, in blocks; bucketed by block."""
+    """Store the chunks of each document with their counts, in blocks; bucketed by block.
+
+    Codes count through the chunks to cut, then through the plain ones.
+    """
 
     def block(number: int, texts: pa.Array, langs: pa.Array, sources: pa.Array) -> pa.RecordBatch:
         per_doc, flat = split_words(texts)
         code, chunks = _distinct(flat)
+        odd = pc.match_substring_regex(chunks, TO_CUT).to_numpy(zero_copy_only=False).astype(bool)
+        code = np.where(odd, np.cumsum(odd) - 1, odd.sum() + np.cumsum(~odd) - 1)[code]
         doc = np.repeat(np.arange(len(texts)), per_doc)
         pairs, counts = _add_up(doc * max(1, len(chunks)) + code, np.ones(len(code), np.int64))
         lang, lang_names = _distinct(langs)
         source, source_names = _distinct(sources)
         groups, group = np.unique(lang * len(source_names) + source, return_inverse=True)
         packed = group, pairs // max(1, len(chunks)), pairs % max(1, len(chunks)), counts
-        lists = chunks, lang_names.take(pa.array(groups // len(source_names))), source_names.take(pa.array(groups % len(source_names)))
+        cut, plain = (chunks.filter(pa.array(x)) for x in (odd, ~odd))
+        lists = cut, plain, lang_names.take(pa.array(groups // len(source_names))), source_names.take(pa.array(groups % len(source_names)))
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64())]
             + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
@@ -99,7 +108,7 @@ def count_chunks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
     spark, name = docs.sparkSession, f"chunk_counts_{uuid.uuid4().hex[:16]}"
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *GROUP)])
-    lists = "chunks array<string>, langs array<string>, sources array<string>"
+    lists = "to_cut array<string>, plain array<string>, langs array<string>, sources array<string>"
     rows = read.mapInArrow(run, f"block long, {lists}, groups binary, docs binary, codes binary, counts binary")
     writer = rows.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, name))
     writer.bucketBy(partitions(docs), "block").saveAsTable(name)
@@ -112,8 +121,8 @@ def terms_of(chunk: Column) -> Column:
 
 
 def term_counts(blocks: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n): documents with the term, and its occurrences."""
-    entries = blocks.select("block", F.posexplode("chunks").alias("pos", "chunk"))
+    """(lang, source, term, docs, n): documents with the term, and its occurrences; dealt by (lang, term)."""
+    entries = blocks.select("block", F.posexplode("to_cut").alias("pos", "chunk"))
     cut = entries.groupBy("chunk").agg(F.lit(1).alias("_one")).select("chunk", terms_of(F.col("chunk")).alias("terms"))
     back = entries.join(cut, "chunk").groupBy("block").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "terms"))), lambda x: x["terms"]).alias("terms")
@@ -123,8 +132,10 @@ def term_counts(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                per_chunk, flat = split_words(pc.list_flatten(row["terms"]))
-                code, names = _distinct(flat)
+                plain = pc.list_flatten(row["plain"])
+                per_cut, flat = split_words(pc.list_flatten(row["terms"]))
+                per_chunk = np.append(per_cut, np.ones(len(plain), np.int64))
+                code, names = _distinct(pa.concat_arrays([flat, plain]))
                 group, doc, chunk, counts = (
                     unpack_numbers(row[c][0].as_py()).astype(np.int64) for c in ("groups", "docs", "codes", "counts")
                 )
@@ -144,10 +155,11 @@ def term_counts(blocks: DataFrame) -> DataFrame:
                     columns = langs.take(g), sources.take(g), names.take(pa.array(keys[part] % len(names)))
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(docs[part]), pa.array(n[part])], schema=COUNTED)
 
-    body = blocks.select("block", "langs", "sources", "groups", "docs", "codes", "counts")
-    answered = body.join(back.hint("shuffle_hash"), "block").drop("block")
+    body = blocks.select("block", "plain", "langs", "sources", "groups", "docs", "codes", "counts")
+    answered = body.join(back.hint("shuffle_hash"), "block", "left").drop("block")
     partial = answered.mapInArrow(run, "lang string, source string, term string, docs long, n long")
-    return partial.groupBy(*GROUP, "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    # Dealt by language and term, so that sums per source and per language need no other shuffle.
+    return partial.repartition("lang", "term").groupBy(*GROUP, "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def _share(n: Column | str, total: str, terms: str, scale: int) -> Column:
@@ -226,12 +238,11 @@ def audit(docs: DataFrame, audit: Audit = Audit()) -> DataFrame:
     of a language, whose pairs are the result.
     """
     blocks = count_chunks(docs, audit.block_bytes)
-    counts = written(term_counts(blocks), "term-counts")
+    counts = term_counts(blocks)
     terms = counts.groupBy("lang", "term").agg(F.sum("docs").alias("_in"), F.sum("n").alias("lang_n"))
-    kept = written(
-        counts.join(terms.filter(F.col("_in") >= audit.least_docs), ["lang", "term"]).select(*GROUP, "term", "n", "lang_n"),
-        "kept-terms",
-    )
+    known = terms.filter(F.col("_in") >= audit.least_docs).hint("shuffle_hash")
+    kept = written(counts.join(known, ["lang", "term"]).select(*GROUP, "term", "n", "lang_n"), "kept-terms")
+    release(docs.sparkSession)
     one = F.explode(F.arrays_zip("langs", "sources")).alias("g")
     groups = blocks.select(one).select(F.col("g.langs").alias("lang"), F.col("g.sources").alias("source")).distinct()
     sums = kept.groupBy(*GROUP).agg(F.sum("n").alias("total"))
