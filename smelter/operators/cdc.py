@@ -98,28 +98,62 @@ def parse_changes(messages: DataFrame, spec: TableSpec) -> tuple[DataFrame, Data
     return valid_changes(bronze), rejected_messages(bronze)
 
 
-def current_images(changes: DataFrame, deletes: str = "apply") -> DataFrame:
-    """Row images of a log without a key: each as often as it was added, less the times it was removed.
-
-    A delete removes one row equal to its ``before``, an update one such row if it names one; a row
-    removed more often than added is gone. Replayed messages, alike in position and time, count once.
-    ``deletes="ignore"`` counts additions alone.
-    """
+def check_deletes(deletes: str) -> None:
     if deletes not in ("apply", "ignore"):
         raise ValueError(f"deletes must be 'apply' or 'ignore', not {deletes!r}")
-    sound = changes.filter(F.col("op").isNotNull()).dropDuplicates(["topic", *POSITION, "ts_ms"])
+
+
+def image_effects(changes: DataFrame, deletes: str = "apply") -> DataFrame:
+    """``(image, n)``: every addition of a row image as 1, every removal as -1; replays must be gone already."""
+    check_deletes(deletes)
     added = F.when(F.col("op") != DELETE, F.struct(F.col("after").alias("image"), F.lit(1).alias("n")))
     removed = F.when(
         F.col("op").isin(DELETE, "u") & F.col("before").isNotNull(),
         F.struct(F.col("before").alias("image"), F.lit(-1).alias("n")),
     )
     effects = [added] if deletes == "ignore" else [added, removed]
-    each = sound.select(F.explode(F.array_compact(F.array(*effects))).alias("e")).select("e.*")
-    left = each.groupBy("image").agg(F.sum("n").alias("n")).filter("n > 0")
+    return changes.select(F.explode(F.array_compact(F.array(*effects))).alias("e")).select("e.*")
+
+
+def current_images(changes: DataFrame, deletes: str = "apply") -> DataFrame:
+    """Row images of a log without a key: each as often as it was added, less the times it was removed.
+
+    A delete removes one row equal to its ``before``, an update one such row if it names one; a row
+    removed more often than added is gone. Replayed messages, alike in position and time, count once.
+    ``deletes="ignore"`` counts additions alone.
+    """
+    check_deletes(deletes)
+    sound = changes.filter(F.col("op").isNotNull()).dropDuplicates(["topic", *POSITION, "ts_ms"])
+    left = image_effects(sound, deletes).groupBy("image").agg(F.sum("n").alias("n")).filter("n > 0")
     copies = F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))
     return left.select("image", copies.alias("_copy")).select("image.*")
 
 
+def latest_versions(
+    changes: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = LOG_ORDER,
+    deletes: str = "apply",
+) -> DataFrame:
+    """The last change of every key, deletes too: ``(keys, op, after, order_by)``; see ``latest_by_key``."""
+    check_deletes(deletes)
+    kept = F.col("op") != DELETE if deletes == "ignore" else F.col("op").isNotNull()
+    changes = changes.filter(kept)
+    normalised = [
+        clean_text(F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}"))).alias(k) for k in keys
+    ]
+    keyed = changes.select(*normalised, "op", "after", *order_by).dropna(subset=list(keys))
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order_by])
+    return keyed.withColumn("version", F.row_number().over(newest_first)).filter(F.col("version") == 1).drop("version")
+
+
+def current_rows(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that last versions stand for; a delete stands for none."""
+    image = versions.schema["after"].dataType.fieldNames()
+    live = versions.filter(F.col("op") != DELETE)
+    return live.select(*[F.col(c) if c in keys else F.col(f"after.{c}") for c in image])
+
+
 def latest_by_key(
     changes: DataFrame,
     keys: Sequence[str],
@@ -137,20 +171,7 @@ def latest_by_key(
     Spark evaluates ``version = 1`` on both sides of the shuffle, so a key that
     holds most of the log sends one row per task.
     """
-    if deletes not in ("apply", "ignore"):
-        raise ValueError(f"deletes must be 'apply' or 'ignore', not {deletes!r}")
-    kept = F.col("op") != DELETE if deletes == "ignore" else F.col("op").isNotNull()
-    changes = changes.filter(kept)
-    normalised = [
-        clean_text(F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}"))).alias(k) for k in keys
-    ]
-    keyed = changes.select(*normalised, "op", "after", *order_by).dropna(subset=list(keys))
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order_by])
-    latest = keyed.withColumn("version", F.row_number().over(newest_first)).filter(
-        (F.col("version") == 1) & (F.col("op") != DELETE)
-    )
-    image = changes.schema["after"].dataType.fieldNames()
-    return latest.select(*[F.col(c) if c in keys else F.col(f"after.{c}") for c in image])
+    return current_rows(latest_versions(changes, keys, order_by, deletes), keys)
 
 
 def sample_changes(changes: DataFrame, n: int = 5) -> DataFrame:

@@ -73,9 +73,9 @@ def fact(
 
 
 def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
-    """Write all eight tables, facts from the new dimensions, then publish them together.
+    """Write all eight tables, facts from the new dimensions, then publish them in one release.
 
-    If any step fails nothing is published, so readers always see tables of one build.
+    If any step fails nothing is published; readers of ``layer.snapshot()`` always see tables of one build.
     """
     staged: dict[str, str] = {}
 
@@ -101,8 +101,7 @@ def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
             done += run_steps({table: stage_fact(table)})
     except StepsFailed as error:
         raise StepsFailed(done + error.done, error.failed) from None
-    for table, path in staged.items():
-        layer.register(table, path)
+    layer.publish(staged)
     return done
 
 

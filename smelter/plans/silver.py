@@ -16,6 +16,7 @@ from smelter.operators.cdc import current_images, latest_by_key
 from smelter.specs import SOURCE_TABLES
 
 AUDIT = "processed_at"
+SUMS = "decimal(37,12)"  # of coordinates; two add up without rounding
 
 PRODUCT_NUMBERS = (
     "product_name_length",
@@ -57,29 +58,52 @@ def customers(rows: DataFrame) -> DataFrame:
     return _stamped(cleaned.filter(C.not_blank(F.col("customer_id"))))
 
 
-def geolocation(rows: DataFrame) -> DataFrame:
-    """Mean coordinates per (zip, city, state) over rows with valid coordinates.
-
-    Decimal sums make the means independent of the order rows are added in.
-    """
-    valid = rows.select(
+def located(rows: DataFrame, *others: str) -> DataFrame:
+    """Place, valid coordinates and ``others`` of every geolocation row that has them."""
+    return rows.select(
         C.clean_text(F.col("geolocation_zip_code_prefix")).alias("zip_code_prefix"),
         C.standard_code(F.col("geolocation_city")).alias("city"),
         C.standard_code(F.col("geolocation_state")).alias("state"),
         C.to_coordinate(F.col("geolocation_lat")).alias("latitude"),
         C.to_coordinate(F.col("geolocation_lng")).alias("longitude"),
+        *others,
     ).filter(
         F.col("zip_code_prefix").isNotNull()
         & F.col("latitude").between(-90, 90)
         & F.col("longitude").between(-180, 180)
     )
-    means = valid.groupBy("zip_code_prefix", "city", "state").agg(
+
+
+def geolocation(rows: DataFrame) -> DataFrame:
+    """Mean coordinates per (zip, city, state) over rows with valid coordinates.
+
+    Decimal sums make the means independent of the order rows are added in.
+    """
+    means = located(rows).groupBy("zip_code_prefix", "city", "state").agg(
         F.round(F.avg("latitude"), 6).cast("double").alias("avg_latitude"),
         F.round(F.avg("longitude"), 6).cast("double").alias("avg_longitude"),
     )
     return _stamped(means)
 
 
+def place_sums(rows: DataFrame, times: str) -> DataFrame:
+    """``(zip, city, state, latitude, longitude, n)``: exact sums over rows that count ``times`` each, less than 0 to take away."""
+    n = F.col(times)
+    weighed = [F.sum(F.col(c) * n.cast("decimal(19,0)")).cast(SUMS).alias(c) for c in ("latitude", "longitude")]
+    return located(rows, times).groupBy("zip_code_prefix", "city", "state").agg(*weighed, F.sum(n).alias("n"))
+
+
+def places_from_sums(sums: DataFrame) -> DataFrame:
+    """The geolocation table from exact sums: the same means as from the rows."""
+
+    def mean(column: str):
+        exact = F.try_divide(F.col(column).cast("decimal(28,12)"), F.col("n").cast("decimal(20,0)")).cast("decimal(22,16)")
+        return F.round(exact, 6).cast("double").alias(f"avg_{column}")
+
+    left = sums.filter(F.col("n") > 0)
+    return _stamped(left.select("zip_code_prefix", "city", "state", mean("latitude"), mean("longitude")))
+
+
 def sellers(rows: DataFrame) -> DataFrame:
     cleaned = rows.select(
         *[C.clean_text(F.col(c)).alias(c) for c in ("seller_id", "seller_zip_code_prefix")],

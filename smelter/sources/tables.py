@@ -1,17 +1,65 @@
-"""Stored tables: read, replace, append, register, count."""
+"""Stored tables: read, replace, append, publish together, count.
+
+Every refresh is a catalog table of its own, ``<table>__<id>``. The table's name is a view of the latest, which one catalog
+call replaces, so it never is missing. A release, one document, names the latest refresh of all tables: readers of a ``Snapshot``
+see tables of one release, whatever is published meanwhile.
+"""
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.operators.keys import unique_key
+from smelter.sources.versions import Conflict, Folder, Versions
+
+_REFRESH = re.compile("(.*)__[0-9a-f]{32}")
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+@dataclass(frozen=True)
+class Parts:
+    """A table put together from folders, one per partition: ``((values, folder), ...)``."""
+
+    schema: str  # without the partition columns
+    columns: str  # the partition columns, as DDL
+    folders: Sequence[tuple[Mapping[str, object], str]] = field(default_factory=tuple)
+
+
+@dataclass(frozen=True)
+class Bucketed:
+    """A refresh that is a bucketed catalog table already, not yet published."""
+
+    name: str
+    folder: str
+
+
+class Snapshot:
+    """The tables of one release, and its notes."""
+
+    def __init__(self, spark: SparkSession, database: str, number: int, release: Mapping):
+        self.spark, self.database, self.number = spark, database, number
+        self.entries, self.notes = dict(release.get("tables", {})), dict(release.get("notes", {}))
+
+    def exists(self, table: str) -> bool:
+        return table in self.entries
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.table(f"`{self.database}`.`{self.entries[table]['name']}`")
+
+    def folders(self, table: str) -> dict[str, str]:
+        """Folder by partition, as published from ``Parts``; empty for other tables."""
+        return dict(self.entries[table].get("parts", {})) if self.exists(table) else {}
 
 
 @dataclass(frozen=True)
@@ -41,9 +89,9 @@ class Layer:
     ) -> DataFrame:
         """Full refresh, schema included.
 
-        Rows go to a new folder and the catalog entry moves there after the
-        write: a failed write changes nothing, and a query that has begun keeps
-        the files it planned on. The old folder stays until ``expire``.
+        Rows go to a new folder, which is published after the write: a failed write
+        changes nothing, and a query that has begun keeps the files it planned on. The
+        old folder stays until ``expire``.
         """
         self.register(table, self.stage(table, df, partition_by, unique))
         return self.read(table)
@@ -71,61 +119,152 @@ class Layer:
         writer.save(path)
         return path
 
+    def stage_bucketed(self, table: str, df: DataFrame, buckets: int, keys: Sequence[str]) -> Bucketed:
+        """Write a refresh bucketed and sorted by ``keys`` without publishing it.
+
+        Rows that come partitioned by bucket, as from a join with the last refresh, are written where they are.
+        """
+        self._create_database()
+        fresh = uuid.uuid4().hex
+        path, name = f"{self.root}/{table}/{fresh}", f"{table}__{fresh}"
+        writer = df.write.format(self.fmt).bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+        writer.saveAsTable(f"{self.database}.{name}")
+        return Bucketed(name, path)
+
+    def load_bucketed(self, stored: Bucketed) -> DataFrame:
+        return self.spark.table(self.qualified(stored.name))
+
+    def _create_database(self) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION {_literal(self.root)}")
+
     def load(self, path: str) -> DataFrame:
         return self.spark.read.format(self.fmt).load(path)
 
+    def releases(self) -> Versions:
+        return Versions(self.spark, f"{self.root}/_releases")
+
+    def snapshot(self) -> Snapshot:
+        """All tables as of the latest release."""
+        number, release = self.releases().latest()
+        return Snapshot(self.spark, self.database, number, release)
+
+    def refresh_of(self, table: str) -> str:
+        """The catalog table behind the name."""
+        return self.snapshot().entries[table]["name"]
+
     def location(self, table: str) -> str:
-        """The folder the catalog entry points at."""
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(table)}")
+        """The folder the latest refresh is in."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(self.refresh_of(table))}")
         return rows.filter("col_name = 'Location'").first()["data_type"]
 
-    def expire(self, table: str) -> int:
-        """Remove the folders of earlier refreshes; returns how many. Their readers must be done."""
-        place = self.spark._jvm.org.apache.hadoop.fs.Path
-        folder = place(f"{self.root}/{table}")
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        current = place(self.location(table)).getName()
-        old = [
-            status.getPath()
-            for status in system.listStatus(folder)
-            if re.fullmatch("[0-9a-f]{32}", status.getPath().getName()) and status.getPath().getName() != current
-        ]
-        return sum(system.delete(path, True) for path in old)
+    def expire(self, table: str, keep: int = 1) -> int:
+        """Remove what only releases before the last ``keep`` use; returns how many folders. Their readers must be done."""
+        kept = [r["tables"][table] for r in self.releases().last(keep) if table in r["tables"]]
+        names = {entry["name"] for entry in kept}
+        used = {f.rstrip("/").split(f"/{table}/")[-1].split("/")[0] for entry in kept for f in entry["folders"]}
+        for t in self.spark.catalog.listTables(self.database):
+            of = _REFRESH.fullmatch(t.name)
+            if of and of[1] == table and t.name not in names:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(t.name)}")
+        folder = Folder(self.spark, f"{self.root}/{table}")
+        old = [n for n in folder.names() if re.fullmatch("[0-9a-f]{32}", n) and n not in used]
+        return sum(folder.remove(name) for name in old)
 
     def append(self, table: str, df: DataFrame, path: str | None = None) -> DataFrame:
         """Add rows where the table's rows are, creating it on first use; a failed append is an error."""
-        name, partitions = f"{self.database}.{table}", []
-        if self.exists(table):
-            path = self.location(table)
-            partitions = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
-        else:
-            path = path or f"{self.root}/{table}"
-        df.write.format(self.fmt).mode("append").partitionBy(*partitions).save(path)
         if not self.exists(table):
+            path = path or f"{self.root}/{table}"
+            df.write.format(self.fmt).mode("append").save(path)
             self.register(table, path)
-        elif partitions:
+            return self.read(table)
+        name = f"{self.database}.{self.refresh_of(table)}"
+        partitions = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
+        df.write.format(self.fmt).mode("append").partitionBy(*partitions).save(self.location(table))
+        if partitions:
             self.spark.catalog.recoverPartitions(name)
         self.spark.catalog.refreshTable(name)
+        self.spark.catalog.refreshTable(f"{self.database}.{table}")
         return self.read(table)
 
+    def _refresh(self, table: str, stored: str | Parts | Bucketed) -> dict:
+        """Make the catalog table of one refresh; its entry in a release."""
+        if isinstance(stored, Bucketed):
+            return {"name": stored.name, "folders": [stored.folder]}
+        name = f"{table}__{uuid.uuid4().hex}"
+        try:
+            if isinstance(stored, Parts):
+                return {"name": name, **self._from_parts(table, name, stored)}
+            self.spark.catalog.createTable(f"{self.database}.{name}", path=stored, source=self.fmt)
+            if any(c.isPartition for c in self.spark.catalog.listColumns(f"{self.database}.{name}")):
+                self.spark.catalog.recoverPartitions(f"{self.database}.{name}")
+            return {"name": name, "folders": [stored]}
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
+            raise
+
+    def _from_parts(self, table: str, name: str, parts: Parts) -> dict:
+        place = _literal(f"{self.root}/{table}/_parts")  # of a partition without a folder; there is none
+        keys = ", ".join(c.split()[0] for c in parts.columns.split(","))
+        self.spark.sql(
+            f"CREATE TABLE {self.qualified(name)} ({parts.schema}, {parts.columns}) USING {self.fmt} "
+            f"PARTITIONED BY ({keys}) LOCATION {place}"
+        )
+        clauses, by_values = [], {}
+        for values, folder in parts.folders:
+            spec = ", ".join(f"{k} = {_literal(v) if isinstance(v, str) else v}" for k, v in values.items())
+            clauses.append(f"PARTITION ({spec}) LOCATION {_literal(folder)}")
+            by_values["/".join(str(v) for v in values.values())] = folder
+        for at in range(0, len(clauses), 200):
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD IF NOT EXISTS {' '.join(clauses[at : at + 200])}")
+        return {"folders": sorted(set(by_values.values())), "parts": by_values}
+
     def register(self, table: str, path: str) -> None:
-        """Point the catalog entry at ``path``, replacing any earlier entry.
+        """Publish one table: its name shows the rows at ``path`` from now on."""
+        self.publish({table: path})
+
+    def publish(
+        self,
+        stored: Mapping[str, str | Parts | Bucketed],
+        notes: Mapping[str, object] | None = None,
+        based_on: Snapshot | None = None,
+    ) -> int:
+        """Publish several tables, and notes on them, in one release; returns its number.
 
-        The new entry is made beside the old one, which goes only once that has succeeded.
+        The release is one document, so a snapshot has all of it or nothing. The names in the catalog follow one by
+        one, each in one call. If anything fails before the release, nothing has changed. ``based_on`` is the snapshot the
+        rows were made from: if another writer has replaced one of these tables or notes since, this is a ``Conflict``.
         """
-        root = self.root.replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{root}'")
-        fresh = f"{table}_{uuid.uuid4().hex}"
+        self._create_database()
+        made: dict[str, dict] = {}
         try:
-            self.spark.catalog.createTable(f"{self.database}.{fresh}", path=path, source=self.fmt)
-            if any(c.isPartition for c in self.spark.catalog.listColumns(f"{self.database}.{fresh}")):
-                self.spark.catalog.recoverPartitions(f"{self.database}.{fresh}")
+            for table, where in stored.items():
+                made[table] = self._refresh(table, where)
+            number = self._release(made, dict(notes or {}), based_on)
         except Exception:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(fresh)}")
+            for entry in made.values():
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(entry['name'])}")
             raise
-        # Both tables are external: dropping and renaming leave their files alone.
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(table)}")
-        self.spark.sql(f"ALTER TABLE {self.qualified(fresh)} RENAME TO {self.qualified(table)}")
+        for table, entry in made.items():
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {self.qualified(table)} AS SELECT * FROM {self.qualified(entry['name'])}"
+            )
+        return number
+
+    def _release(self, made: Mapping[str, dict], notes: Mapping[str, object], based_on: Snapshot | None) -> int:
+        """Add the entries to the latest release; tables of other writers stay."""
+        for _ in range(20):
+            number, release = self.releases().latest()
+            tables, said = release.get("tables", {}), release.get("notes", {})
+            if based_on is not None:
+                moved = [t for t in made if tables.get(t) != based_on.entries.get(t)]
+                moved += [n for n in notes if said.get(n) != based_on.notes.get(n)]
+                if moved:
+                    raise Conflict(f"{self.root}: {', '.join(moved)} changed since release {based_on.number}")
+            try:
+                return self.releases().follow(number, {"tables": tables | made, "notes": said | notes})
+            except Conflict:  # of a writer of other tables: build on its release
+                continue
+        raise Conflict(f"{self.root}: too many writers")
 
     def register_all(self, paths: Mapping[str, str]) -> tuple[list[str], dict[str, str]]:
         """Register every table, going on after a failure: (registered, failed with reason)."""
@@ -139,7 +278,7 @@ class Layer:
         return registered, failed
 
     def tables(self) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.database))
+        return sorted(t.name for t in self.spark.catalog.listTables(self.database) if not _REFRESH.fullmatch(t.name))
 
     def summary(self, tables: Iterable[str]) -> DataFrame:
         """Row counts of the named tables with a total; a table that is missing counts as an error."""

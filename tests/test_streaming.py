@@ -168,3 +168,137 @@ def test_batch_and_stream_agree(spark, place):
     streamed = latest_by_key(ingest.read_bronze(spark, place.root, spec), spec.keys)
     valid, _ = parse_changes(spark.createDataFrame(log, MESSAGE_SCHEMA), spec)
     assert bag(streamed) == bag(latest_by_key(valid, spec.keys))
+
+
+def compacted(spark, place):
+    return ingest.compact(spark, place.root, [s.name for s in TOPICS.values()])
+
+
+def land_and_ingest(place, offsets):
+    place.land(*[message("shop.customers", i, customer_id=str(i)) for i in offsets])
+    place.ingest()
+
+
+def test_compaction_keeps_every_row_once(spark, place):
+    for i in range(4):
+        land_and_ingest(place, range(10 * i, 10 * i + 5))
+    place.land(message("other", 3, x="y"), message("shop.sellers", 2, seller_id="s"))
+    place.ingest()
+    before = bag(ingest.read_bronze(spark, place.root, CUSTOMERS))
+    assert compacted(spark, place) == 5
+    assert bag(ingest.read_bronze(spark, place.root, CUSTOMERS)) == before
+    assert ingest.read_unknown(spark, place.root).count() == 1 and place.offsets(SELLERS) == {(2,): 1}
+    files = ingest.read_bronze(spark, place.root, CUSTOMERS).inputFiles()
+    assert len(files) == 1 and "_compacted" in files[0]
+    assert compacted(spark, place) == 0  # nothing new
+    land_and_ingest(place, range(90, 92))
+    assert bag(ingest.read_bronze(spark, place.root, CUSTOMERS).filter("kafka_offset < 90")) == before
+    assert compacted(spark, place) == 1
+    assert ingest.vacuum(spark, place.root) > 0
+    assert ingest.compact(spark, place.root, ["customers", "sellers"], whole=True) == 0
+    assert len(ingest.read_bronze(spark, place.root, CUSTOMERS).inputFiles()) == 1
+    ingest.vacuum(spark, place.root)
+    assert bag(ingest.read_bronze(spark, place.root, CUSTOMERS).filter("kafka_offset < 90")) == before
+    assert place.offsets(CUSTOMERS).total() == 22
+
+
+def test_a_batch_is_seen_once_it_is_committed(spark, place, monkeypatch):
+    """A batch that dies between its tables and its commit shows nothing, and all of it after the retry."""
+    land_and_ingest(place, [1])
+    place.land(message("shop.customers", 2, customer_id="b"), message("shop.sellers", 3, seller_id="s"))
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_commit", die)
+        with pytest.raises(Exception):
+            place.ingest()
+    assert place.offsets(CUSTOMERS) == {(1,): 1} and place.offsets(SELLERS) == {}
+    place.ingest()
+    assert place.offsets(CUSTOMERS) == {(1,): 1, (2,): 1} and place.offsets(SELLERS) == {(3,): 1}
+
+
+@pytest.mark.parametrize("step", ["merge", "publish", "vacuum"])
+def test_a_compaction_that_dies_leaves_every_row_once(spark, place, monkeypatch, step):
+    for i in range(3):
+        land_and_ingest(place, [i])
+    before = bag(ingest.read_bronze(spark, place.root, CUSTOMERS))
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        if step == "merge":  # one table is merged, another is not
+            real = ingest._stored
+            m.setattr(ingest, "_stored", lambda s, r, t, *a, **k: die() if t == "sellers" else real(s, r, t, *a, **k))
+        if step == "publish":
+            m.setattr(ingest.Versions, "follow", die)
+        if step == "vacuum":
+            compacted(spark, place)
+            m.setattr(ingest.Folder, "remove", die)
+            with pytest.raises(RuntimeError):
+                ingest.vacuum(spark, place.root)
+        else:
+            with pytest.raises(Exception):
+                compacted(spark, place)
+    assert bag(ingest.read_bronze(spark, place.root, CUSTOMERS)) == before
+    compacted(spark, place)
+    ingest.vacuum(spark, place.root)
+    assert bag(ingest.read_bronze(spark, place.root, CUSTOMERS)) == before
+
+
+def test_a_merged_batch_that_the_stream_repeats_is_not_read_twice(spark, place):
+    land_and_ingest(place, [1, 2])
+    compacted(spark, place)
+    ingest.vacuum(spark, place.root)
+    for commit in Path(place.checkpoint, "commits").glob("*0*"):
+        commit.unlink()
+    place.ingest()  # writes the batch's folder again
+    assert place.offsets(CUSTOMERS) == {(1,): 1, (2,): 1}
+    assert ingest.vacuum(spark, place.root) >= 1
+
+
+def test_two_compactions_at_a_time_conflict(spark, place, monkeypatch):
+    land_and_ingest(place, [1])
+    real = ingest.Versions.follow
+
+    def late(self, number, document):
+        monkeypatch.setattr(ingest.Versions, "follow", real)
+        compacted(spark, place)
+        return real(self, number, document)
+
+    monkeypatch.setattr(ingest.Versions, "follow", late)
+    with pytest.raises(ingest.Conflict):
+        compacted(spark, place)
+    assert place.offsets(CUSTOMERS) == {(1,): 1}
+
+
+def test_readers_after_a_batch_read_only_later_ones(spark, place):
+    for i in range(3):
+        land_and_ingest(place, [i])
+    stream = ingest.stream_id(spark, place.checkpoint)
+    assert ingest.committed(spark, place.root).last() == {stream: 2}
+
+    def after(batch):
+        return bag(ingest.read_bronze(spark, place.root, CUSTOMERS, after={stream: batch}).select("kafka_offset"))
+
+    assert after(0) == {(1,): 1, (2,): 1}
+    compacted(spark, place)
+    assert after(0) == {(1,): 1, (2,): 1} and after(2) == {}
+    land_and_ingest(place, [7])
+    assert after(2) == {(7,): 1}
+    assert ingest.read_bronze(spark, place.root, CUSTOMERS, after={stream: 2}).inputFiles()[0].count("_compacted") == 0
+
+
+def test_the_catalog_has_committed_and_merged_rows_once(spark, place, folder):
+    land_and_ingest(place, [1])
+    compacted(spark, place)
+    land_and_ingest(place, [2])
+    from smelter.sources.tables import Layer
+
+    layer = Layer(spark, f"bronze_{abs(hash(folder))}", place.root)
+    registered, failed = ingest.register_bronze(layer, [CUSTOMERS, TableSpec("missing", {"k": "string"})])
+    assert registered == ["customers"] and set(failed) == {"missing"}
+    assert bag(layer.read("customers").select("kafka_offset", "after.customer_id")) == {(1, "1"): 1, (2, "2"): 1}
+    spark.sql(f"DROP DATABASE {layer.database} CASCADE")
