@@ -34,7 +34,7 @@ BLOCK = pa.schema(
     + [(c, pa.binary()) for c in ("groups", "docs", "codes", "counts")]
 )
 COUNTED = pa.schema(
-    [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("n", pa.int64())]
+    [("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
 )
 
 
@@ -121,7 +121,7 @@ def terms_of(chunk: Column) -> Column:
 
 
 def term_counts(blocks: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n): documents with the term, and its occurrences; dealt by (lang, term)."""
+    """(lang, term, docs, sources, counts), a row per block: documents with the term, and its occurrences in each source."""
     entries = blocks.select("block", F.posexplode("to_cut").alias("pos", "chunk"))
     cut = entries.groupBy("chunk").agg(F.lit(1).alias("_one")).select("chunk", terms_of(F.col("chunk")).alias("terms"))
     back = entries.join(cut, "chunk").groupBy("block").agg(
@@ -148,18 +148,42 @@ def term_counts(blocks: DataFrame) -> DataFrame:
                 pairs, n = _add_up(np.repeat(doc, width) * len(names) + term, np.repeat(counts, width))
                 owner = group[pairs // len(names)]
                 keys, docs, n = _add_up(owner * len(names) + pairs % len(names), np.ones(len(pairs), np.int64), n)
-                langs, sources = pc.list_flatten(row["langs"]), pc.list_flatten(row["sources"])
-                for at in range(0, len(keys), 20_000):
-                    part = slice(at, at + 20_000)
-                    g = pa.array(keys[part] // len(names))
-                    columns = langs.take(g), sources.take(g), names.take(pa.array(keys[part] % len(names)))
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(docs[part]), pa.array(n[part])], schema=COUNTED)
+                lang, lang_names = _distinct(pc.list_flatten(row["langs"]))
+                sources = pc.list_flatten(row["sources"])
+                owner, term = keys // len(names), keys % len(names)
+                key = lang[owner] * len(names) + term
+                order = np.argsort(key, kind="stable")
+                key, owner, docs, n = key[order], owner[order], docs[order], n[order]
+                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                docs, ends = np.add.reduceat(docs, first), np.append(first, len(key))
+                for at in range(0, len(first), 20_000):
+                    to = min(at + 20_000, len(first))
+                    inside = slice(ends[at], ends[to])
+                    offsets = pa.array(ends[at : to + 1] - ends[at], pa.int32())
+                    which = key[first[at:to]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            lang_names.take(pa.array(which // len(names))),
+                            names.take(pa.array(which % len(names))),
+                            pa.array(docs[at:to]),
+                            pa.ListArray.from_arrays(offsets, sources.take(pa.array(owner[inside]))),
+                            pa.ListArray.from_arrays(offsets, pa.array(n[inside])),
+                        ],
+                        schema=COUNTED,
+                    )
 
     body = blocks.select("block", "plain", "langs", "sources", "groups", "docs", "codes", "counts")
     answered = body.join(back.hint("shuffle_hash"), "block", "left").drop("block")
-    partial = answered.mapInArrow(run, "lang string, source string, term string, docs long, n long")
-    # Dealt by language and term, so that sums per source and per language need no other shuffle.
-    return partial.repartition("lang", "term").groupBy(*GROUP, "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return answered.mapInArrow(run, "lang string, term string, docs long, sources array<string>, counts array<long>")
+
+
+def kept_terms(counts: DataFrame, least_docs: int) -> DataFrame:
+    """(lang, source, term, n, lang_n) of the terms in enough documents of their language: one shuffle, by language and term."""
+    term = Window.partitionBy("lang", "term")
+    known = counts.withColumn("_in", F.sum("docs").over(term)).filter(F.col("_in") >= least_docs)
+    each = known.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
+    per_source = each.groupBy("lang", "term", F.col("c.sources").alias("source")).agg(F.sum("c.counts").alias("n"))
+    return per_source.select(*GROUP, "term", "n", F.sum("n").over(term).alias("lang_n"))
 
 
 def _share(n: Column | str, total: str, terms: str, scale: int) -> Column:
@@ -238,10 +262,7 @@ def audit(docs: DataFrame, audit: Audit = Audit()) -> DataFrame:
     of a language, whose pairs are the result.
     """
     blocks = count_chunks(docs, audit.block_bytes)
-    counts = term_counts(blocks)
-    terms = counts.groupBy("lang", "term").agg(F.sum("docs").alias("_in"), F.sum("n").alias("lang_n"))
-    known = terms.filter(F.col("_in") >= audit.least_docs).hint("shuffle_hash")
-    kept = written(counts.join(known, ["lang", "term"]).select(*GROUP, "term", "n", "lang_n"), "kept-terms")
+    kept = written(kept_terms(term_counts(blocks), audit.least_docs), "kept-terms")
     release(docs.sparkSession)
     one = F.explode(F.arrays_zip("langs", "sources")).alias("g")
     groups = blocks.select(one).select(F.col("g.langs").alias("lang"), F.col("g.sources").alias("source")).distinct()
