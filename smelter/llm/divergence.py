@@ -1,9 +1,9 @@
 """How far the sources of a language differ in their words, by chunk factorization.
 
-Text is cut at white space into chunks, far fewer of which are distinct than occur. Chunks are counted per
-document and stored in blocks with a dictionary each. A chunk of nothing but small letters and other signs of terms is a term itself; of the
-others every one that is distinct over all blocks is cut into terms once, and its terms are joined back to the
-dictionaries. Blocks then add up documents and occurrences per term.
+Text is cut at white space into chunks, far fewer of which are distinct than occur. Chunks, in small letters and without the
+signs at their ends that are in no term, are counted per document and stored in blocks with a dictionary each. A chunk without
+such signs inside is a term itself; of the others every one that is distinct over all blocks is cut into terms once,
+and its terms are joined back to the dictionaries. Blocks then add up documents and occurrences per term.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from smelter.scratch import release, scratch_path, written
 
 # What a term is, and the letters that are lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-TO_CUT = r"[\x00-\x60\x7B-\x7F]"  # in chunks that are not terms as they are
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TO_CUT = r"[\x00-\x60\x7B-\x7F]"  # in small chunks that are not terms as they are
+NO_TERM = "".join(map(chr, [*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 GROUP = ["lang", "source"]
 BLOCK = pa.schema(
@@ -34,7 +35,7 @@ BLOCK = pa.schema(
     + [(c, pa.binary()) for c in ("groups", "docs", "codes", "counts")]
 )
 COUNTED = pa.schema(
-    [("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
+    [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("n", pa.int64())]
 )
 
 
@@ -63,13 +64,15 @@ def _add_up(keys: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
 def count_chunks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Store the chunks of each document with their counts, in blocks; bucketed by block.
 
-    Codes count through the chunks to cut, then through the plain ones.
+    Codes count through the chunks to cut, the empty one of chunks without a term among them, then through the plain ones.
     """
 
     def block(number: int, texts: pa.Array, langs: pa.Array, sources: pa.Array) -> pa.RecordBatch:
         per_doc, flat = split_words(texts)
-        code, chunks = _distinct(flat)
-        odd = pc.match_substring_regex(chunks, TO_CUT).to_numpy(zero_copy_only=False).astype(bool)
+        code, whole = _distinct(flat)
+        small, chunks = _distinct(pc.utf8_trim(pc.ascii_lower(whole), NO_TERM))
+        code = small[code]
+        odd = pc.or_(pc.match_substring_regex(chunks, TO_CUT), pc.equal(chunks, "")).to_numpy(zero_copy_only=False).astype(bool)
         code = np.where(odd, np.cumsum(odd) - 1, odd.sum() + np.cumsum(~odd) - 1)[code]
         doc = np.repeat(np.arange(len(texts)), per_doc)
         pairs, counts = _add_up(doc * max(1, len(chunks)) + code, np.ones(len(code), np.int64))
@@ -121,7 +124,7 @@ def terms_of(chunk: Column) -> Column:
 
 
 def term_counts(blocks: DataFrame) -> DataFrame:
-    """(lang, term, docs, sources, counts), a row per block: documents with the term, and its occurrences in each source."""
+    """(lang, source, term, docs, n), a row per block: documents with the term, and its occurrences."""
     entries = blocks.select("block", F.posexplode("to_cut").alias("pos", "chunk"))
     cut = entries.groupBy("chunk").agg(F.lit(1).alias("_one")).select("chunk", terms_of(F.col("chunk")).alias("terms"))
     back = entries.join(cut, "chunk").groupBy("block").agg(
@@ -148,42 +151,24 @@ def term_counts(blocks: DataFrame) -> DataFrame:
                 pairs, n = _add_up(np.repeat(doc, width) * len(names) + term, np.repeat(counts, width))
                 owner = group[pairs // len(names)]
                 keys, docs, n = _add_up(owner * len(names) + pairs % len(names), np.ones(len(pairs), np.int64), n)
-                lang, lang_names = _distinct(pc.list_flatten(row["langs"]))
-                sources = pc.list_flatten(row["sources"])
-                owner, term = keys // len(names), keys % len(names)
-                key = lang[owner] * len(names) + term
-                order = np.argsort(key, kind="stable")
-                key, owner, docs, n = key[order], owner[order], docs[order], n[order]
-                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-                docs, ends = np.add.reduceat(docs, first), np.append(first, len(key))
-                for at in range(0, len(first), 20_000):
-                    to = min(at + 20_000, len(first))
-                    inside = slice(ends[at], ends[to])
-                    offsets = pa.array(ends[at : to + 1] - ends[at], pa.int32())
-                    which = key[first[at:to]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            lang_names.take(pa.array(which // len(names))),
-                            names.take(pa.array(which % len(names))),
-                            pa.array(docs[at:to]),
-                            pa.ListArray.from_arrays(offsets, sources.take(pa.array(owner[inside]))),
-                            pa.ListArray.from_arrays(offsets, pa.array(n[inside])),
-                        ],
-                        schema=COUNTED,
-                    )
+                langs, sources = pc.list_flatten(row["langs"]), pc.list_flatten(row["sources"])
+                for at in range(0, len(keys), 20_000):
+                    part = slice(at, at + 20_000)
+                    g = pa.array(keys[part] // len(names))
+                    columns = langs.take(g), sources.take(g), names.take(pa.array(keys[part] % len(names)))
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(docs[part]), pa.array(n[part])], schema=COUNTED)
 
     body = blocks.select("block", "plain", "langs", "sources", "groups", "docs", "codes", "counts")
     answered = body.join(back.hint("shuffle_hash"), "block", "left").drop("block")
-    return answered.mapInArrow(run, "lang string, term string, docs long, sources array<string>, counts array<long>")
+    return answered.mapInArrow(run, "lang string, source string, term string, docs long, n long")
 
 
 def kept_terms(counts: DataFrame, least_docs: int) -> DataFrame:
     """(lang, source, term, n, lang_n) of the terms in enough documents of their language: one shuffle, by language and term."""
+    dealt = counts.repartition("lang", "term").groupBy(*GROUP, "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
     term = Window.partitionBy("lang", "term")
-    known = counts.withColumn("_in", F.sum("docs").over(term)).filter(F.col("_in") >= least_docs)
-    each = known.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
-    per_source = each.groupBy("lang", "term", F.col("c.sources").alias("source")).agg(F.sum("c.counts").alias("n"))
-    return per_source.select(*GROUP, "term", "n", F.sum("n").over(term).alias("lang_n"))
+    sums = dealt.withColumns({"_in": F.sum("docs").over(term), "lang_n": F.sum("n").over(term)})
+    return sums.filter(F.col("_in") >= least_docs).select(*GROUP, "term", "n", "lang_n")
 
 
 def _share(n: Column | str, total: str, terms: str, scale: int) -> Column:
