@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from smelter.plans import gold, silver
-from smelter.sources.tables import Layer
+from smelter.sources.tables import Layer, Parts, Snapshot
+from smelter.sources.versions import Folder
 from smelter.specs import SOURCE_TABLES
 from smelter.steps import StepsFailed, report, run_steps
+from smelter.streaming.fold import BUCKETS, Fold, changed_since, last_run
 from smelter.streaming.ingest import register_bronze
 
 
@@ -28,6 +31,15 @@ def build_silver(bronze: Layer, layer: Layer, deletes: str = "apply") -> list[st
     return run_steps({table: step(table) for table in SOURCE_TABLES}, AT_ONCE)
 
 
+def refresh_silver(bronze_root: str, layer: Layer, deletes: str = "apply", buckets: int = BUCKETS) -> list[str]:
+    """All silver tables from the batches committed since the last run; tables without new ones stay as they are."""
+
+    def step(table: str):
+        return lambda: Fold(layer, SOURCE_TABLES[table], buckets, deletes).run(bronze_root)
+
+    return run_steps({table: step(table) for table in SOURCE_TABLES}, AT_ONCE)
+
+
 def dimension(
     table: str, read: Callable[[str], DataFrame], previous: DataFrame | None = None
 ) -> DataFrame:
@@ -72,39 +84,115 @@ def fact(
     )
 
 
+def _fact_parts(layer: Layer, table: str, folders: Mapping[str, str], rows: DataFrame) -> Parts:
+    """A fact put together from month folders."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != gold.MONTH)
+    key = gold.FACT_KEYS[table]
+    schema = columns if key in rows.columns else f"{key} bigint, {columns}"
+    return Parts(schema, f"{gold.MONTH} int", [({gold.MONTH: int(m)}, path) for m, path in sorted(folders.items())])
+
+
+def _months(layer: Layer, path: str) -> dict[str, str]:
+    """Folder by month of a staged fact."""
+    prefix = f"{gold.MONTH}="
+    return {n.removeprefix(prefix): f"{path}/{n}" for n in Folder(layer.spark, path).names() if n.startswith(prefix)}
+
+
+def _silver_runs(at: Snapshot) -> dict[str, int | None]:
+    return {t: last_run(at, spec) if at.exists(t) else None for t, spec in SOURCE_TABLES.items()}
+
+
 def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
     """Write all eight tables, facts from the new dimensions, then publish them in one release.
 
-    If any step fails nothing is published; readers of ``layer.snapshot()`` always see tables of one build.
+    Silver is read as of one release of its own. If any step fails nothing is published; readers of ``layer.snapshot()``
+    always see tables of one build.
     """
-    staged: dict[str, str] = {}
+    return _build_gold(silver_layer, layer, None)
 
-    def stage_dimension(table: str):
-        def step():
-            previous = layer.read(table) if layer.exists(table) else None
-            staged[table] = layer.stage(table, dimension(table, silver_layer.read, previous))
 
-        return step
+def refresh_gold(silver_layer: Layer, layer: Layer) -> list[str]:
+    """Like ``build_gold``, but facts are rebuilt only in the months that changed since the last build.
+
+    Needs silver tables made by ``refresh_silver`` and a gold layer built from an earlier state of them; otherwise everything is
+    built. Dimensions are always rebuilt: members keep their keys.
+    """
+    at, before = silver_layer.snapshot(), layer.snapshot()
+    built = before.notes.get(BUILT)
+    if not built or not all(before.exists(t) and before.folders(t) for t in FACTS):
+        return _build_gold(silver_layer, layer, None)
+    changed = {t: changed_since(silver_layer, spec, at, built["runs"].get(t)) for t, spec in SOURCE_TABLES.items()}
+    earlier = _release_of(silver_layer, before)
+    if any(keys is None for keys in changed.values()) or not all(earlier.stored(t) for t in ("orders", "order_reviews")):
+        return _build_gold(silver_layer, layer, None)
+    return _build_gold(silver_layer, layer, changed)
+
+
+BUILT = "built_from"  # the note on which silver release gold was built from
+
 
-    def stage_fact(table: str):
+def _build_gold(silver_layer: Layer, layer: Layer, changed: Mapping[str, DataFrame] | None) -> list[str]:
+    at, before = silver_layer.snapshot(), layer.snapshot()
+    staged: dict[str, str | Parts] = {}
+    paths: dict[str, str] = {}
+
+    def stage_dimension(table: str):
         def step():
-            rows = fact(table, silver_layer.read, lambda t: layer.load(staged[t]))
-            staged[table] = gold.stage_fact(layer, table, rows)
+            previous = before.read(table) if before.exists(table) else None
+            staged[table] = paths[table] = layer.stage(table, dimension(table, at.read, previous))
 
         return step
 
+    def new_dimension(table: str) -> DataFrame:
+        return layer.load(paths[table])
+
+    def stage_all(table: str) -> None:
+        def read(name: str) -> DataFrame:
+            return new_dimension(name) if name in paths else layer.load_all(list(items.values()))
+
+        rows = fact(table, at.read, read)
+        path = gold.stage_fact(layer, table, rows)
+        months = _months(layer, path)
+        staged[table] = _fact_parts(layer, table, months, rows)
+        if table == "fact_order_items":
+            items.update(months)
+
+    def stage_months(table: str) -> None:
+        old = before.folders(table)
+        if table == "fact_order_items":
+            months, rows = refresh.items(new_dimension)
+        else:
+            months, rows = refresh.reviews(layer.load_all(list(items.values())))
+        first = before.read(table).agg(F.max(gold.FACT_KEYS[table])).first()[0] or 0
+        fresh = _months(layer, gold.stage_fact(layer, table, rows, first))
+        kept = {m: path for m, path in old.items() if int(m) not in months}
+        staged[table] = _fact_parts(layer, table, kept | fresh, before.read(table))
+        if table == "fact_order_items":
+            items.update(kept | fresh)
+
+    items: dict[str, str] = {}
+    refresh = None
     done: list[str] = []
     try:
         done += run_steps({table: stage_dimension(table) for table in DIMENSIONS}, AT_ONCE)
+        if changed is not None:
+            earlier = _release_of(silver_layer, before)
+            refresh = gold.ChangedMonths(changed, earlier.read, at.read, before.read, new_dimension)
         # The review fact reads the item fact, so the first failure ends the facts.
         for table in FACTS:
-            done += run_steps({table: stage_fact(table)})
+            step = stage_all if refresh is None else stage_months
+            done += run_steps({table: lambda: step(table)})
     except StepsFailed as error:
         raise StepsFailed(done + error.done, error.failed) from None
-    layer.publish(staged)
+    layer.publish(staged, {BUILT: {"release": at.number, "runs": _silver_runs(at)}}, based_on=before)
     return done
 
 
+def _release_of(silver_layer: Layer, before: Snapshot) -> Snapshot:
+    """Silver as of the last build of gold."""
+    return silver_layer.snapshot(before.notes[BUILT]["release"])
+
+
 class BuildFailed(RuntimeError):
     """A build did not succeed; ``report`` has a row per step."""
 
@@ -118,9 +206,14 @@ def run(
     silver_layer: Layer,
     gold_layer: Layer,
     ingest: Callable[[], list[str]] | None = None,
+    incremental: bool = False,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Ingest if given, then silver, then gold; one report row per step, with the rows stored.
 
+    ``incremental``: silver folds only the batches that are new, into states of so many ``buckets``, and gold rebuilds only
+    the months that changed.
+
     After an ingest the bronze tables are registered again, so that silver sees its batches. A layer with a
     failed step still runs its other steps, and stops the next layer; the report then comes with
     ``BuildFailed``.
@@ -133,10 +226,15 @@ def run(
             raise StepsFailed(done + registered, {t: RuntimeError(why) for t, why in failed.items()})
         return done
 
+    def built_silver() -> list[str]:
+        if incremental:
+            return refresh_silver(bronze.root, silver_layer, buckets=buckets)
+        return build_silver(bronze, silver_layer)
+
     stages = [
         (None, ingested) if ingest else None,
-        (silver_layer, lambda: build_silver(bronze, silver_layer)),
-        (gold_layer, lambda: build_gold(silver_layer, gold_layer)),
+        (silver_layer, built_silver),
+        (gold_layer, lambda: (refresh_gold if incremental else build_gold)(silver_layer, gold_layer)),
     ]
     planned = {silver_layer: list(SOURCE_TABLES), gold_layer: [*DIMENSIONS, *FACTS]}
     done: dict[str, int | None] = {}

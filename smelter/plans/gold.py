@@ -8,6 +8,8 @@ at order grain, and only orders, sellers and products at item grain.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from smelter.operators.keys import (
     with_unknown_member,
 )
 from smelter.operators.merge import first_per_key
+from smelter.scratch import written
 
 AUDIT = "etl_loaded_at"
 
@@ -436,6 +439,88 @@ def store_fact(layer, table: str, fact: DataFrame) -> DataFrame:
     return layer.replace(**_by_month(table, fact))
 
 
-def stage_fact(layer, table: str, fact: DataFrame) -> str:
-    """The same without publishing it: the folder it is in."""
-    return layer.stage(**_by_month(table, fact))
+def stage_fact(layer, table: str, fact: DataFrame, after: int = 0) -> str:
+    """The same without publishing it, keys from ``after`` + 1 on: the folder it is in."""
+    return layer.stage(**_by_month(table, fact), after=after)
+
+
+class ChangedMonths:
+    """The facts of the months that a change of silver tables touches.
+
+    A fact row changes if its order, its item or review, or a key it looks up has changed: the person or place of its customer, its
+    seller or the seller's place, its product. Such orders are found from the changed keys; their months, before
+    and after, are rebuilt as a whole from the new tables, all others are left alone. Keys of people and statuses change only
+    with customers and orders that have changed themselves.
+
+    ``changed`` holds the changed keys per silver table as text; readers give the tables of the last build and of this one.
+    """
+
+    def __init__(self, changed, old_silver, new_silver, old_gold, new_gold):
+        self.changed, self.old, self.new = changed, old_silver, new_silver
+        self.old_gold, self.new_gold = old_gold, new_gold
+
+    def _moved(self, table: str, business_key: str, key: str, members: DataFrame | None = None) -> DataFrame:
+        """Members of a dimension, of the given ones if any, whose key came, went or changed."""
+
+        def side(dim: DataFrame, name: str) -> DataFrame:
+            known = known_members(dim, key).select(F.col(business_key), F.col(key).alias(name))
+            return known if members is None else known.join(members, business_key, "left_semi")
+
+        both = side(self.old_gold(table), "_old").join(side(self.new_gold(table), "_new"), business_key, "full_outer")
+        return both.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(business_key)
+
+    def orders(self) -> DataFrame:
+        """The orders whose item facts may differ, each once; stored."""
+        zips = self._moved("dim_geography", "zip_code_prefix", "geography_sk")
+        customers, sellers = self.new("customers"), self.new("sellers")
+        people = self.changed["customers"].select("customer_id").unionByName(
+            customers.join(zips, customers["customer_zip_code_prefix"] == zips["zip_code_prefix"], "left_semi").select("customer_id")
+        )
+        shops = self.changed["sellers"].select("seller_id").unionByName(
+            sellers.join(zips, sellers["seller_zip_code_prefix"] == zips["zip_code_prefix"], "left_semi").select("seller_id")
+        )
+        products = self._moved("dim_product", "product_id", "product_sk", self.changed["products"].select("product_id"))
+        orders, items = self.new("orders"), self.new("order_items")
+        found = [
+            self.changed["orders"].select("order_id"),
+            self.changed["order_items"].select("order_id"),
+            orders.join(people, "customer_id", "left_semi").select("order_id"),
+            items.join(shops, "seller_id", "left_semi").select("order_id"),
+            items.join(products, "product_id", "left_semi").select("order_id"),
+        ]
+        return written(reduce(DataFrame.unionByName, found).distinct(), "changed-orders")
+
+    @staticmethod
+    def _months(rows: DataFrame, timestamp: str) -> DataFrame:
+        return rows.select(_day(timestamp).alias("_day")).select(C.month_of("_day").alias("month")).distinct()
+
+    def _touched(self, table: str, keys: list[str], timestamp: str, changed: DataFrame) -> set[int]:
+        """Months, before and after, of the changed rows: at most one per month of the calendar reaches the driver."""
+        sides = [self._months(read(table).join(changed, keys, "left_semi"), timestamp) for read in (self.old, self.new)]
+        return {row.month for row in sides[0].unionByName(sides[1]).distinct().collect()}
+
+    def _of_months(self, table: str, timestamp: str, months: set[int]) -> DataFrame:
+        rows = self.new(table).withColumn("_day", _day(timestamp)).withColumn("_month", C.month_of("_day"))
+        return rows.filter(F.col("_month").isin(*months)).drop("_day", "_month")
+
+    def items(self, dimension) -> tuple[set[int], DataFrame]:
+        """(months, the item facts of these months)."""
+        self.changed_orders = self.orders()
+        months = self._touched("orders", ["order_id"], "order_purchase_timestamp", self.changed_orders)
+        orders = written(self._of_months("orders", "order_purchase_timestamp", months), "orders-of-months")
+        dims = ("dim_customer", "dim_seller", "dim_product", "dim_order_status", "dim_geography")
+        items = self.new("order_items").join(orders.select("order_id"), "order_id", "left_semi")
+        customers = self.new("customers").join(orders.select("customer_id"), "customer_id", "left_semi")
+        return months, fact_order_items(items, orders, customers, *map(dimension, dims))
+
+    def reviews(self, item_facts: DataFrame) -> tuple[set[int], DataFrame]:
+        """(months, the review facts of these months); after ``items``."""
+        keys = ["review_id", "order_id"]
+        of_orders = [
+            read("order_reviews").join(self.changed_orders, "order_id", "left_semi").select(*keys) for read in (self.old, self.new)
+        ]
+        changed = reduce(DataFrame.unionByName, [self.changed["order_reviews"].select(*keys), *of_orders]).distinct()
+        months = self._touched("order_reviews", keys, "review_creation_date", written(changed, "changed-reviews"))
+        reviews = self._of_months("order_reviews", "review_creation_date", months)
+        facts = item_facts.join(reviews.select("order_id"), "order_id", "left_semi")
+        return months, fact_reviews(reviews, facts)

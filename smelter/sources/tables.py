@@ -57,6 +57,10 @@ class Snapshot:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(f"`{self.database}`.`{self.entries[table]['name']}`")
 
+    def stored(self, table: str) -> bool:
+        """Whether the table of this release has not expired."""
+        return self.exists(table) and self.spark.catalog.tableExists(f"{self.database}.{self.entries[table]['name']}")
+
     def folders(self, table: str) -> dict[str, str]:
         """Folder by partition, as published from ``Parts``; empty for other tables."""
         return dict(self.entries[table].get("parts", {})) if self.exists(table) else {}
@@ -102,16 +106,17 @@ class Layer:
         df: DataFrame,
         partition_by: str | None = None,
         unique: str | None = None,
+        after: int = 0,
     ) -> str:
         """Write a refresh without publishing it; returns its folder, for ``register``.
 
-        ``unique`` names a key column to number the rows with as they are written.
+        ``unique`` names a key column to number the rows with as they are written, from ``after`` + 1 on.
         """
         if partition_by:
             # Even tasks per partition value, large values split over several.
             df = df.hint("rebalance", partition_by)
         if unique:
-            df = df.select(unique_key().alias(unique), "*")
+            df = df.select((unique_key() + F.lit(after)).alias(unique), "*")
         writer = df.write.format(self.fmt)
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -131,6 +136,10 @@ class Layer:
         writer.saveAsTable(f"{self.database}.{name}")
         return Bucketed(name, path)
 
+    def load_all(self, paths: Sequence[str]) -> DataFrame:
+        """The rows of several folders of one table, partition columns left out."""
+        return self.spark.read.format(self.fmt).load(list(paths))
+
     def load_bucketed(self, stored: Bucketed) -> DataFrame:
         return self.spark.table(self.qualified(stored.name))
 
@@ -143,9 +152,9 @@ class Layer:
     def releases(self) -> Versions:
         return Versions(self.spark, f"{self.root}/_releases")
 
-    def snapshot(self) -> Snapshot:
-        """All tables as of the latest release."""
-        number, release = self.releases().latest()
+    def snapshot(self, number: int | None = None) -> Snapshot:
+        """All tables as of one release, the latest unless a number is given."""
+        number, release = (number, self.releases().read(number)) if number else self.releases().latest()
         return Snapshot(self.spark, self.database, number, release)
 
     def refresh_of(self, table: str) -> str:

@@ -421,6 +421,33 @@ WHERE customer_state = 'SP' ORDER BY customer_id LIMIT 10""",
 }
 
 SQL["cdc_stream_append"] = SQL["cdc_stream_replay"] = SQL["cdc_envelope_parse"]
+SQL["cdc_stream_compacted"] = SQL["cdc_one_topic_sink"] = SQL["cdc_envelope_parse"]
+SQL["cdc_catch_up_topics"] = """
+SELECT event_type AS topic, kafka_partition, kafka_offset, op, ts_ms, k, v FROM event_log"""
+# Layers that grow batch by batch end where a whole build does.
+SQL |= {n.replace("silver_", "silver_incremental_"): text for n, text in SQL.items() if n.startswith("silver_")}
+
+
+def _named(text: str, names: dict[str, tuple[str, str, str]]) -> str:
+    """A fact with business keys for surrogate ones: column -> (dimension, its key, business key)."""
+    columns = ", ".join(f"d_{c}.{name} AS {c.removesuffix('_sk')}_name" for c, (_, _, name) in names.items())
+    joins = " ".join(f"JOIN {dim} d_{c} ON d_{c}.{key} = f.{c}" for c, (dim, key, _) in names.items())
+    return f"SELECT f.* EXCLUDE ({', '.join(names)}), {columns} FROM ({text}) f {joins}"
+
+
+_PERSON = {"customer_sk": ("dim_customer", "customer_sk", "customer_unique_id"), "product_sk": ("dim_product", "product_sk", "product_id")}
+_PLACE = ("dim_geography", "geography_sk", "zip_code_prefix")
+SQL["gold_incremental_order_items"] = _named(
+    SQL["gold_fact_order_items"],
+    _PERSON
+    | {
+        "seller_sk": ("dim_seller", "seller_sk", "seller_id"),
+        "order_status_sk": ("dim_order_status", "order_status_sk", "order_status"),
+        "customer_geography_sk": _PLACE,
+        "seller_geography_sk": _PLACE,
+    },
+)
+SQL["gold_incremental_reviews"] = _named(SQL["gold_fact_reviews"], _PERSON | {"customer_geography_sk": _PLACE})
 # A new checkpoint reads everything again, beside what the old one stored.
 SQL["cdc_stream_new_checkpoint"] = f"""
 SELECT *, 2 AS stored FROM ({SQL['cdc_envelope_parse']})"""
@@ -563,6 +590,19 @@ _COUNTS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, 'OK' AS status FROM {relation}"
     for t, (relation, _) in _TABLES.items()
 )
+_GOLD = ("dim_geography", "dim_date", "dim_customer", "dim_seller", "dim_product", "dim_order_status")
+SQL["run_report"] = " UNION ALL ".join(
+    ["SELECT 'ingest' AS step, 'OK' AS status, CAST(NULL AS BIGINT) AS row_count"]
+    + [
+        f"SELECT '{t}', 'OK', count(*) FROM {relation}"
+        for t, relation in [
+            *((t, relation) for t, (relation, _) in _TABLES.items()),
+            *zip(_GOLD, _GOLD),
+            ("fact_order_items", "fact_items"),
+            ("fact_reviews", "fact_reviews"),
+        ]
+    ]
+)
 SQL["layer_summary"] = f"""
 WITH counted AS ({_COUNTS})
 SELECT * FROM counted UNION ALL SELECT 'TOTAL', sum(row_count)::BIGINT, 'OK' FROM counted"""

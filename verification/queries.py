@@ -17,6 +17,7 @@ from smelter.sources.csv import read_csv
 from smelter.specs import ORDER_ITEMS, ORDERS, SOURCE_TABLES, TableSpec
 from smelter.streaming import ingest
 from verification import derive
+from verification.incremental import growing
 from verification.warehouse import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,6 +192,45 @@ def set_aside(spark: SparkSession, path: str) -> None:
     system.rename(place(path), place(scratch_path(spark, "set-aside")))
 
 
+@query("cdc_stream_compacted")
+def _(spark, sf_dir):
+    """Five batches, merged after the third and the fourth, read beside the fifth."""
+    root, topics = scratch_path(spark, "bronze"), {derive.EVENT_LOG.name: derive.EVENT_LOG}
+    messages = derive.event_messages(derive.given(spark, sf_dir, "events"))
+    for number in range(5):
+        batch = messages.filter(F.pmod(F.xxhash64("kafka_offset"), F.lit(5)) == number)
+        ingest.write_batch(batch, topics, root, "events", number)
+        if number in (2, 3):
+            ingest.compact(spark, root, [derive.EVENT_LOG.name])
+            ingest.vacuum(spark, root)
+    return _flat(ingest.read_bronze(spark, root, derive.EVENT_LOG))
+
+
+@query("cdc_one_topic_sink")
+def _(spark, sf_dir):
+    """One topic by the plain file sink."""
+    root, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
+    messages = derive.event_messages(derive.event_stream(spark, sf_dir))
+    ingest.stream_one_topic(messages, derive.EVENT_LOG, root, checkpoint).awaitTermination()
+    return _flat(spark.read.parquet(ingest.table_path(root, derive.EVENT_LOG.name)))
+
+
+@query("cdc_catch_up_topics")
+def _(spark, sf_dir):
+    """Scheduled catch-up: a stream per topic, run twice, each with a checkpoint of its own."""
+    root, checkpoints = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoints")
+    topics = {kind: TableSpec(kind, derive.EVENT_LOG.columns, derive.EVENT_LOG.keys) for kind in derive.EVENT_TYPES}
+
+    def source(topic: str) -> DataFrame:
+        events = derive.event_stream(spark, sf_dir).filter(F.col("event_type") == topic)
+        return derive.event_messages(events, topic=F.lit(topic))
+
+    for _ in range(2):
+        ingest.catch_up_topics(source, topics, root, checkpoints)
+    tables = [ingest.read_bronze(spark, root, spec) for spec in topics.values()]
+    return _flat(reduce(DataFrame.unionByName, tables), "topic")
+
+
 @query("cdc_rejected_shapes")
 def _(spark, sf_dir):
     bronze = cdc.read_envelopes(derive.odd_messages(spark, sf_dir), derive.EVENT_LOG)
@@ -243,6 +283,71 @@ for _table, _name in SILVER_NAMES.items():
     query(_name)(_silver(_table))
 
 
+# --- what grows batch by batch ---------------------------------------------
+
+
+def _grown_silver(table: str) -> Query:
+    return lambda spark, sf_dir: growing(spark, sf_dir).silver.read(table)
+
+
+for _table, _name in SILVER_NAMES.items():
+    query(_name.replace("silver_", "silver_incremental_"))(_grown_silver(_table))
+
+
+@query("run_report")
+def _(spark, sf_dir):
+    """The report of ingest, silver and gold after the last batch."""
+    return growing(spark, sf_dir).report.drop("reason")
+
+
+DIMENSION_KEYS = {
+    "dim_customer": "customer_sk",
+    "dim_seller": "seller_sk",
+    "dim_product": "product_sk",
+    "dim_order_status": "order_status_sk",
+    "dim_geography": "geography_sk",
+}
+
+
+def _by_business_key(read: Callable[[str], DataFrame], fact: str, keys: dict[str, tuple[str, str]]) -> DataFrame:
+    """A fact with the names that its surrogate keys stand for: column -> (dimension, business key)."""
+    rows = read(fact)
+    for column, (table, name) in keys.items():
+        key = DIMENSION_KEYS[table]
+        names = read(table).select(F.col(key).alias(column), F.col(name).alias(f"{column.removesuffix('_sk')}_name"))
+        rows = rows.join(names, column).drop(column)
+    return rows
+
+
+@query("gold_incremental_order_items")
+def _(spark, sf_dir):
+    return _by_business_key(
+        growing(spark, sf_dir).gold.snapshot().read,
+        "fact_order_items",
+        {
+            "customer_sk": ("dim_customer", "customer_unique_id"),
+            "seller_sk": ("dim_seller", "seller_id"),
+            "product_sk": ("dim_product", "product_id"),
+            "order_status_sk": ("dim_order_status", "order_status"),
+            "customer_geography_sk": ("dim_geography", "zip_code_prefix"),
+            "seller_geography_sk": ("dim_geography", "zip_code_prefix"),
+        },
+    )
+
+
+@query("gold_incremental_reviews")
+def _(spark, sf_dir):
+    return _by_business_key(
+        growing(spark, sf_dir).gold.snapshot().read,
+        "fact_reviews",
+        {
+            "customer_sk": ("dim_customer", "customer_unique_id"),
+            "product_sk": ("dim_product", "product_id"),
+            "customer_geography_sk": ("dim_geography", "zip_code_prefix"),
+        },
+    )
+
+
 # --- gold ------------------------------------------------------------------
 
 
