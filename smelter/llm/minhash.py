@@ -124,10 +124,11 @@ LOG_GAMMA = np.log(GAMMA)
 
 
 def samples(keys: np.ndarray, weight: np.ndarray, begin: np.ndarray, number: int) -> np.ndarray:
-    """``number`` consistent weighted samples, 32 bits each, of the sets that begin at ``begin``.
+    """``number`` consistent weighted samples, 32 bits each, of the sets that begin at ``begin``; their keys are sorted.
 
     The random numbers of a shingle come from its hash: 16 bits each choose r and c, both Gamma(2, 1), and
-    b, uniform. With t = floor(ln w / r + b) the shingle of least ln c - r (t - b + 1) is sampled, with t.
+    b, uniform. With t = floor(ln w / r + b) the shingle of least ln c - r (t - b + 1) is sampled, with t. Of equal ones
+    the first is.
     """
     out = np.empty((len(begin), number), np.uint32)
     edges = np.append(begin, len(keys))
@@ -137,17 +138,22 @@ def samples(keys: np.ndarray, weight: np.ndarray, begin: np.ndarray, number: int
         part = slice(edges[at], edges[to])
         key, log = keys[part], np.log(weight[part]).astype(np.float32)
         starts = begin[at:to] - begin[at]
+        sizes = np.diff(np.append(starts, len(key)))
+        x, high = np.empty_like(key), np.empty_like(key)
         for k in range(number):
-            x = chunks.mix(key + np.uint64((0xA0761D6478BD642F * (2 * k + 1)) % (1 << 64)))
-            r = GAMMA[(x & np.uint64(0xFFFF)).astype(np.int32)]
-            b = ((x >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.float32) * np.float32(2**-16)
+            np.add(key, np.uint64((0xA0761D6478BD642F * (2 * k + 1)) % (1 << 64)), out=x)
+            for shift, factor in ((32, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
+                np.right_shift(x, np.uint64(shift), out=high)
+                np.bitwise_xor(x, high, out=x)
+                np.multiply(x, np.uint64(factor), out=x)
+            drawn = x.astype("<u8", copy=False).view("<u2").reshape(-1, 4)
+            r, b = GAMMA.take(drawn[:, 3], mode="clip"), drawn[:, 1] * np.float32(2**-16)
             t = np.floor(log / r + b)
-            level = LOG_GAMMA[((x >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int32)] - r * (t - b + 1)
-            bits = level.view(np.int32)
-            order = (bits ^ ((bits >> 31) & 0x7FFFFFFF)).astype(np.int64) + (1 << 31)
-            name = (x >> np.uint64(32)) ^ (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1))
-            packed = order.astype(np.uint64) << np.uint64(32) | (name & np.uint64(0xFFFFFFFF))
-            out[at:to, k] = np.minimum.reduceat(packed, starts) & np.uint64(0xFFFFFFFF)
+            level = LOG_GAMMA.take(drawn[:, 2], mode="clip") - r * (t - b + 1)
+            least = np.flatnonzero(level == np.repeat(np.minimum.reduceat(level, starts), sizes))
+            best = least[np.searchsorted(least, starts)]
+            drawn_at = t[best].astype(np.int64).astype(np.uint64)
+            out[at:to, k] = (x[best] >> np.uint64(32) ^ drawn_at * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
         at = to
     return out
 
