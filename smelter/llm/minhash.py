@@ -142,14 +142,15 @@ def samples(keys: np.ndarray, weight: np.ndarray, begin: np.ndarray, number: int
         x, high = np.empty_like(key), np.empty_like(key)
         for k in range(number):
             np.add(key, np.uint64((0xA0761D6478BD642F * (2 * k + 1)) % (1 << 64)), out=x)
-            for shift, factor in ((32, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
+            for shift, factor in ((31, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9), (32, 1)):  # as chunks.mix, in place
                 np.right_shift(x, np.uint64(shift), out=high)
                 np.bitwise_xor(x, high, out=x)
-                np.multiply(x, np.uint64(factor), out=x)
+                if factor != 1:
+                    np.multiply(x, np.uint64(factor), out=x)
             drawn = x.astype("<u8", copy=False).view("<u2").reshape(-1, 4)
-            r, b = GAMMA.take(drawn[:, 3], mode="clip"), drawn[:, 1] * np.float32(2**-16)
+            r, b = GAMMA.take(drawn[:, 0], mode="clip"), drawn[:, 2] * np.float32(2**-16)
             t = np.floor(log / r + b)
-            level = LOG_GAMMA.take(drawn[:, 2], mode="clip") - r * (t - b + 1)
+            level = LOG_GAMMA.take(drawn[:, 1], mode="clip") - r * (t - b + 1)
             least = np.flatnonzero(level == np.repeat(np.minimum.reduceat(level, starts), sizes))
             best = least[np.searchsorted(least, starts)]
             drawn_at = t[best].astype(np.int64).astype(np.uint64)
