@@ -1,4 +1,4 @@
-"""Insert rows whose key is not there yet."""
+"""Insert rows whose key is not there yet; merge rows into a bucketed table."""
 
 from __future__ import annotations
 
@@ -36,3 +36,16 @@ def insert_if_absent(
 ) -> DataFrame:
     """``target`` plus the absent rows; where ``target`` is a table, append ``absent_rows``."""
     return target.unionByName(absent_rows(target, incoming, keys, order_by))
+
+
+def merged(state: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``(keys, old, new)``: both sides of every key as structs, NULL where a side lacks it.
+
+    ``state`` is bucketed by ``keys``, and only ``new``, one row per key, is dealt out. Keys are never NULL.
+    """
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+
+    dealt = packed(new, "new").repartition(buckets, *keys)
+    return packed(state, "old").join(dealt.hint("shuffle_hash"), list(keys), "full_outer")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from smelter.plans import gold, silver
 from smelter.sources.tables import Layer, Parts, Snapshot
+from smelter.sources.unique import KeyRegistry
 from smelter.sources.versions import Folder
 from smelter.specs import SOURCE_TABLES
 from smelter.steps import StepsFailed, report, run_steps
@@ -41,7 +42,7 @@ def refresh_silver(bronze_root: str, layer: Layer, deletes: str = "apply", bucke
 
 
 def dimension(
-    table: str, read: Callable[[str], DataFrame], previous: DataFrame | None = None
+    table: str, read: Callable[[str], DataFrame], previous: gold.Previous = None
 ) -> DataFrame:
     """A dimension from silver; members of ``previous`` keep their keys."""
     builders = {
@@ -102,16 +103,16 @@ def _silver_runs(at: Snapshot) -> dict[str, int | None]:
     return {t: last_run(at, spec) if at.exists(t) else None for t, spec in SOURCE_TABLES.items()}
 
 
-def build_gold(silver_layer: Layer, layer: Layer) -> list[str]:
+def build_gold(silver_layer: Layer, layer: Layer, buckets: int = BUCKETS) -> list[str]:
     """Write all eight tables, facts from the new dimensions, then publish them in one release.
 
-    Silver is read as of one release of its own. If any step fails nothing is published; readers of ``layer.snapshot()``
+    Silver is read as of one release of its own. Members of dimensions get their keys from registries in so many ``buckets``. If any step fails nothing is published; readers of ``layer.snapshot()``
     always see tables of one build.
     """
-    return _build_gold(silver_layer, layer, None)
+    return _build_gold(silver_layer, layer, None, buckets)
 
 
-def refresh_gold(silver_layer: Layer, layer: Layer) -> list[str]:
+def refresh_gold(silver_layer: Layer, layer: Layer, buckets: int = BUCKETS) -> list[str]:
     """Like ``build_gold``, but facts are rebuilt only in the months that changed since the last build.
 
     Needs silver tables made by ``refresh_silver`` and a gold layer built from an earlier state of them; otherwise everything is
@@ -120,26 +121,31 @@ def refresh_gold(silver_layer: Layer, layer: Layer) -> list[str]:
     at, before = silver_layer.snapshot(), layer.snapshot()
     built = before.notes.get(BUILT)
     if not built or not all(before.exists(t) and before.folders(t) for t in FACTS):
-        return _build_gold(silver_layer, layer, None)
+        return _build_gold(silver_layer, layer, None, buckets)
     changed = {t: changed_since(silver_layer, spec, at, built["runs"].get(t)) for t, spec in SOURCE_TABLES.items()}
     earlier = _release_of(silver_layer, before)
     if any(keys is None for keys in changed.values()) or not all(earlier.stored(t) for t in ("orders", "order_reviews")):
-        return _build_gold(silver_layer, layer, None)
-    return _build_gold(silver_layer, layer, changed)
+        return _build_gold(silver_layer, layer, None, buckets)
+    return _build_gold(silver_layer, layer, changed, buckets)
 
 
 BUILT = "built_from"  # the note on which silver release gold was built from
 
 
-def _build_gold(silver_layer: Layer, layer: Layer, changed: Mapping[str, DataFrame] | None) -> list[str]:
+def _build_gold(
+    silver_layer: Layer, layer: Layer, changed: Mapping[str, DataFrame] | None, buckets: int
+) -> list[str]:
     at, before = silver_layer.snapshot(), layer.snapshot()
     staged: dict[str, str | Parts] = {}
     paths: dict[str, str] = {}
 
     def stage_dimension(table: str):
         def step():
-            previous = before.read(table) if before.exists(table) else None
-            staged[table] = paths[table] = layer.stage(table, dimension(table, at.read, previous))
+            def keyed(members: DataFrame, business_key: str, key: str) -> DataFrame:
+                registry = KeyRegistry(layer, table, business_key, key, buckets)
+                return registry.assign(members, before.read(table) if before.exists(table) else None)
+
+            staged[table] = paths[table] = layer.stage(table, dimension(table, at.read, keyed))
 
         return step
 
@@ -234,7 +240,7 @@ def run(
     stages = [
         (None, ingested) if ingest else None,
         (silver_layer, built_silver),
-        (gold_layer, lambda: (refresh_gold if incremental else build_gold)(silver_layer, gold_layer)),
+        (gold_layer, lambda: (refresh_gold if incremental else build_gold)(silver_layer, gold_layer, buckets)),
     ]
     planned = {silver_layer: list(SOURCE_TABLES), gold_layer: [*DIMENSIONS, *FACTS]}
     done: dict[str, int | None] = {}

@@ -8,6 +8,7 @@ at order grain, and only orders, sellers and products at item grain.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,15 +62,22 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn(AUDIT, F.current_timestamp())
 
 
+# The last refresh of a dimension, or what gives members, business key and key column their keys.
+Previous = DataFrame | Callable[[DataFrame, str, str], DataFrame] | None
+
+
 def _dimension(
-    df: DataFrame, business_key: str, key: str, unknown: dict, previous: DataFrame | None
+    df: DataFrame, business_key: str, key: str, unknown: dict, previous: Previous
 ) -> DataFrame:
     members = df.filter(F.col(business_key).isNotNull())
-    keyed = assign_stable_key(members, business_key, key, previous)
+    if callable(previous):
+        keyed = previous(members, business_key, key)
+    else:
+        keyed = assign_stable_key(members, business_key, key, previous)
     return _stamped(with_unknown_member(keyed, key, unknown))
 
 
-def dim_geography(geolocation: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+def dim_geography(geolocation: DataFrame, previous: Previous = None) -> DataFrame:
     """One place per zip code: the one furthest south."""
     places = geolocation.select("zip_code_prefix", "city", "state", "avg_latitude", "avg_longitude")
     southmost = first_per_key(
@@ -140,7 +148,7 @@ def _day(timestamp: str) -> Column:
     return F.when(F.year(timestamp).between(1, 9999), key).otherwise(F.lit(UNKNOWN_KEY)).cast("int")
 
 
-def dim_customer(customers: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+def dim_customer(customers: DataFrame, previous: Previous = None) -> DataFrame:
     """One row per person: the details under the least customer id."""
     columns = [
         "customer_unique_id",
@@ -155,7 +163,7 @@ def dim_customer(customers: DataFrame, previous: DataFrame | None = None) -> Dat
     return _dimension(people.select(*columns), "customer_unique_id", "customer_sk", unknown, previous)
 
 
-def dim_seller(sellers: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+def dim_seller(sellers: DataFrame, previous: Previous = None) -> DataFrame:
     columns = ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
     unknown = dict(zip(columns, ("UNKNOWN", "00000", "UNKNOWN", "UNKNOWN")))
     return _dimension(sellers.select(*columns), "seller_id", "seller_sk", unknown, previous)
@@ -164,7 +172,7 @@ def dim_seller(sellers: DataFrame, previous: DataFrame | None = None) -> DataFra
 def dim_product(
     products: DataFrame,
     translation: DataFrame,
-    previous: DataFrame | None = None,
+    previous: Previous = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Products with their English category, or the native name where none is known."""
@@ -204,7 +212,7 @@ def dim_product(
     return _dimension(described, "product_id", "product_sk", unknown, previous)
 
 
-def dim_order_status(orders: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+def dim_order_status(orders: DataFrame, previous: Previous = None) -> DataFrame:
     """The statuses that occur, with their meaning."""
     status = F.col("order_status")
 

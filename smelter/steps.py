@@ -20,9 +20,10 @@ class StepsFailed(RuntimeError):
 
 def run_steps(steps: Mapping[str, Callable[[], object]], at_once: int = 1) -> list[str]:
     """Run the steps, up to ``at_once`` beside each other; the names of all, in order, if all succeed."""
-    done, failed = [], {}
+    done, failed, session = [], {}, SparkSession.getActiveSession()
+    inherit = inheritable_thread_target(session) if session else inheritable_thread_target
     with ThreadPoolExecutor(at_once) as pool:
-        running = {name: pool.submit(inheritable_thread_target(step)) for name, step in steps.items()}
+        running = {name: pool.submit(inherit(step)) for name, step in steps.items()}
     for name, step in running.items():
         error = step.exception()
         if error is None:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.operators.cdc import LOG_ORDER, POSITION, current_rows, image_effects, latest_versions, valid_changes
+from smelter.operators.merge import merged
 from smelter.plans import silver
 from smelter.scratch import written
 from smelter.sources.tables import Bucketed, Layer, Snapshot
@@ -27,19 +28,6 @@ PLACE = ("zip_code_prefix", "city", "state")
 NEW = "_new"  # marks what the last run changed
 
 
-def merged(state: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """``(keys, old, new)``: both sides of every key as structs, NULL where a side lacks it.
-
-    ``state`` is bucketed by ``keys``, and only ``new``, one row per key, is dealt out. Keys are never NULL.
-    """
-
-    def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
-
-    dealt = packed(new, "new").repartition(buckets, *keys)
-    return packed(state, "old").join(dealt.hint("shuffle_hash"), list(keys), "full_outer")
-
-
 def _identity(*columns: str) -> Column:
     """A text that tells values apart, NULLs too."""
     return F.to_json(F.struct(*columns))

@@ -34,7 +34,7 @@ def layers(spark, folder):
 def test_the_whole_run(spark, stored, layers):
     for table in SOURCE_TABLES:
         stored.bronze(table)
-    report = build.run(stored.bronze_layer, *layers)
+    report = build.run(stored.bronze_layer, *layers, buckets=4)
     steps = [*SOURCE_TABLES, *build.DIMENSIONS, *build.FACTS]
     assert {r.step: (r.status, r.reason) for r in report.collect()} == {name: ("OK", None) for name in steps}
     counts = {r.step: r.row_count for r in report.collect()}
@@ -43,7 +43,7 @@ def test_the_whole_run(spark, stored, layers):
 
 
 def test_a_failed_fact_leaves_the_star_as_it_was(spark, stored, layers, monkeypatch):
-    build.build_gold(stored.silver_layer, layers[1])
+    build.build_gold(stored.silver_layer, layers[1], buckets=4)
     before = {t: rows(layers[1].read(t).groupBy().count()) for t in (*build.DIMENSIONS, *build.FACTS)}
     places = {t: layers[1].location(t) for t in before}
     revenue = bag(saved.run(layers[1].read, "revenue_by_region", k=100))
@@ -53,7 +53,7 @@ def test_a_failed_fact_leaves_the_star_as_it_was(spark, stored, layers, monkeypa
 
     monkeypatch.setattr(build, "fact", broken)
     with pytest.raises(build.BuildFailed) as caught:
-        build.run(stored.bronze_layer, *layers)
+        build.run(stored.bronze_layer, *layers, buckets=4)
     report = {r.step: r.status for r in caught.value.report.collect()}
     assert {report[d] for d in build.DIMENSIONS} == {"OK"}
     assert [report[f] for f in build.FACTS] == ["FAILED", "SKIPPED"]
@@ -74,7 +74,7 @@ def test_from_landed_messages_to_gold(spark, layers, folder, sf_dir):
         stream_changes(source, topics(), bronze.root, f"{folder}/checkpoint").awaitTermination()
         return ["ingest"]
 
-    report = build.run(bronze, *layers, ingest=ingest_all)
+    report = build.run(bronze, *layers, ingest=ingest_all, buckets=4)
     assert {r[1] for r in rows(report)} == {"OK"} and report.count() == 1 + 9 + 8
     # A later batch is seen by the next run.
     extra = messages(spark, sf_dir, "sellers").limit(1).selectExpr(
@@ -83,7 +83,7 @@ def test_from_landed_messages_to_gold(spark, layers, folder, sf_dir):
     )
     extra.write.mode("append").parquet(f"{folder}/landing")
     count = layers[0].read("sellers").count()
-    build.run(bronze, *layers, ingest=ingest_all)
+    build.run(bronze, *layers, ingest=ingest_all, buckets=4)
     assert layers[0].read("sellers").count() == count + 1
     direct = silver.from_changes("orders", parse_changes(messages(spark, sf_dir, "orders"), ORDERS)[0])
     stored = layers[0].read("orders")
@@ -95,7 +95,7 @@ def test_a_failed_layer_stops_the_next(spark, stored, layers, folder):
     bronze = Layer(spark, f"run_bronze_{abs(hash(folder))}", f"{folder}/bronze")
     bronze.replace("sellers", stored.bronze("sellers"))
     with pytest.raises(build.BuildFailed) as caught:
-        build.run(bronze, *layers)
+        build.run(bronze, *layers, buckets=4)
     report = {r.step: r.status for r in caught.value.report.collect()}
     assert [s for s, status in report.items() if status == "OK"] == ["sellers"]
     assert {report[t] for t in (*build.DIMENSIONS, *build.FACTS)} == {"SKIPPED"}

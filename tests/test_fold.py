@@ -4,6 +4,7 @@ import random
 import pytest
 
 from smelter.operators.cdc import parse_changes
+from smelter.operators.merge import merged
 from smelter.plans import silver
 from smelter.sources.messages import MESSAGE_SCHEMA
 from smelter.sources.tables import Layer
@@ -192,7 +193,7 @@ def test_the_state_is_not_shuffled(spark, place):
         with_setting = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         try:
-            text = plan(fold.merged(state, fresh, ["seller_id"], 4))
+            text = plan(merged(state, fresh, ["seller_id"], 4))
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", with_setting)
         assert text.count("Exchange") == 1 and "Bucketed: true" in text

@@ -52,7 +52,7 @@ def star(spark, folder):
         def refresh(self):
             """Refresh gold; the months rewritten per fact."""
             before = {t: self.gold.snapshot().folders(t) for t in FACTS}
-            build.refresh_gold(self.silver, self.gold)
+            build.refresh_gold(self.silver, self.gold, buckets=2)
             after = {t: self.gold.snapshot().folders(t) for t in FACTS}
             return tuple(sorted(m for m in before[t].keys() | after[t].keys() if before[t].get(m) != after[t].get(m)) for t in FACTS)
 

@@ -15,11 +15,11 @@ from smelter.specs import SOURCE_TABLES, topics
 from smelter.streaming import ingest
 from verification.derive import messages
 
-BUCKETS = 8
+BUCKETS = 4
 
 
 class Growing:
-    """Ingest, silver and gold run after each batch; ``report`` is of the last run."""
+    """Silver folds each batch, gold the first two and then the last; ``report`` is of the last run."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         root, tag = scratch_path(spark, "growing"), uuid.uuid4().hex[:8]
@@ -40,9 +40,13 @@ class Growing:
                     ingest.write_batch(batch, topics(), self.bronze.root, "again", 0)
                 return ["ingest"]
 
-            self.report = build.run(
-                self.bronze, self.silver, self.gold, ingest=commit, incremental=True, buckets=BUCKETS
-            )
+            if number == 0:  # gold is first built from two batches
+                commit()
+                build.refresh_silver(self.bronze.root, self.silver, buckets=BUCKETS)
+            else:
+                self.report = build.run(
+                    self.bronze, self.silver, self.gold, ingest=commit, incremental=True, buckets=BUCKETS
+                )
 
 
 _GROWN: dict[tuple[str, str], Growing] = {}

@@ -451,6 +451,18 @@ SQL["gold_incremental_reviews"] = _named(SQL["gold_fact_reviews"], _PERSON | {"c
 # A new checkpoint reads everything again, beside what the old one stored.
 SQL["cdc_stream_new_checkpoint"] = f"""
 SELECT *, 2 AS stored FROM ({SQL['cdc_envelope_parse']})"""
+SQL["insert_if_absent_stored"] = """
+WITH first AS (
+  SELECT *, l_linestatus <> 'F' AS later FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                             ORDER BY l_linestatus <> 'F', l_shipdate, l_partkey, l_suppkey) = 1)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%g') AS l_shipdate, l_linestatus
+FROM first"""
+SQL["key_registry"] = """
+SELECT o_orderkey, o_orderstatus,
+       row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderkey) AS order_sk
+FROM orders"""
 SQL["key_refresh"] = """
 WITH first AS (
   SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS order_sk FROM orders WHERE o_orderstatus = 'F'),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,6 +15,8 @@ from smelter.plans import build, gold, rules, saved, silver
 from smelter.plans.gold import MONTH
 from smelter.scratch import scratch_path, use_scratch
 from smelter.sources.csv import read_csv
+from smelter.sources.tables import Layer
+from smelter.sources.unique import KeyRegistry, UniqueTable
 from smelter.specs import ORDER_ITEMS, ORDERS, SOURCE_TABLES, TableSpec
 from smelter.streaming import ingest
 from verification import derive
@@ -253,6 +256,34 @@ def _(spark, sf_dir):
     )
 
 
+@query("insert_if_absent_stored")
+def _(spark, sf_dir):
+    """Finished lines, then all lines, into a stored table that is unique by key."""
+    lines = derive.given(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus"
+    )
+    order = ["l_shipdate", "l_partkey", "l_suppkey"]
+    stored = UniqueTable(stored_layer(spark), "lines", ["l_orderkey", "l_linenumber"], buckets=8)
+    stored.insert(lines.filter("l_linestatus = 'F'"), order)
+    stored.insert(lines, order)
+    return stored.read()
+
+
+@query("key_registry")
+def _(spark, sf_dir):
+    """Three refreshes: finished orders, open ones alone, and all, among them those that were gone in between."""
+    orders = derive.given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    registry = KeyRegistry(stored_layer(spark), "orders", "o_orderkey", "order_sk", buckets=8)
+    for status in ("F", "O"):
+        registry.assign(orders.filter(F.col("o_orderstatus") == status))
+    return registry.assign(orders)
+
+
+def stored_layer(spark: SparkSession) -> Layer:
+    tag = uuid.uuid4().hex[:8]
+    return Layer(spark, f"stored_{tag}", scratch_path(spark, "stored"))
+
+
 @query("csv_typed_load")
 def _(spark, sf_dir):
     path = scratch_path(spark, "csv")
