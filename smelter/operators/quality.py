@@ -52,17 +52,36 @@ def column_checks(
     All counts come from one aggregate that reduces to a row per task. A rule
     whose condition is NULL is counted under ``unknown``, not as a violation.
     """
-    rules = dict(rules or {})
-    counts = ["count(*) AS checked"]
-    counts += [f"count_if({_is_missing(f)}) AS `null_{f.name}`" for f in df.schema.fields]
-    for i, condition in enumerate(rules.values()):
-        counts += [f"count_if(NOT ({condition})) AS bad_{i}"]
-        counts += [f"count_if(({condition}) IS NULL) AS unsure_{i}"]
+    return column_report(df.selectExpr(*column_counts(df.schema, rules)), table, df.schema, keys, rules)
+
+
+def column_counts(schema: T.StructType, rules: Mapping[str, str] | None = None, weight: str = "1") -> list[str]:
+    """The aggregates behind ``column_checks``; with a signed ``weight`` per row, what to add to earlier ones."""
+
+    def total(condition: str = "TRUE") -> str:
+        return f"coalesce(sum(CASE WHEN {condition} THEN {weight} END), 0)" if weight != "1" else f"count_if({condition})"
+
+    counts = [f"{total()} AS checked"]
+    counts += [f"{total(_is_missing(f))} AS `null_{f.name}`" for f in schema.fields]
+    for i, condition in enumerate(dict(rules or {}).values()):
+        counts += [f"{total(f'NOT ({condition})')} AS bad_{i}", f"{total(f'({condition}) IS NULL')} AS unsure_{i}"]
+    return counts
+
+
+def column_report(
+    counts: DataFrame, table: str, schema: T.StructType, keys: Sequence[str] = (), rules: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One row of ``column_counts`` as a report."""
     checks = [_check("rows", "has rows", "0")]
     checks += [_check("null_key", k, f"`null_{k}`") for k in keys]
-    checks += [_check("null_profile", c, f"`null_{c}`") for c in df.columns]
-    checks += [_check("rule", name, f"bad_{i}", f"unsure_{i}") for i, name in enumerate(rules)]
-    return _report(table, df.selectExpr(*counts), checks)
+    checks += [_check("null_profile", f.name, f"`null_{f.name}`") for f in schema.fields]
+    checks += [_check("rule", name, f"bad_{i}", f"unsure_{i}") for i, name in enumerate(dict(rules or {}))]
+    return _report(table, counts, checks)
+
+
+def total_report(table: str, kind: str, name: str, counts: DataFrame) -> DataFrame:
+    """One row (checked, violations, unknown) as the report of one check."""
+    return _report(table, counts, [_check(kind, name, "violations", "unknown")])
 
 
 def duplicate_check(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:

@@ -25,7 +25,8 @@ from smelter.streaming.ingest import committed, read_bronze
 BUCKETS = 64
 KEPT_CHANGES = 100  # runs whose changed keys are kept for readers that refresh from them
 PLACE = ("zip_code_prefix", "city", "state")
-NEW = "_new"  # marks what the last run changed
+NEW, OLD = "_new", "_old"  # what the last run changed, and what was there before
+SIGN = "_sign"
 
 
 def _identity(*columns: str) -> Column:
@@ -46,7 +47,7 @@ class Fold:
         return self.layer.stage_bucketed(self.name(part), rows, self.buckets, keys)
 
     def state(self, at: Snapshot, part: str) -> DataFrame | None:
-        return at.read(self.name(part)).drop(NEW) if at.exists(self.name(part)) else None
+        return at.read(self.name(part)).drop(NEW, OLD) if at.exists(self.name(part)) else None
 
     def run(self, bronze_root: str) -> bool:
         """Fold in the batches committed since the last run; whether there were any.
@@ -62,36 +63,47 @@ class Fold:
         applied = note["batches"] if note else {}
         if note and applied == seen.last():
             return False
-        bronze = read_bronze(self.layer.spark, bronze_root, self.spec, seen, applied)
+        new = valid_changes(read_bronze(self.layer.spark, bronze_root, self.spec, seen, applied))
+        if note and new.isEmpty():  # of other tables only: nothing to rewrite
+            self.layer.publish({}, {self.spec.name: note | {"batches": seen.last()}}, based_on=at)
+            return False
         fold = self.with_keys if self.spec.keys else self.without_keys
-        stored, table, changed = fold(at, valid_changes(bronze))
+        stored, table, changed, feed = fold(at, new)
         stored[self.spec.name] = self.layer.stage(self.spec.name, table)
         number = note["run"] + 1 if note else 1
-        changes = [*(note["changes"] if note else []), {"run": number, "path": changed}][-KEPT_CHANGES:]
+        paths = {"path": self.layer.stage(self.name("changed"), changed), "feed": self.layer.stage(self.name("feed"), feed)}
+        changes = [*(note["changes"] if note else []), {"run": number, **paths}][-KEPT_CHANGES:]
         now = {"run": number, "batches": seen.last(), "changes": changes, "table": stored[self.spec.name]}
         self.layer.publish(stored, {self.spec.name: setting | now}, based_on=at)
         return True
 
-    def with_keys(self, at: Snapshot, changes: DataFrame) -> tuple[dict[str, Bucketed], DataFrame, str]:
-        keys = self.spec.keys
+    def with_keys(self, at: Snapshot, changes: DataFrame) -> tuple[dict[str, Bucketed], DataFrame, DataFrame, DataFrame]:
+        """(states, table, changed keys, feed)."""
+        keys, clean = self.spec.keys, silver.CLEAN[self.spec.name]
         new, state = latest_versions(changes, keys, deletes=self.deletes), self.state(at, "versions")
         if state is None:
-            chosen = new.repartition(self.buckets, *keys).withColumn("_new", F.lit(True))
+            before = F.lit(None).cast(f"struct<op: string, after: {self.spec.change_schema.simpleString()}>")
+            chosen = new.repartition(self.buckets, *keys).withColumns({NEW: F.lit(True), OLD: before})
         else:
             both = merged(state, new, keys, self.buckets)
             order = [F.struct(*[F.col(f"{side}.{c}") for c in LOG_ORDER]) for side in ("new", "old")]
             newer = F.col("new").isNotNull() & (F.col("old").isNull() | (order[0] > order[1]))
-            chosen = both.select(*keys, F.when(newer, F.col("new")).otherwise(F.col("old")).alias("v"), newer.alias("_new"))
-            chosen = chosen.select(*keys, "v.*", "_new")
+            chosen = both.select(
+                *keys,
+                F.when(newer, F.col("new")).otherwise(F.col("old")).alias("v"),
+                newer.alias(NEW),
+                F.when(newer & F.col("old").isNotNull(), F.struct("old.op", "old.after")).alias(OLD),
+            ).select(*keys, "v.*", NEW, OLD)
         stored = self.stage("versions", chosen, keys)
         versions = self.layer.load_bucketed(stored)
-        # The mark of this run is read once below, and overwritten by the next run.
-        changed = self.layer.stage(self.name("changed"), versions.filter("_new").select(*keys))
-        table = silver.CLEAN[self.spec.name](current_rows(versions, keys))
-        return {self.name("versions"): stored}, table, changed
-
-    def without_keys(self, at: Snapshot, changes: DataFrame) -> tuple[dict[str, Bucketed], DataFrame, str]:
-        """Geolocation: images are counted, and the sums of their places moved by what each count moved."""
+        # The marks of this run are read once below, and overwritten by the next run.
+        moved = versions.filter(NEW)
+        gone = moved.filter(F.col(OLD).isNotNull()).select(*keys, f"{OLD}.*")
+        feed = _signed(clean(current_rows(gone, keys)), clean(current_rows(moved, keys)))
+        return {self.name("versions"): stored}, clean(current_rows(versions, keys)), moved.select(*keys), feed
+
+    def without_keys(self, at: Snapshot, changes: DataFrame) -> tuple[dict[str, Bucketed], DataFrame, DataFrame, DataFrame]:
+        """The same of geolocation: images are counted, and the sums of their places moved by what each count moved."""
         positioned = changes.withColumn("position", _identity("topic", *POSITION, "ts_ms")).dropDuplicates(["position"])
         seen = self.state(at, "seen")
         if seen is not None:
@@ -116,7 +128,7 @@ class Fold:
             parts = [F.coalesce(F.col(f"{side}.{column}"), F.lit(0).cast(kind)) for side in ("old", "new")]
             return (parts[0] + parts[1]).cast(kind).alias(column)
 
-        mark = F.col("new").isNotNull().alias("_new")
+        mark = F.col("new").isNotNull().alias(NEW)
         if seen is None:
             stored[self.name("seen")] = self.stage("seen", fresh.select("position").repartition(self.buckets, "position"), ["position"])
         else:
@@ -127,14 +139,23 @@ class Fold:
         images = effects.select(_identity("image").alias("image_id"), "image", "n")
         before = F.coalesce(F.col("old.n"), F.lit(0).cast("long")).alias("n_before")
         counts = merge("counts", images, "image_id", self.state(at, "counts"), [either("image"), plus("n"), before, mark])
-        moved = counts.filter("_new").select("image.*", (F.greatest("n", F.lit(0)) - F.greatest("n_before", F.lit(0))).alias("times"))
+        moved = counts.filter(NEW).select("image.*", (F.greatest("n", F.lit(0)) - F.greatest("n_before", F.lit(0))).alias("times"))
         sums = silver.place_sums(moved.filter("times <> 0"), "times")
         sums = sums.select(_identity(*PLACE).alias("place_id"), *sums.columns)
         exact = [plus(c, silver.SUMS) for c in ("latitude", "longitude")]
-        totals = [*map(either, PLACE), *exact, plus("n"), mark]
+        sides = [F.col(f"old.{c}").alias(c) for c in ("latitude", "longitude", "n")]
+        totals = [*map(either, PLACE), *exact, plus("n"), mark, F.struct(*sides).alias(OLD)]
         places = merge("places", sums, "place_id", self.state(at, "places"), totals)
-        changed = self.layer.stage(self.name("changed"), places.filter("_new").select(*PLACE))
-        return stored, silver.places_from_sums(places), changed
+        moved = places.filter(NEW)
+        gone = moved.select(*PLACE, f"{OLD}.*")
+        feed = _signed(silver.places_from_sums(gone), silver.places_from_sums(moved))
+        return stored, silver.places_from_sums(places), moved.select(*PLACE), feed
+
+
+def _signed(gone: DataFrame, come: DataFrame) -> DataFrame:
+    """Silver rows that a run took away (-1) and put in (1), in ``SIGN``."""
+    both = gone.withColumn(SIGN, F.lit(-1)).unionByName(come.withColumn(SIGN, F.lit(1)))
+    return both.drop(silver.AUDIT)
 
 
 def last_run(at: Snapshot, spec: TableSpec) -> int | None:
@@ -145,15 +166,28 @@ def last_run(at: Snapshot, spec: TableSpec) -> int | None:
     return note["run"]
 
 
+def _changes(at: Snapshot, spec: TableSpec, run: int | None) -> list[dict] | None:
+    if run is None or last_run(at, spec) is None or run + 1 < at.notes[spec.name]["changes"][0]["run"]:
+        return None
+    return [c for c in at.notes[spec.name]["changes"] if c["run"] > run]
+
+
 def changed_since(layer: Layer, spec: TableSpec, at: Snapshot, run: int | None) -> DataFrame | None:
     """Keys (places for geolocation) that changed in runs after ``run`` up to ``at``, as text; None if that is not known."""
-    if run is None or last_run(at, spec) is None:
-        return None
-    changes = at.notes[spec.name]["changes"]
-    if run + 1 < changes[0]["run"]:
+    changes = _changes(at, spec, run)
+    if changes is None:
         return None
     columns = spec.keys or PLACE
-    paths = [c["path"] for c in changes if c["run"] > run]
-    if not paths:
+    if not changes:
         return layer.spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
-    return layer.spark.read.format(layer.fmt).load(paths).select(*columns).distinct()
+    return layer.spark.read.format(layer.fmt).load([c["path"] for c in changes]).select(*columns).distinct()
+
+
+def feed_since(layer: Layer, spec: TableSpec, at: Snapshot, run: int | None) -> DataFrame | None:
+    """Rows that left (``SIGN`` -1) and entered (1) a silver table in runs after ``run`` up to ``at``; None if that is not known."""
+    changes = _changes(at, spec, run)
+    if changes is None:
+        return None
+    if not changes:
+        return at.read(spec.name).drop(silver.AUDIT).limit(0).withColumn(SIGN, F.lit(1))
+    return layer.spark.read.format(layer.fmt).load([c["feed"] for c in changes])

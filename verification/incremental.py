@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.plans import build
+from smelter.plans.kept_quality import KeptQuality
 from smelter.scratch import scratch_path, written
 from smelter.sources.tables import Layer
 from smelter.specs import SOURCE_TABLES, topics
@@ -19,13 +20,14 @@ BUCKETS = 4
 
 
 class Growing:
-    """Silver folds each batch, gold the first two and then the last; ``report`` is of the last run."""
+    """Silver folds each batch, gold and quality the first two and then the last; ``report`` is of the last run."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         root, tag = scratch_path(spark, "growing"), uuid.uuid4().hex[:8]
         self.bronze, self.silver, self.gold = (
             Layer(spark, f"grown_{name}_{tag}", f"{root}/{name}") for name in ("bronze", "silver", "gold")
         )
+        self.quality = KeptQuality(self.silver, BUCKETS)
         log = reduce(DataFrame.unionByName, [messages(spark, sf_dir, table) for table in SOURCE_TABLES])
         # 12 of 25 messages, 12 of 25, and the rest.
         part = F.floor(F.pmod(F.xxhash64("topic", "kafka_partition", "kafka_offset"), F.lit(25)) / 12)
@@ -47,6 +49,7 @@ class Growing:
                 self.report = build.run(
                     self.bronze, self.silver, self.gold, ingest=commit, incremental=True, buckets=BUCKETS
                 )
+                self.quality.refresh()
 
 
 _GROWN: dict[tuple[str, str], Growing] = {}

@@ -537,6 +537,18 @@ def _(spark, sf_dir):
     return reduce(DataFrame.unionByName, reports).select(*VERDICT)
 
 
+KEPT = {"dq_kept_null_profile": "null_profile", "dq_kept_rules": "rule", "dq_kept_duplicates": "duplicate", "dq_kept_orphans": "orphan"}
+
+
+def _kept_quality(kind: str) -> Query:
+    """Checks kept up by what each batch changed, after the last."""
+    return lambda spark, sf_dir: growing(spark, sf_dir).quality.report().filter(F.col("check_kind") == kind).select(*VERDICT)
+
+
+for _name, _kind in KEPT.items():
+    query(_name)(_kept_quality(_kind))
+
+
 @query("layer_summary")
 def _(spark, sf_dir):
     w = warehouse(spark, sf_dir)
