@@ -261,7 +261,7 @@ class Layer:
 
     def _release(self, made: Mapping[str, dict], notes: Mapping[str, object], based_on: Snapshot | None) -> int:
         """Add the entries to the latest release; tables of other writers stay."""
-        for _ in range(20):
+        for _ in range(100):
             number, release = self.releases().latest()
             tables, said = release.get("tables", {}), release.get("notes", {})
             if based_on is not None:

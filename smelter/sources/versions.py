@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,7 +42,9 @@ class Folder:
             stream.close()
 
     def put(self, name: str, text: str) -> None:
-        """Write a file that does not exist yet; it appears whole or not at all."""
+        """Write a file that does not exist yet; it appears whole or not at all, and for one writer only."""
+        if self.system.getUri().getScheme() == "file":
+            return self._put_local(name, text)
         fresh = self.place(f".{uuid.uuid4().hex}")
         out = self.system.create(fresh, False)
         out.write(bytearray(text.encode()))
@@ -55,6 +59,19 @@ class Folder:
                 raise Conflict(f"{self.path}/{name} exists") from None
             raise
 
+    def _put_local(self, name: str, text: str) -> None:
+        """On a mounted folder, where a rename replaces: a link does not."""
+        folder = Path(self.place().toUri().getPath())
+        folder.mkdir(parents=True, exist_ok=True)
+        fresh = folder / f".{uuid.uuid4().hex}"
+        fresh.write_text(text, encoding="utf-8")
+        try:
+            os.link(fresh, folder / name)
+        except FileExistsError:
+            raise Conflict(f"{self.path}/{name} exists") from None
+        finally:
+            fresh.unlink()
+
     def remove(self, name: str) -> bool:
         return self.system.delete(self.place(name), True)
 

@@ -114,3 +114,25 @@ def test_a_table_of_parts_reads_each_partition_from_its_folder(spark, layer):
     assert all("month=1" in f for f in pruned.inputFiles()) and pruned.count() == 5
     assert layer.expire("t") == 0  # both folders are in use
     assert layer.snapshot().folders("t") == {str(v["month"]): f for v, f in folders}
+
+
+def test_many_writers_at_a_time_lose_nothing(spark, layer):
+    """Eight threads publish a table each, several times: the last release has all of them."""
+    staged = {f"t{i}": [layer.stage(f"t{i}", spark.range(n + 1)) for n in range(3)] for i in range(8)}
+    failures = []
+
+    def write(table):
+        try:
+            for path in staged[table]:
+                layer.publish({table: path})
+        except Exception as error:
+            failures.append(error)
+
+    writers = [threading.Thread(target=write, args=(t,)) for t in staged]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert failures == []
+    at = layer.snapshot()
+    assert at.number == 24 and {t: at.read(t).count() for t in staged} == dict.fromkeys(staged, 3)
