@@ -29,6 +29,7 @@ EDGE = "\"'`.,;:!?()[]{}<>*#$%&-_~|/\\+=…“”‘’«»¿¡"  # not part of
 SLICE_CHARS = 6_000_000
 NEEDED = 3  # features that explain a toxic document
 CHANCE = 7.0  # -log of the odds that a feature is toxic by chance so often
+PIECE = 256  # words of a chain that one pass of the recursion takes; messages go on from piece to piece
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,7 @@ class Fit:
     longest: int = 20_000  # characters of a sampled text at most
     sentences: int = 20_000  # chains the field is fitted to at most
     buckets: int = 1 << 20  # feature weights
-    chain: int = 128  # words of a chain at most: a sentence, or a part of one
+    chain: int = 128  # words of a chain the field is fitted to at most: a sentence, or a part of one
     rounds: int = 80
 
 
@@ -58,10 +59,17 @@ class Tokens:
     counts: np.ndarray  # of each text
     index: np.ndarray  # of each token, its distinct word
     features: np.ndarray  # of each distinct word: hashes, a row for each kind of feature
-    begins: np.ndarray  # of each token, whether a chain begins
+    begins: np.ndarray  # of each token, whether a chain begins: a sentence, whatever its length
 
 
-def tokens(texts: pa.Array, chain: int) -> Tokens:
+def cut(begins: np.ndarray, longest: int) -> np.ndarray:
+    """Chains of at most ``longest`` tokens."""
+    first = np.flatnonzero(begins)
+    place = np.arange(len(begins)) - np.repeat(first, np.diff(np.append(first, len(begins))))
+    return begins | (place % longest == 0)
+
+
+def tokens(texts: pa.Array) -> Tokens:
     counts, flat = split_words(pc.fill_null(texts, ""))
     coded = flat.dictionary_encode()
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -80,37 +88,72 @@ def tokens(texts: pa.Array, chain: int) -> Tokens:
     begins[(np.cumsum(counts) - counts)[counts > 0]] = True
     if len(index):
         begins[1:] |= closing[index[:-1]]
-        first = np.flatnonzero(begins)
-        place = np.arange(len(index)) - np.repeat(first, np.diff(np.append(first, len(index))))
-        begins |= place % chain == 0
     return Tokens(counts, index, features, begins)
 
 
-def padded(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, length) of the chains, longest first."""
-    first = np.flatnonzero(begins)
-    length = np.diff(np.append(first, len(begins)))
-    order = np.argsort(-length, kind="stable")
-    return first[order], length[order]
-
+def carried(
+    odds: np.ndarray, move: np.ndarray, first: np.ndarray, length: np.ndarray, head: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What enters each piece from before and from behind, as ratios of state 1 to state 0.
 
-def marginals(odds: np.ndarray, begins: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    A piece acts on what enters it as a 2 x 2 matrix, the product of its tokens' ones. These are built for all pieces at once, one
+    token at a time, and applied along the chains, one piece at a time. ``head``: whether a piece begins a chain.
+    """
+    ahead, behind = np.ones(len(first)), np.ones(len(first))
+    tail = np.append(head[1:], True)
+    cuts = np.flatnonzero(~(head & tail))
+    if not len(cuts):
+        return ahead, behind
+    order = cuts[np.argsort(-length[cuts], kind="stable")]
+    open_ = np.searchsorted(-length[order], -np.arange(int(length[order[0]])), "left")
+    product = np.zeros((2, 2, len(order)))  # to, from
+    product[0, 0] = product[1, 1] = 1
+    for t, n in enumerate(open_):
+        part = product[:, :, :n]
+        clean = move[0, 0] * part[0] + move[1, 0] * part[1]
+        toxic = move[0, 1] * part[0] + move[1, 1] * part[1]
+        if t == 0:  # nothing comes before a chain's first token
+            clean, toxic = (np.where(head[order[:n]], old, new) for old, new in zip(part, (clean, toxic)))
+        new = np.stack([clean, toxic * odds[first[order[:n]] + t]])
+        product[:, :, :n] = new / new.max(axis=(0, 1))
+    whole = np.zeros((2, 2, len(first)))
+    whole[:, :, order] = product
+    rank = np.arange(len(first)) - np.maximum.accumulate(np.where(head, np.arange(len(first)), 0))
+    by_rank = np.argsort(rank, kind="stable")
+    steps = np.split(by_rank, np.cumsum(np.bincount(rank))[:-1])
+    for at in steps[1:]:
+        m, r = whole[:, :, at - 1], ahead[at - 1]
+        ahead[at] = np.minimum((m[1, 0] + m[1, 1] * r) / (m[0, 0] + m[0, 1] * r), 1e12)
+    for at in reversed(steps[1:]):
+        m, r = whole[:, :, at], behind[at]
+        behind[at - 1] = (m[0, 1] + m[1, 1] * r) / (m[0, 0] + m[1, 0] * r)
+    return ahead, behind
+
+
+def marginals(
+    odds: np.ndarray, begins: np.ndarray, step: np.ndarray, piece: int = PIECE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(forward, backward, probability of state 1) of every token; ``odds`` are exp of its score.
 
-    All chains move one token at a time, as ratios of state 1 to state 0, which need no scaling.
+    All chains move one token at a time, as ratios of state 1 to state 0, which need no scaling. Chains of more than ``piece``
+    tokens move in pieces, which get the messages that enter them first: the result is that of the whole chain.
     """
     move = np.exp(step)
-    first, length = padded(begins)
+    starts = cut(begins, piece)
+    first = np.flatnonzero(starts)
+    length, head = np.diff(np.append(first, len(odds))), begins[first]
+    before, behind = carried(odds, move, first, length, head)
     ahead, back = np.empty(len(odds)), np.ones(len(odds))
+    back[first + length - 1] = behind
+    order = np.argsort(-length, kind="stable")
+    first, length, head, ratio = first[order], length[order], head[order], before[order]
     longest = int(length[0]) if len(length) else 0
-    open_ = np.searchsorted(-length, -np.arange(longest), "left")  # chains longer than t
-    ratio = np.ones(len(first))
+    open_ = np.searchsorted(-length, -np.arange(longest), "left")  # pieces longer than t
     for t in range(longest):
         at = first[: open_[t]] + t
         r = ratio[: open_[t]]
-        if t:
-            r = (move[0, 1] + r * move[1, 1]) / (move[0, 0] + r * move[1, 0])
-        r = np.minimum(r * odds[at], 1e12)
+        moved = (move[0, 1] + r * move[1, 1]) / (move[0, 0] + r * move[1, 0])
+        r = np.minimum((moved if t else np.where(head, r, moved)) * odds[at], 1e12)
         ratio[: open_[t]] = r
         ahead[at] = r
     for t in range(longest - 2, -1, -1):
@@ -188,14 +231,15 @@ def fit_field(t: Tokens, toxic: np.ndarray, fit: Fit) -> Field:
     label = np.isin(t.features, found).any(axis=0)[t.index] & toxic[doc]
 
     # Chains with a labelled token first, then others, up to the bound.
-    chain = np.cumsum(t.begins) - 1
+    cuts = cut(t.begins, fit.chain)
+    chain = np.cumsum(cuts) - 1
     number = int(chain[-1]) + 1 if len(chain) else 0
     marked = np.bincount(chain, weights=label, minlength=number) > 0
     shuffled = np.random.default_rng(0).permutation(number)
     chosen = np.zeros(number, bool)
     chosen[shuffled[np.argsort(~marked[shuffled], kind="stable")][: fit.sentences]] = True
     use = chosen[chain] if number else np.zeros(0, bool)
-    begins, label = t.begins[use], label[use].astype(np.float64)
+    begins, label = cuts[use], label[use].astype(np.float64)
     slots = [(row[t.index[use]] % np.uint64(fit.buckets)).astype(np.int64) for row in t.features]
 
     field = Field(np.zeros(fit.buckets), -2.0, np.zeros((2, 2)), np.array([0.0, 1.0, 0.0]))
@@ -241,12 +285,24 @@ def fit_document(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
+def fitted(texts: pa.Array, toxic: np.ndarray, fit: Fit) -> Field:
+    """The field of a sample's texts and whether each is toxic."""
+    if not toxic.any() or toxic.all():
+        level = np.clip(toxic.mean() if len(toxic) else 0.0, 1e-6, 1 - 1e-6)
+        return Field(np.zeros(8, np.float32), -30.0, np.zeros((2, 2)), np.array([np.log(level / (1 - level)), 0.0, 0.0]))
+    t = tokens(texts)
+    field = fit_field(t, toxic, fit)
+    field.document = fit_document(evidence(token_probabilities(field, t), t.counts), toxic)
+    return field
+
+
 def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Field:
     """Fit to a bounded sample of the labelled documents: ``fit.documents`` of each label, by hashes of ids.
 
     ``labels`` has doc_id and toxic; rows with a NULL in either take no part, a document with several
-    labels is toxic if one says so. Sampled texts have ``fit.longest`` characters at most, so what reaches the driver is
-    bounded. Without documents of both labels no token is toxic, and scores are the share of toxic documents.
+    labels is toxic if one says so. Sampled texts have ``fit.longest`` characters at most, so the sample is
+    bounded. One task fits the field to it; only the field, of bounded size, reaches the driver. Without documents of both labels
+    no token is toxic, and scores are the share of toxic documents.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -258,25 +314,34 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Field:
     sample = docs.select("doc_id", "text").join(F.broadcast(written(picked[0].unionByName(picked[1]), "sampled")), "doc_id")
     usable = written(sample.filter(F.length("text") <= fit.longest).dropDuplicates(["text"]), "sample")
     parts = [usable.filter(F.col("toxic") == label).orderBy(draw, "text").limit(fit.documents) for label in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).select("text", "toxic").toArrow()
-    toxic = rows["toxic"].to_numpy().astype(np.int64) == 1
-    t = tokens(rows["text"].combine_chunks(), fit.chain)
-    if not toxic.any() or toxic.all():
-        level = np.clip(toxic.mean() if len(toxic) else 0.0, 1e-6, 1 - 1e-6)
-        return Field(np.zeros(8, np.float32), -30.0, np.zeros((2, 2)), np.array([np.log(level / (1 - level)), 0.0, 0.0]))
-    field = fit_field(t, toxic, fit)
-    field.document = fit_document(evidence(token_probabilities(field, t), t.counts), toxic)
-    return field
+    chosen = parts[0].unionByName(parts[1]).select("text", F.col("toxic").cast("long").alias("toxic"), draw.alias("draw"))
+    schema = pa.schema(
+        [("weights", pa.binary()), ("bias", pa.float64()), ("step", pa.list_(pa.float64())), ("document", pa.list_(pa.float64()))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        field = fitted(rows["text"].combine_chunks(), rows["toxic"].to_numpy() == 1, fit)
+        values = [field.weights.tobytes()], [field.bias], [field.step.ravel().tolist()], [field.document.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+
+    # The order of rows is fixed, as the chains that are drawn follow it.
+    ordered = chosen.repartition(1).sortWithinPartitions("toxic", "draw", "text")
+    if chosen.isEmpty():
+        return fitted(pa.array([], pa.string()), np.zeros(0, bool), fit)
+    row = ordered.mapInArrow(run, "weights binary, bias double, step array<double>, document array<double>").first()
+    weights = np.frombuffer(bytes(row.weights), np.float32)
+    return Field(weights, row.bias, np.array(row.step).reshape(2, 2), np.array(row.document))
 
 
 RESULT = "doc_id long, score double, spans array<struct<start:int,end:int>>"
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _scored(batch: pa.RecordBatch, field: Field, chain: int) -> Iterator[tuple[pa.RecordBatch, Tokens, np.ndarray, np.ndarray]]:
+def _scored(batch: pa.RecordBatch, field: Field) -> Iterator[tuple[pa.RecordBatch, Tokens, np.ndarray, np.ndarray]]:
     """(part, tokens, their probabilities, score of each text) of bounded parts of a batch."""
     for part in slices(batch, "text", SLICE_CHARS):
-        t = tokens(part["text"], chain)
+        t = tokens(part["text"])
         p = token_probabilities(field, t)
         x = evidence(p, t.counts) @ field.document
         yield part, t, p, 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -292,7 +357,7 @@ def _spans(texts: pa.Array, t: Tokens, p: np.ndarray) -> list[list[dict]]:
     return spans
 
 
-def score(docs: DataFrame, field: Field, fit: Fit = Fit()) -> DataFrame:
+def score(docs: DataFrame, field: Field) -> DataFrame:
     """Score the whole text of every document.
 
     Columns: doc_id, score (0 to 1), spans (offending words, [start, end) in code points). NULL and empty texts
@@ -304,20 +369,23 @@ def score(docs: DataFrame, field: Field, fit: Fit = Fit()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, t, p, scores in _scored(batch, shared.value, fit.chain):
+            for part, t, p, scores in _scored(batch, shared.value):
                 spans = pa.array(_spans(part["text"], t, p), SPANS)
                 yield pa.RecordBatch.from_arrays([part["doc_id"].cast(pa.int64()), pa.array(scores), spans], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
 
 
-def clean(docs: DataFrame, field: Field, fit: Fit = Fit()) -> DataFrame:
-    """The rows of ``docs`` that score below one half, with all their columns."""
+def clean(docs: DataFrame, field: Field) -> DataFrame:
+    """The rows of ``docs`` that score below one half, with all their columns.
+
+    NULL and empty texts have the score of no evidence; repeated rows stay repeated; no rows give no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, _, scores in _scored(batch, shared.value, fit.chain):
+            for part, _, _, scores in _scored(batch, shared.value):
                 yield part.filter(pa.array(scores < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from smelter.llm import queries, toxicity
@@ -63,11 +64,12 @@ def test_too_few_labels(spark, documents, labels):
     assert all(0 <= r.score <= 1 and r.spans == [] for r in toxicity.score(documents(NASTY), field).collect())
 
 
-def test_marginals_against_all_paths():
+@pytest.mark.parametrize("piece", [1, 2, 3, toxicity.PIECE])
+def test_marginals_against_all_paths(piece):
     rng = np.random.default_rng(2)
     step, score = rng.normal(size=(2, 2)), rng.normal(size=7)
     begins = np.array([True, False, False, False, True, False, True])
-    _, _, got = toxicity.marginals(np.exp(score), begins, step)
+    _, _, got = toxicity.marginals(np.exp(score), begins, step, piece)
     for chain in ([0, 1, 2, 3], [4, 5], [6]):
         total, ones = 0.0, np.zeros(len(chain))
         for path in np.ndindex(*[2] * len(chain)):
@@ -84,3 +86,32 @@ def test_query_ignores_held_out_labels(spark, sf_dir):
         assert r.predicted == (r.score >= 0.5)
     kept = queries.toxic_labels(spark, sf_dir).select("doc_id").collect()
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in kept)
+
+
+def test_pieces_of_a_chain_are_the_whole_chain():
+    rng = np.random.default_rng(5)
+    odds, begins = np.exp(rng.normal(-2, 4, 3000)), rng.random(3000) < 0.004
+    begins[0] = True
+    step = np.array([[2.0, -3.0], [-1.5, 1.0]])
+    whole = toxicity.marginals(odds, begins, step, 10_000)
+    for piece in (1, 7, 64, toxicity.PIECE):
+        for got, expected in zip(toxicity.marginals(odds, begins, step, piece), whole):
+            assert np.allclose(got, expected, rtol=1e-9)
+
+
+def test_words_far_into_an_unpunctuated_text_are_one_chain():
+    t = toxicity.tokens(pa.array(["w " * 1000 + "end. next", None, ""]))
+    assert np.flatnonzero(t.begins).tolist() == [0, 1001] and t.counts.tolist() == [1002, 0, 0]
+    assert np.flatnonzero(toxicity.cut(t.begins, 400)).tolist() == [0, 400, 800, 1001]
+
+
+def test_the_fit_is_the_same_in_a_task_and_here(spark, fitted):
+    docs, labels, held, field = fitted
+    kept = [(d, y) for d, (_, y), h in zip(docs, labels, held) if not h and d[0] != 3]
+    again = toxicity.learn(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(7),
+        spark.createDataFrame([(d[0], y) for d, y in kept] + [(3, labels[3][1])] * (not held[3]), "doc_id long, toxic int"),
+    )
+    assert np.array_equal(field.weights, again.weights) and np.array_equal(field.document, again.document)
+    here = toxicity.fitted(pa.array([d[1] for d, _ in kept]), np.array([y == 1 for _, y in kept]), toxicity.Fit())
+    assert np.allclose(here.step, field.step, atol=0.2) and len(here.weights) == len(field.weights)
