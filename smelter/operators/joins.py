@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from smelter.operators.keys import known_members, or_unknown
 from smelter.scratch import written
@@ -115,9 +116,29 @@ def look_up(
 ) -> DataFrame:
     """Add the surrogate key of ``rows[on]`` in ``dim``, or the unknown member.
 
-    The unknown member itself never matches, whatever its business key says.
+    The unknown member itself never matches, whatever its business key says. ``dim`` has one row per key; where it
+    is stored bucketed by ``dim_key``, it is read where it is and only ``rows`` are shuffled.
     """
     alias = alias or key
     lookup = known_members(dim, key).select(F.col(dim_key).alias(on), F.col(key).alias(alias))
+    if heavy and isinstance(rows.schema[on].dataType, StringType):
+        return _look_up_heavy(rows, lookup, on, alias, heavy)
     joined = spread_join(rows, lookup, on, "left", heavy_left=heavy)
     return joined.withColumn(alias, or_unknown(F.col(alias)))
+
+
+def _look_up_heavy(rows: DataFrame, lookup: DataFrame, on: str, alias: str, heavy: Heavy) -> DataFrame:
+    """The members of heavy keys come by broadcast, so the look-up table need not be copied per split.
+
+    There is at most one member per heavy key: no more than there are heavy keys. Rows of such keys, NULL among them, pass
+    the join under made-up places, spread over tasks; what they find there is not used.
+    """
+    members = lookup.join(F.broadcast(heavy.table), F.col(on) == F.col("_key"), "left_semi")
+    members = F.broadcast(members.select(F.col(on).alias("_member"), F.col(alias).alias("_direct")))
+    known = heavy.added_to(rows, on)
+    place = F.when(F.col("_splits") > 1, F.concat(F.lit("\0"), _pick(known).cast("string"))).otherwise(F.col(on))
+    known = known.withColumn("_place", place)
+    known = known.join(members, (F.col("_splits") > 1) & (F.col(on) == F.col("_member")), "left")
+    found = lookup.select(F.col(on).alias("_place"), F.col(alias).alias("_found"))
+    value = F.when(F.col("_splits") > 1, F.col("_direct")).otherwise(F.col("_found"))
+    return known.join(found, "_place", "left").select(*rows.columns, or_unknown(value).alias(alias))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.plans import gold, silver
-from smelter.sources.tables import Layer, Parts, Snapshot
+from smelter.sources.tables import Bucketed, Layer, Parts, Snapshot
 from smelter.sources.unique import KeyRegistry
 from smelter.sources.versions import Folder
 from smelter.specs import SOURCE_TABLES
@@ -68,6 +68,14 @@ DIMENSIONS = (
 )
 FACTS = ("fact_order_items", "fact_reviews")
 
+# Dimensions stored bucketed by the business key that facts look up. They come from their registries partitioned so.
+LOOKED_UP = {
+    "dim_geography": "zip_code_prefix",
+    "dim_customer": "customer_unique_id",
+    "dim_seller": "seller_id",
+    "dim_product": "product_id",
+}
+
 
 def fact(
     table: str, read_silver: Callable[[str], DataFrame], read_gold: Callable[[str], DataFrame]
@@ -106,7 +114,8 @@ def _silver_runs(at: Snapshot) -> dict[str, int | None]:
 def build_gold(silver_layer: Layer, layer: Layer, buckets: int = BUCKETS) -> list[str]:
     """Write all eight tables, facts from the new dimensions, then publish them in one release.
 
-    Silver is read as of one release of its own. Members of dimensions get their keys from registries in so many ``buckets``. If any step fails nothing is published; readers of ``layer.snapshot()``
+    Silver is read as of one release of its own. Members of dimensions get their keys from registries in so many ``buckets``, and
+    the dimensions that facts look up are bucketed alike. If any step fails nothing is published; readers of ``layer.snapshot()``
     always see tables of one build.
     """
     return _build_gold(silver_layer, layer, None, buckets)
@@ -136,8 +145,7 @@ def _build_gold(
     silver_layer: Layer, layer: Layer, changed: Mapping[str, DataFrame] | None, buckets: int
 ) -> list[str]:
     at, before = silver_layer.snapshot(), layer.snapshot()
-    staged: dict[str, str | Parts] = {}
-    paths: dict[str, str] = {}
+    staged: dict[str, str | Parts | Bucketed] = {}
 
     def stage_dimension(table: str):
         def step():
@@ -145,16 +153,21 @@ def _build_gold(
                 registry = KeyRegistry(layer, table, business_key, key, buckets)
                 return registry.assign(members, before.read(table) if before.exists(table) else None)
 
-            staged[table] = paths[table] = layer.stage(table, dimension(table, at.read, keyed))
+            rows = dimension(table, at.read, keyed)
+            if table in LOOKED_UP:
+                staged[table] = layer.stage_bucketed(table, rows, buckets, [LOOKED_UP[table]])
+            else:
+                staged[table] = layer.stage(table, rows)
 
         return step
 
     def new_dimension(table: str) -> DataFrame:
-        return layer.load(paths[table])
+        stored = staged[table]
+        return layer.load_bucketed(stored) if isinstance(stored, Bucketed) else layer.load(stored)
 
     def stage_all(table: str) -> None:
         def read(name: str) -> DataFrame:
-            return new_dimension(name) if name in paths else layer.load_all(list(items.values()))
+            return new_dimension(name) if name in DIMENSIONS else layer.load_all(list(items.values()))
 
         rows = fact(table, at.read, read)
         path = gold.stage_fact(layer, table, rows)

@@ -92,7 +92,7 @@ class KeyRegistry:
         """``members``, unique by business key, with their keys in front.
 
         New members are numbered after the largest key so far, in the order of their business keys, and registered before
-        this returns. Only members are shuffled. ``before``, a dimension, stands for the registry that does not exist yet. Members
+        this returns. Only members are shuffled, and the result is partitioned by bucket. ``before``, a dimension, stands for the registry that does not exist yet. Members
         without a business key have no key and are left out.
         """
         at = self.layer.snapshot()
@@ -110,4 +110,5 @@ class KeyRegistry:
             numbered = numbered.select(self.business_key, (F.col(self.key) + F.lit(last)).alias(self.key))
             self.layer.publish({self.index.name: self.index.stage_with(at, numbered)}, based_on=at)
             known = self.index.read(self.layer.snapshot())
-        return named.join(known, self.business_key).select(self.key, *members.columns)
+        # The registry is sorted too: only the members of a bucket are.
+        return self.index.dealt(named).hint("merge").join(known, self.business_key).select(self.key, *members.columns)
