@@ -4,6 +4,7 @@ import random
 import pytest
 
 from smelter.operators.cdc import parse_changes
+from smelter.operators import merge
 from smelter.operators.merge import merged
 from smelter.plans import silver
 from smelter.sources.messages import MESSAGE_SCHEMA
@@ -197,3 +198,29 @@ def test_the_state_is_not_shuffled(spark, place):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", with_setting)
         assert text.count("Exchange") == 1 and "Bucketed: true" in text
+
+
+def test_merging_sorts_instead_of_hashing_a_bucket(spark, place):
+    """A bucket of a large log need not fit in memory."""
+    place.commit([change("sellers", i, "c", i, None, {"seller_id": str(i)}) for i in range(50)], 0)
+    place.fold(SELLERS)
+    state = place.layer.snapshot().read("sellers_versions").drop(fold.NEW, fold.OLD)
+    text = plan(merged(state, state, ["seller_id"], 4))
+    assert "SortMergeJoin" in text and "ShuffledHashJoin" not in text
+
+
+@pytest.mark.parametrize("spec", SPECS, ids=lambda s: s.name)
+def test_states_that_grow_are_dealt_into_more_buckets(place, spec, monkeypatch):
+    """No bucket keeps more rows than a task should take, and the rows stay those of the whole log."""
+    monkeypatch.setattr(merge, "ROWS_PER_BUCKET", 5)
+    rng, log, dealt = random.Random(3), random_log(random.Random(3), 240), []
+    for batch, part in enumerate((log[:60], log[60:150], log[150:], log[:30])):
+        place.commit(rng.sample(part, len(part)), batch)
+        place.fold(spec)
+        dealt.append(place.layer.snapshot().notes[spec.name]["dealt"])
+        assert place.table(spec) == place.whole(spec, log[: (60, 150, 240, 240)[batch]])
+    assert dealt == sorted(dealt) and dealt[-1] > 4
+    (part,) = [p for p in ("versions", "seen") if place.layer.exists(f"{spec.name}_{p}")]
+    assert place.layer.location(f"{spec.name}_{part}")
+    described = place.layer.spark.sql(f"DESCRIBE EXTENDED {place.layer.qualified(place.layer.refresh_of(f'{spec.name}_{part}'))}")
+    assert described.filter("col_name = 'Num Buckets'").first().data_type == str(dealt[-1])
