@@ -2,8 +2,9 @@ import json
 
 import pytest
 
+from smelter.operators import merge
 from smelter.plans import build, gold, rules, silver
-from smelter.plans.kept_quality import KeptQuality
+from smelter.plans.kept_quality import NOTE, KeptQuality
 from smelter.sources.messages import MESSAGE_SCHEMA
 from smelter.sources.tables import Layer
 from smelter.specs import SOURCE_TABLES, topics
@@ -158,3 +159,15 @@ def test_kept_quality_equals_counting_again(star):
     compare(0)
     star.silver.replace("products", star.silver.read("products"))
     compare(1)
+
+
+def test_kept_quality_is_dealt_into_more_buckets(star, monkeypatch):
+    """Counts per key that outgrow their buckets are dealt again, and stay right."""
+    kept = KeptQuality(star.silver, buckets=2)
+    kept.refresh()
+    monkeypatch.setattr(merge, "ROWS_PER_BUCKET", 1)
+    star.commit(put("order_items", 400, 5, order_id="o1", order_item_id="01", product_id="p7", seller_id=None, price="-3"))
+    assert kept.refresh() == 0
+    at = star.silver.snapshot()
+    assert at.notes[NOTE]["buckets"]["order_items_grain"] > 2
+    assert bag(kept.report()) == bag(rules.validate_layer(lambda t: at.read(t).drop(silver.AUDIT)))
