@@ -70,6 +70,22 @@ def test_a_batch_repeated_after_a_failure_replaces_itself(spark, place):
     assert place.offsets(CUSTOMERS) == {(1,): 1}
 
 
+def test_a_batch_is_held_on_disk_alone(spark, place, monkeypatch):
+    """Texts of a large batch do not fill the executors' memory while its tables are written."""
+    place.land(message("shop.customers", 1, customer_id="a"), message("shop.sellers", 2, seller_id="s"))
+    held, run_steps = [], ingest.run_steps
+
+    def look(steps, at_once):
+        held.extend((info.memSize(), info.diskSize() > 0) for info in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+        return run_steps(steps, at_once)
+
+    spark.catalog.clearCache()
+    monkeypatch.setattr(ingest, "run_steps", look)
+    ingest.write_batch(spark.read.parquet(place.landing), TOPICS, place.root, "s", 0)
+    assert held == [(0, True)]
+    assert place.offsets(CUSTOMERS) == {(1,): 1} and place.offsets(SELLERS) == {(2,): 1}
+
+
 def test_a_lost_commit_is_repeated_without_duplicates(spark, place):
     """The batch wrote its files, but the stream died before committing it."""
     place.land(message("shop.customers", 1, customer_id="a"))
