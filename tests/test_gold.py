@@ -108,6 +108,13 @@ def test_spreading_heavy_keys_changes_no_fact(stored):
     assert bag(reviews.drop(*skip)) == bag(stored.gold("fact_reviews").drop(*skip))
 
 
+def test_seller_keys_are_a_stored_table(stored):
+    """Spark takes a join for larger than it is, and would shuffle all items to meet a few sellers."""
+    keys = gold.seller_keys(stored.gold("dim_seller"), stored.gold("dim_geography"))
+    assert "Join" not in plan(keys)
+    assert bag(keys.select("seller_id")) == bag(stored.silver("sellers").select("seller_id"))
+
+
 def test_geography_is_the_southmost_place(spark):
     places = spark.createDataFrame(
         [("1", "B", "SP", -2.0, 0.0), ("1", "A", "SP", -2.0, 0.0), ("1", "C", "SP", -1.0, 0.0)],
