@@ -318,3 +318,29 @@ def test_the_catalog_has_committed_and_merged_rows_once(spark, place, folder):
     assert registered == ["customers"] and set(failed) == {"missing"}
     assert bag(layer.read("customers").select("kafka_offset", "after.customer_id")) == {(1, "1"): 1, (2, "2"): 1}
     spark.sql(f"DROP DATABASE {layer.database} CASCADE")
+
+
+def test_a_held_batch_is_in_small_blocks(spark, folder, monkeypatch):
+    """A hundred blocks of a batch are in the heap of each task that writes or reads it, so blocks are small."""
+    count, blocks = 4 * ingest.HELD_ROWS, []
+    some = spark.range(0, count, 1, 1).selectExpr(
+        "'shop.sellers' AS topic", "0 AS kafka_partition", "id AS kafka_offset",
+        """concat('{"op":"c","ts_ms":1,"after":{"seller_id":"', id, '"}}') AS value""",
+    )
+    setting, run_steps = "spark.sql.inMemoryColumnarStorage.batchSize", ingest.run_steps
+    known = set(spark.sparkContext._jsc.getPersistentRDDs().keys())
+
+    def counted(steps, at_once):
+        held = spark.sparkContext._jsc.getPersistentRDDs()
+        blocks.extend(held[number].count() for number in held.keys() if number not in known)
+        assert spark.conf.get(setting) == "7000"
+        return run_steps(steps, at_once)
+
+    monkeypatch.setattr(ingest, "run_steps", counted)
+    spark.conf.set(setting, 7000)
+    try:
+        ingest.write_batch(some, TOPICS, folder, "one", 0)
+    finally:
+        spark.conf.unset(setting)
+    assert blocks == [4]
+    assert ingest.read_bronze(spark, folder, SELLERS).filter("after.seller_id = kafka_offset").count() == count
