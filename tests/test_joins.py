@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from smelter.operators import joins
 from smelter.operators.joins import Heavy, heavy_keys, look_up, spread_join
 from tests.helpers import bag, plan, rows
 
@@ -124,3 +125,22 @@ def test_size_decides_the_strategy(spark, skewed, dim):
         assert rows(small.groupBy().count()) == [(3000,)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_keys_of_crowded_places_are_counted(spark, monkeypatch):
+    plans, written = [], joins.written
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString()))
+        return written(df, label)
+
+    monkeypatch.setattr(joins, "written", noted)
+    unique = spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS other")
+    assert not any(joins.heavy_keys(unique, ["k", "other"], 100).values())
+    assert [label for label, _ in plans] == ["crowded", "crowded"]  # no count by key
+    plans.clear()
+    hot = spark.range(450).selectExpr("CASE WHEN id < 250 THEN 'hot' END AS k", "id AS other")
+    found = joins.heavy_keys(unique.unionByName(hot), ["k"], 100)["k"]
+    assert bag(found.table) == {("hot", 3): 1, (None, 2): 1}
+    (plan,) = [plan for label, plan in plans if label == "heavy"]
+    assert "LeftSemi" in plan
