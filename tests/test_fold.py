@@ -1,5 +1,6 @@
 import json
 import random
+from pathlib import Path
 
 import pytest
 
@@ -224,3 +225,26 @@ def test_states_that_grow_are_dealt_into_more_buckets(place, spec, monkeypatch):
     assert place.layer.location(f"{spec.name}_{part}")
     described = place.layer.spark.sql(f"DESCRIBE EXTENDED {place.layer.qualified(place.layer.refresh_of(f'{spec.name}_{part}'))}")
     assert described.filter("col_name = 'Num Buckets'").first().data_type == str(dealt[-1])
+
+
+def test_a_first_run_stores_no_feed(spark, place):
+    """Every row of it is new: the table is its feed. Later runs store theirs."""
+    place.commit([change("sellers", i, "c", i, None, {"seller_id": str(i)}) for i in range(5)], 0)
+    place.fold(SELLERS)
+    at = place.layer.snapshot()
+    assert not Path(place.layer.root, "sellers_feed").exists()
+    assert fold.feed_since(place.layer, SELLERS, at, 0) is None
+    assert fold.feed_since(place.layer, SELLERS, at, fold.last_run(at, SELLERS)).count() == 0
+    place.commit([change("sellers", 7, "u", 9, None, {"seller_id": "2", "seller_city": "x"})], 1)
+    place.fold(SELLERS)
+    feed = fold.feed_since(place.layer, SELLERS, place.layer.snapshot(), 1)
+    assert bag(feed.select("seller_id", "seller_city", fold.SIGN)) == {("2", None, -1): 1, ("2", "X", 1): 1}
+
+
+def test_a_bucket_is_written_without_sorting_it_by_key(spark, place):
+    """Spark sorts what it merges whatever the order of the files, so a sort at the write is done for nothing."""
+    place.commit([change("sellers", i, "c", i, None, {"seller_id": str(i)}) for i in range(50)], 0)
+    place.fold(SELLERS)
+    described = spark.sql(f"DESCRIBE EXTENDED {place.layer.qualified(place.layer.refresh_of('sellers_versions'))}")
+    found = {r.col_name: r.data_type for r in described.collect()}
+    assert found["Num Buckets"] == "4" and found.get("Sort Columns", "[]") == "[]"

@@ -1,4 +1,5 @@
 import json
+import threading
 
 import pytest
 
@@ -171,3 +172,21 @@ def test_kept_quality_is_dealt_into_more_buckets(star, monkeypatch):
     at = star.silver.snapshot()
     assert at.notes[NOTE]["buckets"]["order_items_grain"] > 2
     assert bag(kept.report()) == bag(rules.validate_layer(lambda t: at.read(t).drop(silver.AUDIT)))
+
+
+def test_kept_checks_are_counted_beside_each_other(star, monkeypatch):
+    running, most, lock, real = [0], [0], threading.Lock(), KeptQuality._keyed
+
+    def counted(self, *args):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return real(self, *args)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(KeptQuality, "_keyed", counted)
+    KeptQuality(star.silver, buckets=2).refresh()
+    assert most[0] > 1

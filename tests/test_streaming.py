@@ -344,3 +344,18 @@ def test_a_held_batch_is_in_small_blocks(spark, folder, monkeypatch):
         spark.conf.unset(setting)
     assert blocks == [4]
     assert ingest.read_bronze(spark, folder, SELLERS).filter("after.seller_id = kafka_offset").count() == count
+
+
+def test_compaction_shuffles_no_row(spark, place, monkeypatch):
+    for i in range(3):
+        land_and_ingest(place, [i])
+    before = bag(ingest.read_bronze(spark, place.root, CUSTOMERS))
+
+    def die(*_):
+        raise AssertionError("a compaction that shuffles")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", die)
+    assert compacted(spark, place) == 3
+    monkeypatch.undo()
+    assert bag(ingest.read_bronze(spark, place.root, CUSTOMERS)) == before
+    assert len(ingest.read_bronze(spark, place.root, CUSTOMERS).inputFiles()) == 1
