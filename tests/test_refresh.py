@@ -1,5 +1,6 @@
 import json
 import threading
+from pathlib import Path
 
 import pytest
 
@@ -174,6 +175,41 @@ def test_kept_quality_is_dealt_into_more_buckets(star, monkeypatch):
     assert bag(kept.report()) == bag(rules.validate_layer(lambda t: at.read(t).drop(silver.AUDIT)))
 
 
+def test_old_tables_are_removed_and_runs_go_on(spark, star):
+    """With each run only the latest of every state and table is left, and the next run is as right as before."""
+    bronze = Layer(spark, f"{star.silver.database}_bronze", star.bronze)
+
+    def folders(layer, table):
+        return [p for p in Path(layer.root, table).iterdir() if not p.name.startswith((".", "_"))]
+
+    kept = KeptQuality(star.silver, buckets=2)
+    for batch, city in ((1, "a"), (2, "b")):
+        log = [
+            put("orders", 500 + batch, 5 + batch, order_id="o1", customer_id="c1", order_status="delivered", order_purchase_timestamp=f"2018-0{batch + 3}-01 00:00:00"),
+            put("sellers", 600 + batch, 5 + batch, seller_id="s0", seller_zip_code_prefix=f"1000{batch % 2}", seller_city=city),
+        ]
+
+        def commit():
+            ingest.write_batch(spark.createDataFrame(log, MESSAGE_SCHEMA), topics(), star.bronze, "s", batch)
+            if batch == 2:
+                ingest.compact(spark, star.bronze, SOURCE_TABLES)
+            return ["ingest"]
+
+        build.run(bronze, star.silver, star.gold, commit, incremental=True, buckets=2, keep_old=False)
+        kept.refresh()
+        kept.remove_old()
+        star.compare()
+        at = star.silver.snapshot()
+        assert bag(kept.report()) == bag(rules.validate_layer(lambda t: at.read(t).drop(silver.AUDIT)))
+        for table in ("orders", "orders_versions", "sellers", "sellers_versions", "geolocation_seen", "sellers_grain"):
+            assert len(folders(star.silver, table)) == 1, table
+        assert len(folders(star.gold, "dim_seller")) == 1
+        months = star.gold.snapshot().folders("fact_order_items").values()
+        assert {p.name for p in folders(star.gold, "fact_order_items")} == {Path(m).parent.name for m in months}
+    assert not list(Path(star.bronze, "orders", "ingest_stream=s").glob("ingest_batch=*"))
+    spark.sql(f"DROP DATABASE {bronze.database} CASCADE")
+
+
 def test_kept_checks_are_counted_beside_each_other(star, monkeypatch):
     running, most, lock, real = [0], [0], threading.Lock(), KeptQuality._keyed
 
